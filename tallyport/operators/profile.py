@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyport.contract import Contract
 from tallyport.functions.numbers import real_number
@@ -173,6 +173,10 @@ def moments(df: DataFrame, columns: list[str], text: bool) -> DataFrame:
     return df.sparkSession.createDataFrame(data, schema)
 
 
+def two_decimals(value: Column) -> Column:
+    return F.call_function("format_number", value, F.lit("0.00"))
+
+
 def compare_moments(delivery: DataFrame, table: DataFrame) -> DataFrame:
     """`(column_name, statistic, delivery, database)`; `n.a.` for an empty table."""
     def long(df: DataFrame, value: str) -> DataFrame:
@@ -183,7 +187,7 @@ def compare_moments(delivery: DataFrame, table: DataFrame) -> DataFrame:
                 (
                     F.col(m).cast("string")
                     if m in ("n", "missing")
-                    else F.format_number(m, "0.00")
+                    else two_decimals(F.col(m))
                 ).alias(value),
             )
             for m in MOMENTS
@@ -267,16 +271,15 @@ def compare_frequencies(
     Dates of the database are compared without dashes, as deliveries may write yyyymmdd.
     A category the delivery lacks is `Missing`/`n.a.`, one the database lacks `Missing`.
     """
-    two = lambda c: F.format_number(c, "0.00")
     category = F.when(
         F.col("column_name").isin(date_columns), F.regexp_replace("value", "-", "")
     ).otherwise(F.col("value"))
     here = delivery.select(
         "column_name", F.col("value").alias("category"),
-        F.col("rows").cast("string").alias("absolute"), two(F.col("percent")).alias("delivery_percent"),
+        F.col("rows").cast("string").alias("absolute"), two_decimals(F.col("percent")).alias("delivery_percent"),
     )
     there = database.select(
-        "column_name", category.alias("category"), two(F.col("percent")).alias("database_percent")
+        "column_name", category.alias("category"), two_decimals(F.col("percent")).alias("database_percent")
     )
     return here.join(there, ["column_name", "category"], "full_outer").select(
         "column_name",

@@ -78,7 +78,8 @@ LOADED_SQL = """loaded AS (SELECT CAST(o_orderkey AS DOUBLE) AS order_id, CAST(o
 def loaded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table the delivery can be compared with; pending orders have no total yet."""
     pending = F.col("o_orderstatus") == "P"
-    return table(spark, sf_dir, "orders").select(
+    return inputs.orders_by_period(spark, sf_dir).select(
+        "period",
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.when(~pending, F.col("o_totalprice")).alias("total"),
@@ -165,9 +166,6 @@ def percent_of_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(profile.table_shares(table(spark, sf_dir, "lineitem"), "l_returnflag"))
 
 
-PROFILE_SQL = f"""WITH {DELIVERED_SQL.replace(CLEAN_SQL, FREQ_COMPARE_SQL)}, {LOADED_SQL}"""
-
-
 @query(
     "profile_delivery",
     f"""WITH {FREQ_COMPARE_SQL}, m AS ({compare_moments_sql()})
@@ -179,9 +177,7 @@ PROFILE_SQL = f"""WITH {DELIVERED_SQL.replace(CLEAN_SQL, FREQ_COMPARE_SQL)}, {LO
 def profile_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole profile as one frame."""
     loaded = loaded_orders(spark, sf_dir)
-    period = inputs.orders_by_period(spark, sf_dir)
     parts = profile.profile_delivery(inputs.clean_orders(spark, sf_dir), loaded, CONTRACT, ["*"])
-    parts["periods"] = profile.count_by_period(period)
     columns = ["part", "column_name", "item", "delivery", "database"]
     part = lambda name: F.lit(name).alias("part")
     periods_ = parts["periods"].select(

@@ -51,7 +51,7 @@ class StoredHistory:
 def landed_changes(
     spark: SparkSession, folder: str, data: T.StructType, sep: str = ","
 ) -> DataFrame:
-    """Landed change rows: instruction, data columns, change name and order in the file."""
+    """Landed change rows: instruction, data columns, change name, file and split."""
     names = [ACTION, *data.names]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     path = F.col("_metadata.file_path")
@@ -66,11 +66,8 @@ def landed_changes(
             ACTION,
             *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in data],
             name.alias("change"),
-            F.struct(
-                path.alias("file"),
-                F.col("_metadata.file_block_start").alias("block"),
-                F.monotonically_increasing_id().alias("place"),
-            ).alias(POSITION),
+            path.alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
         )
     )
 
@@ -85,7 +82,11 @@ def apply_landing(
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        # the order of the rows of a change: file, split, place in the split
+        place = F.struct("_file", "_block", F.monotonically_increasing_id().alias("_place"))
+        batch = batch.select(
+            ACTION, *data.names, "change", place.alias(POSITION)
+        ).persist()
         names = sorted(r.change for r in batch.select("change").distinct().collect())
         for order, name in enumerate(names, start=1):
             version = f"{batch_id + 1:06d}-{order:06d}"
