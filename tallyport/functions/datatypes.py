@@ -62,6 +62,17 @@ def spark_type(datatype: str, precision: int = 38, scale: int = 10) -> T.DataTyp
     }.get(datatype, T.StringType())
 
 
+DASHED, COMPACT = "[0-9]{4}-[0-9]{2}-[0-9]{2}", "[0-9]{8}"
+
+
+def dashed(cell: Column) -> Column:
+    """`yyyymmdd` at the start as `yyyy-mm-dd`.
+
+    Trying one date format after the other would raise and catch an error per cell.
+    """
+    return F.regexp_replace(cell, "^([0-9]{4})([0-9]{2})([0-9]{2})(?![0-9])", "$1-$2-$3")
+
+
 def load_cell(
     cell: Column, datatype: str, precision: int = 38, scale: int = 10
 ) -> Column:
@@ -79,14 +90,8 @@ def load_cell(
     elif base == "real":
         value = F.when(cell.rlike(numbers.REAL), F.trim(cell).try_cast(target))
     elif base == "date":
-        value = F.coalesce(
-            F.try_to_date(cell, "yyyy-MM-dd"), F.try_to_date(cell, "yyyyMMdd")
-        )
+        value = F.when(cell.rlike(f"^({DASHED}|{COMPACT})$"), dashed(cell)).try_cast(target)
     else:
-        value = F.coalesce(
-            F.try_to_timestamp(cell, F.lit("yyyy-MM-dd HH:mm:ss")),
-            F.try_to_timestamp(cell, F.lit("yyyyMMdd HH:mm:ss")),
-            F.try_to_timestamp(cell, F.lit("yyyy-MM-dd")),
-            F.try_to_timestamp(cell, F.lit("yyyyMMdd")),
-        )
+        shape = f"^({DASHED}|{COMPACT})( [0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}})?$"
+        value = F.when(cell.rlike(shape), dashed(cell)).try_cast(target)
     return F.when(~is_blank(cell), value)

@@ -112,19 +112,28 @@ def range_bounds(domain: str) -> tuple[str, str]:
     return low, high
 
 
-def _range_value(column: ContractColumn) -> tuple[Column, Column, str]:
-    """Numeric value of a cell, its text in messages, and the type of the bounds."""
-    cell = F.col(column.name)
-    if column.base == "integer":
-        value = numbers.whole_number(cell)
-        return value, F.coalesce(value.cast("string"), cell), "decimal(38,0)"
-    value = numbers.real_number(cell)
-    return value, F.coalesce(numbers.shown_real(value), cell), "double"
+def _parsed(column: ContractColumn) -> str:
+    return f"_value_{column.name}"
+
+
+def parsed_values(df: DataFrame, contract: Contract) -> DataFrame:
+    """Numeric values of the cells with a range domain, parsed once for all uses."""
+    values = {}
+    for column in contract.columns:
+        domain = column.domain.strip()
+        if column.name in df.columns and ":" in domain and domain[:1] != "[" and domain[:3] != "re:":
+            parse = numbers.whole_number if column.base == "integer" else numbers.real_number
+            values[_parsed(column)] = parse(F.col(column.name))
+    return df.withColumns(values)
 
 
 def range_failures(column: ContractColumn, place: int) -> Column:
     low, high = range_bounds(column.domain)
-    value, shown, kind = _range_value(column)
+    value = F.col(_parsed(column))
+    whole = column.base == "integer"
+    kind = "decimal(38,0)" if whole else "double"
+    text = value.cast("string") if whole else numbers.shown_real(value)
+    shown = F.coalesce(text, F.col(column.name))
     inside = value.between(F.lit(low.strip()).cast(kind), F.lit(high.strip()).cast(kind))
     bad = ~F.coalesce(inside, F.lit(False))
     if column.nullable:
@@ -136,7 +145,7 @@ def range_failures(column: ContractColumn, place: int) -> Column:
 def range_split_failures(column: ContractColumn, place: int) -> Column:
     """Range check with separate messages below the minimum and above the maximum."""
     low, high = (float(b) for b in range_bounds(column.domain))
-    value = numbers.real_number(F.col(column.name))
+    value = F.col(_parsed(column)).cast("double")
     text = lambda tail: F.concat(F.lit("Value "), numbers.shown_real(value), F.lit(tail))
     failure = lambda tail: F.array(
         _failure(DOMAINS, place, column.name, OUT_OF_RANGE, text(tail))
@@ -196,10 +205,12 @@ def failures(
     empty = F.array().cast(_FAILURE)
     groups = [found[i : i + CHUNK] for i in range(0, len(found), CHUNK)]
     parts = [F.concat(*[F.coalesce(e, empty) for e in group]) for group in groups]
-    rows = df.select(F.col(row).alias("row"), *carry, F.concat(*parts).alias("_failed"))
+    # exploded where it is built: a named array would be filtered first, and the optimizer
+    # would then evaluate all checks twice and all cleaning once per use of a cell
+    exploded = F.explode(F.concat(*parts)).alias("_f")
     return (
-        rows.where(F.size("_failed") > 0)
-        .select("row", *carry, F.explode("_failed").alias("_f"))
+        parsed_values(df, contract)
+        .select(F.col(row).alias("row"), *carry, exploded)
         .select("row", *carry, "_f.*")
     )
 

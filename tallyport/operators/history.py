@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyport.functions.periods import END_OF_TIME
+from tallyport.session import small_side
 
 ACTION, POSITION = "action", "pos"
 # Instructions of a change file; a downdate is accepted and does nothing.
@@ -115,16 +116,29 @@ def rejects(history: DataFrame, changes: DataFrame, key: list[str]) -> DataFrame
 
 @dataclass
 class Applied:
-    """The three parts of a history after a change file, and what was refused."""
+    """A history after a change file, in parts, and what was refused."""
 
     archived: DataFrame  # closed before the file; never touched
-    closed: DataFrame  # closed by the file, and versions replaced within it
-    current: DataFrame  # open rows after the file
+    opened: DataFrame  # open before the file; closed by it where `_hit`
+    fresh: DataFrame  # versions the file adds
     rejected: DataFrame
 
     @property
     def history(self) -> DataFrame:
-        return self.archived.unionByName(self.closed).unionByName(self.current)
+        names = self.archived.columns
+        return self.archived.unionByName(self.opened.select(*names)).unionByName(self.fresh)
+
+    @property
+    def current(self) -> DataFrame:
+        """Open rows after the file."""
+        kept = self.opened.where(~F.col("_hit")).select(*self.archived.columns)
+        return kept.unionByName(self.fresh.where(is_current()))
+
+    @property
+    def closed(self) -> DataFrame:
+        """Rows closed by the file, versions replaced within it included."""
+        hit = self.opened.where("_hit").select(*self.archived.columns)
+        return hit.unionByName(self.fresh.where(~is_current()))
 
 
 def apply_changes(
@@ -137,39 +151,44 @@ def apply_changes(
 ) -> Applied:
     """Apply one change file to a history.
 
-    Only current rows are joined with the closing keys; rows closed earlier pass by. A
-    change affects the row that is current when its turn comes, so a version written by
-    the file and closed later in the same file gets `valid_to = end`, before its start.
-    `stamps` gives the remaining generated columns of new rows.
+    What is known about the changed keys is settled once, and broadcast if it is counted
+    to be small: then the history is neither read again for it nor shuffled. Only current
+    rows are joined with the closing keys; rows closed earlier pass by. A change affects
+    the row that is current when its turn comes, so a version written by the file and
+    closed later in the same file gets `valid_to = end`, before its start. `stamps` gives
+    the remaining generated columns of new rows.
     """
-    states = key_states(history, changes, key)
+    names = history.columns
+    states = small_side(key_states(history, changes, key))
     judged = judge(changes, states, key)
-    closing = states.where("current and last_close is not null").select(*key)
-    open_rows = history.where(is_current())
-    touched = open_rows.join(closing, key, "left_semi").withColumn("valid_to", end)
-    untouched = open_rows.join(closing, key, "left_anti")
+    closing = states.where("current and last_close is not null").select(*key, F.lit(True).alias("_closing"))
+    hit = F.col("_closing").isNotNull()
+    opened = (
+        history.where(is_current())
+        .join(closing, key, "left")
+        .select(
+            *[F.when(hit, end).otherwise(F.col(c)).alias(c) if c == "valid_to" else F.col(c) for c in names],
+            hit.alias("_hit"),
+        )
+    )
 
     # closing actions are accepted for all of a key's changes or for none
-    superseded = F.col("current") & (F.col(POSITION) < F.col("last_close"))
+    superseded = F.coalesce(F.col("current") & (F.col(POSITION) < F.col("last_close")), F.lit(False))
     generated = {
         "valid_from": start,
-        "valid_to": F.when(F.coalesce(superseded, F.lit(False)), end).otherwise(end_of_time()),
+        "valid_to": F.when(superseded, end).otherwise(end_of_time()),
         **(stamps or {}),
     }
-    names = [c for c in history.columns]
     fresh = (
         judged.where("reason is null")
         .where(F.lower(ACTION).isin(INSERT, UPDATE))
         .withColumns(generated)
     )
-    missing = {c: F.lit(None).cast(history.schema[c].dataType) for c in names if c not in fresh.columns}
-    fresh = fresh.withColumns(missing).select(
-        *[F.col(c).cast(history.schema[c].dataType).alias(c) for c in names]
-    )
+    value = lambda c: F.col(c) if c in fresh.columns else F.lit(None)
     return Applied(
         archived=history.where(~is_current()),
-        closed=touched.select(*names).unionByName(fresh.where(~is_current())),
-        current=untouched.select(*names).unionByName(fresh.where(is_current())),
+        opened=opened,
+        fresh=fresh.select(*[value(f.name).cast(f.dataType).alias(f.name) for f in history.schema]),
         rejected=judged.where("reason is not null").select(*changes.columns, "reason"),
     )
 

@@ -101,7 +101,7 @@ REPORT_COLUMNS = """"row", "column", column_name, error_code, message"""
 )
 def check_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All checks in one pass; the budget is beyond any number of errors."""
-    report, _, _ = checks.check_all(inputs.clean_orders(spark, sf_dir), CONTRACT, max_errors=2**62)
+    report, _, _ = checks.check_all(inputs.staged_orders(spark, sf_dir), CONTRACT, max_errors=2**62)
     return report
 
 
@@ -114,7 +114,7 @@ def check_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def error_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report stops at its budget of errors, which is the feature."""
-    report, _, _ = checks.check_all(inputs.clean_orders(spark, sf_dir), CONTRACT, max_errors=5000)
+    report, _, _ = checks.check_all(inputs.staged_orders(spark, sf_dir), CONTRACT, max_errors=5000)
     return report
 
 

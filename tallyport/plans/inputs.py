@@ -14,6 +14,7 @@ from tallyport.functions import periods
 from tallyport.functions.text import WHITE_SPACE
 from tallyport.operators.cleaning import CleaningRules, Replacement, clean
 from tallyport.operators.history import ACTION, POSITION
+from tallyport.sources.staging import stage
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -124,6 +125,11 @@ def clean_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned(raw_orders(spark, sf_dir))
 
 
+def staged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned delivery, written once for the queries that read it several times."""
+    return stage(clean_orders(spark, sf_dir))
+
+
 def text_cells(df: DataFrame) -> DataFrame:
     """A delivery as `(row, column_name, value)`, to compare it cell by cell."""
     cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in NAMES if c in df.columns]

@@ -68,7 +68,7 @@ DELIVERED_MOMENTS = " UNION ALL ".join(moments_sql("numbers", c, "count(*)") for
 @query("moments_delivery", f"WITH {DELIVERED_SQL} {DELIVERED_MOMENTS}")
 def moments_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of the text delivery: unusable text is missing, and n counts all rows."""
-    return rounded(profile.moments(inputs.clean_orders(spark, sf_dir), DELIVERED_NUMBERS, text=True))
+    return rounded(profile.moments(inputs.staged_orders(spark, sf_dir), DELIVERED_NUMBERS, text=True))
 
 
 LOADED_SQL = """loaded AS (SELECT CAST(o_orderkey AS DOUBLE) AS order_id, CAST(o_custkey AS DOUBLE) AS customer_id,
@@ -111,7 +111,7 @@ def compare_moments_sql() -> str:
 
 @query("moments_compare", compare_moments_sql())
 def moments_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    delivery = profile.moments(inputs.clean_orders(spark, sf_dir), DELIVERED_NUMBERS, text=True)
+    delivery = profile.moments(inputs.staged_orders(spark, sf_dir), DELIVERED_NUMBERS, text=True)
     return profile.compare_moments(
         delivery, profile.moments(loaded_orders(spark, sf_dir), DELIVERED_NUMBERS, text=False)
     )
@@ -127,7 +127,7 @@ SHARES_SQL = f"""{CLEAN_SQL}, cells AS ({" UNION ALL ".join(f"SELECT '{c}' AS co
 @query("freq_delivery", f"WITH {SHARES_SQL} SELECT column_name, value, rows, round(percent, 4) AS percent FROM shares")
 def freq_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Value counts of the columns with 2 to 50 categories; near-unique columns are left out."""
-    return rounded(profile.frequencies(inputs.clean_orders(spark, sf_dir), COUNTED))
+    return rounded(profile.frequencies(inputs.staged_orders(spark, sf_dir), COUNTED))
 
 
 @query(
@@ -152,7 +152,7 @@ FREQ_COMPARE_SQL = f"""{SHARES_SQL}, db AS (
 @query("freq_compare", f"WITH {FREQ_COMPARE_SQL} SELECT * FROM compared")
 def freq_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     few = ["status", "priority"]
-    delivery = profile.frequencies(inputs.clean_orders(spark, sf_dir), few)
+    delivery = profile.frequencies(inputs.staged_orders(spark, sf_dir), few)
     database = profile.all_table_shares(loaded_orders(spark, sf_dir), few)
     return profile.compare_frequencies(delivery, database, CONTRACT.of_base("date"))
 
@@ -177,7 +177,7 @@ def percent_of_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 def profile_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole profile as one frame."""
     loaded = loaded_orders(spark, sf_dir)
-    parts = profile.profile_delivery(inputs.clean_orders(spark, sf_dir), loaded, CONTRACT, ["*"])
+    parts = profile.profile_delivery(inputs.staged_orders(spark, sf_dir), loaded, CONTRACT, ["*"])
     columns = ["part", "column_name", "item", "delivery", "database"]
     part = lambda name: F.lit(name).alias("part")
     periods_ = parts["periods"].select(
