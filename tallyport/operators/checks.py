@@ -6,6 +6,8 @@ A failed cell is `(row, column, column_name, error_code, message)` plus its phas
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyport.contract import Contract, ContractColumn
@@ -34,53 +36,39 @@ DEFAULT_BUDGET = 1000
 CONSTRAINTS, TYPES, DOMAINS = 0, 1, 2
 REPORT = ["row", "column", "column_name", "error_code", "message"]
 ORDER = ["phase", "column", "row", "element"]
-# At most this many columns per generated projection, so codegen stays in bounds.
-CHUNK = 40
-
-_FAILURE = (
-    "array<struct<phase:int,column:int,column_name:string,error_code:int,"
-    "message:string,element:int>>"
-)
-
-
-def _failure(phase: int, place: int, column: str, code: int, message: Column) -> Column:
-    return F.struct(
-        F.lit(phase).alias("phase"),
-        F.lit(place).alias("column"),
-        F.lit(column).alias("column_name"),
-        F.lit(code).alias("error_code"),
-        message.alias("message"),
-        F.lit(0).alias("element"),
-    )
 
+# How the offending value is shown in a message.
+NO_VALUE, AS_TEXT, AS_WHOLE, AS_REAL, PER_ELEMENT = range(5)
+
+
+@dataclass(frozen=True)
+class Check:
+    """One test of one column: the condition of a failure and the parts of its message."""
 
-def _if(bad: Column, failure: Column) -> Column:
-    # `bad` is null only if the cell is null, which text deliveries do not have
-    return F.when(bad, F.array(failure))
+    phase: int
+    column: ContractColumn
+    code: int
+    bad: Column
+    before: str
+    after: str = ""
+    show: int = AS_TEXT
+    allowed: tuple[str, ...] = ()
 
 
-def not_null_failures(column: ContractColumn, place: int) -> Column | None:
+def not_null_check(column: ContractColumn) -> list[Check]:
     if column.nullable:
-        return None
-    message = F.lit("NULL detected where not allowed")
-    return _if(
-        is_blank(F.col(column.name)),
-        _failure(CONSTRAINTS, place, column.name, MISSING, message),
-    )
+        return []
+    text = "NULL detected where not allowed"
+    bad = is_blank(F.col(column.name))
+    return [Check(CONSTRAINTS, column, MISSING, bad, text, show=NO_VALUE)]
 
 
-def type_failures(column: ContractColumn, place: int) -> Column | None:
+def type_check(column: ContractColumn) -> list[Check]:
     if column.base == "text":
-        return None
-    cell = F.col(column.name)
-    pattern = datatypes.BASE_PATTERNS[column.base]
-    message = F.concat(
-        F.lit(f'Datatype not {column.datatype}, value found is "'), cell, F.lit('"')
-    )
-    return _if(
-        ~starts_with_match(cell, pattern),
-        _failure(TYPES, place, column.name, WRONG_TYPE, message),
-    )
+        return []
+    bad = ~starts_with_match(F.col(column.name), datatypes.BASE_PATTERNS[column.base])
+    text = f'Datatype not {column.datatype}, value found is "'
+    return [Check(TYPES, column, WRONG_TYPE, bad, text, '"')]
 
 
 def list_domain(domain: str) -> list[str]:
@@ -89,22 +77,19 @@ def list_domain(domain: str) -> list[str]:
     return [v.strip().strip('"').strip("'").strip('"') for v in inner.split(",")]
 
 
-def list_failures(column: ContractColumn, place: int) -> Column:
-    allowed = list_domain(column.domain)
+def list_check(column: ContractColumn) -> list[Check]:
+    """Suspect cells are those that are not one allowed value; their elements are tested."""
+    allowed = tuple(list_domain(column.domain))
     cell = strip(F.col(column.name))
-    unchecked = cell.isin(allowed)
+    bad = ~cell.isin(*allowed)
     if column.nullable:
-        unchecked = unchecked | (cell == "")
+        bad = bad & (cell != "")
+    text = 'Value not in domain list: "'
+    return [Check(DOMAINS, column, NOT_IN_LIST, bad, text, '"', PER_ELEMENT, allowed)]
 
-    def failure(value: Column, element: Column) -> Column:
-        text = F.concat(F.lit('Value not in domain list: "'), value, F.lit('"'))
-        base = _failure(DOMAINS, place, column.name, NOT_IN_LIST, text)
-        # null for an allowed element; dropped below
-        return F.when(~value.isin(allowed), base.withField("element", element))
 
-    elements = F.transform(F.split(cell, ",", -1), lambda v: strip(v))
-    # most cells hold one allowed value and never reach the element-wise part
-    return F.when(~unchecked, F.array_compact(F.transform(elements, failure)))
+def _empty_allowed(column: ContractColumn, bad: Column) -> Column:
+    return bad & (F.col(column.name) != "") if column.nullable else bad
 
 
 def range_bounds(domain: str) -> tuple[str, str]:
@@ -112,6 +97,54 @@ def range_bounds(domain: str) -> tuple[str, str]:
     return low, high
 
 
+def range_check(column: ContractColumn) -> list[Check]:
+    """Value outside the inclusive bounds; text that is no number is outside too."""
+    low, high = range_bounds(column.domain)
+    kind = "decimal(38,0)" if column.base == "integer" else "double"
+    bounds = F.lit(low.strip()).cast(kind), F.lit(high.strip()).cast(kind)
+    inside = F.coalesce(F.col(_parsed(column)).between(*bounds), F.lit(False))
+    show = AS_WHOLE if column.base == "integer" else AS_REAL
+    after = f" exceeds min {low} or max {high}"
+    return [Check(DOMAINS, column, OUT_OF_RANGE, _empty_allowed(column, ~inside), "Value ", after, show)]
+
+
+def range_split_check(column: ContractColumn) -> list[Check]:
+    """Range check with separate messages below the minimum and above the maximum."""
+    low, high = (float(b) for b in range_bounds(column.domain))
+    value = F.col(_parsed(column))
+    return [
+        Check(DOMAINS, column, OUT_OF_RANGE, value < low, "Value ", f" exceeds min {low}", AS_REAL),
+        Check(DOMAINS, column, OUT_OF_RANGE, value > high, "Value ", f" exceeds max {high}", AS_REAL),
+    ]
+
+
+def regex_check(column: ContractColumn) -> list[Check]:
+    pattern = column.domain.strip()[3:].strip()
+    bad = _empty_allowed(column, ~starts_with_match(F.col(column.name), pattern))
+    return [Check(DOMAINS, column, NOT_LIKE_PATTERN, bad, 'Value "', f'" does not match {pattern}')]
+
+
+def grammar(domain: str) -> str:
+    """Kind of a domain: a list, a pattern, a range, or none that is known."""
+    domain = domain.strip()
+    if domain.startswith("["):
+        return "list"
+    if domain.startswith("re:"):
+        return "regex"
+    return "range" if ":" in domain else ""
+
+
+DOMAIN_CHECKS = {"list": list_check, "regex": regex_check, "range": range_check}
+
+
+def domain_check(column: ContractColumn) -> list[Check]:
+    check = DOMAIN_CHECKS.get(grammar(column.domain))
+    return check(column) if check else []
+
+
+ALL_CHECKS = (not_null_check, type_check, domain_check)
+
+
 def _parsed(column: ContractColumn) -> str:
     return f"_value_{column.name}"
 
@@ -120,99 +153,115 @@ def parsed_values(df: DataFrame, contract: Contract) -> DataFrame:
     """Numeric values of the cells with a range domain, parsed once for all uses."""
     values = {}
     for column in contract.columns:
-        domain = column.domain.strip()
-        if column.name in df.columns and ":" in domain and domain[:1] != "[" and domain[:3] != "re:":
+        if column.name in df.columns and grammar(column.domain) == "range":
             parse = numbers.whole_number if column.base == "integer" else numbers.real_number
             values[_parsed(column)] = parse(F.col(column.name))
     return df.withColumns(values)
 
 
-def range_failures(column: ContractColumn, place: int) -> Column:
-    low, high = range_bounds(column.domain)
-    value = F.col(_parsed(column))
-    whole = column.base == "integer"
-    kind = "decimal(38,0)" if whole else "double"
-    text = value.cast("string") if whole else numbers.shown_real(value)
-    shown = F.coalesce(text, F.col(column.name))
-    inside = value.between(F.lit(low.strip()).cast(kind), F.lit(high.strip()).cast(kind))
-    bad = ~F.coalesce(inside, F.lit(False))
-    if column.nullable:
-        bad = bad & (F.col(column.name) != "")
-    message = F.concat(F.lit("Value "), shown, F.lit(f" exceeds min {low} or max {high}"))
-    return _if(bad, _failure(DOMAINS, place, column.name, OUT_OF_RANGE, message))
-
-
-def range_split_failures(column: ContractColumn, place: int) -> Column:
-    """Range check with separate messages below the minimum and above the maximum."""
-    low, high = (float(b) for b in range_bounds(column.domain))
-    value = F.col(_parsed(column)).cast("double")
-    text = lambda tail: F.concat(F.lit("Value "), numbers.shown_real(value), F.lit(tail))
-    failure = lambda tail: F.array(
-        _failure(DOMAINS, place, column.name, OUT_OF_RANGE, text(tail))
-    )
-    return F.when(value < low, failure(f" exceeds min {low}")).when(
-        value > high, failure(f" exceeds max {high}")
-    )
-
-
-def regex_failures(column: ContractColumn, place: int) -> Column:
-    pattern = column.domain[3:].strip()
-    cell = F.col(column.name)
-    bad = ~starts_with_match(cell, pattern)
-    if column.nullable:
-        bad = bad & (cell != "")
-    message = F.concat(F.lit('Value "'), cell, F.lit(f'" does not match {pattern}'))
-    return _if(bad, _failure(DOMAINS, place, column.name, NOT_LIKE_PATTERN, message))
+# Conditions are collected as bits of a long.
+MASK_BITS = 62
 
 
-def domain_failures(column: ContractColumn, place: int) -> Column | None:
-    """Choose the check by the grammar of the domain: list, pattern or range."""
-    domain = column.domain.strip()
-    if domain.startswith("["):
-        return list_failures(column, place)
-    if domain.startswith("re:"):
-        return regex_failures(column, place)
-    if ":" in domain:
-        return range_failures(column, place)
-    return None
+def _mask(found: list[Check]) -> Column:
+    """Bit i is set if the i-th condition holds (an unknown condition does not)."""
+    bits = [F.when(c.bad, F.lit(2**i)).otherwise(F.lit(0)).cast("long") for i, c in enumerate(found)]
+    mask = bits[0]
+    for bit in bits[1:]:
+        mask = mask.bitwiseOR(bit)
+    return mask
 
 
-PHASES = {
-    CONSTRAINTS: not_null_failures,
-    TYPES: type_failures,
-    DOMAINS: domain_failures,
-}
+def _set_bits(masks: list[str], count: int) -> Column:
+    """Numbers of the set bits; rows without any make no array."""
+    sound = F.lit(True)
+    for mask in masks:
+        sound = sound & (F.col(mask) == 0)
+    numbers_ = []
+    for i in range(count):
+        bit = F.col(masks[i // MASK_BITS]).bitwiseAND(F.lit(2 ** (i % MASK_BITS)))
+        numbers_.append(F.when(bit != 0, F.lit(i)).otherwise(F.lit(-1)))
+    return F.when(~sound, F.array_remove(F.array(*numbers_), -1))
 
 
 def failures(
     df: DataFrame,
     contract: Contract,
-    checks=tuple(PHASES.values()),
+    checks=ALL_CHECKS,
     row: str = "row",
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Failed cells of the delivery, in one pass and without a shuffle.
 
-    `row` numbers the rows of the delivery from 0; `carry` columns go along.
+    Sound cells only pay for their conditions, whose numbers are collected per row and
+    exploded; messages are made afterwards, by number, for failed cells only. `row`
+    numbers the rows of the delivery from 0; `carry` columns go along.
     """
     present = [c for c in df.columns if c in contract.names]
-    found = []
-    for place, name in enumerate(present):
-        column = contract[name]
-        found += [e for e in (check(column, place) for check in checks) if e is not None]
+    found = [check for name in present for make in checks for check in make(contract[name])]
     if not found:
-        found = [F.lit(None).cast(_FAILURE)]
-    empty = F.array().cast(_FAILURE)
-    groups = [found[i : i + CHUNK] for i in range(0, len(found), CHUNK)]
-    parts = [F.concat(*[F.coalesce(e, empty) for e in group]) for group in groups]
-    # exploded where it is built: a named array would be filtered first, and the optimizer
-    # would then evaluate all checks twice and all cleaning once per use of a cell
-    exploded = F.explode(F.concat(*parts)).alias("_f")
-    return (
-        parsed_values(df, contract)
-        .select(F.col(row).alias("row"), *carry, exploded)
-        .select("row", *carry, "_f.*")
+        found = [Check(CONSTRAINTS, contract[present[0]], 0, F.lit(False), "", show=NO_VALUE)]
+    valued = parsed_values(df, contract)
+    values = [c for c in valued.columns if c.startswith("_value_")]
+    masks = [f"_mask_{i}" for i in range(0, len(found), MASK_BITS)]
+    masked = valued.select(
+        F.col(row).alias("row"), *carry, *present, *values,
+        *[_mask(found[i : i + MASK_BITS]).alias(f"_mask_{i}") for i in range(0, len(found), MASK_BITS)],
+    )
+    # exploded where it is built: a filter on a named column would be pushed down, and then
+    # all conditions be evaluated twice and all cleaning once per use of a cell
+    failed = masked.select(
+        "row", *carry, *present, *values, F.explode(_set_bits(masks, len(found))).alias("_check")
+    )
+
+    def by_check(part) -> Column:
+        return F.get(F.array(*[F.lit(part(c)) for c in found]), F.col("_check"))
+
+    place = by_check(lambda c: present.index(c.column.name)).alias("column")
+    cell = F.get(F.array(*[F.col(c) for c in present]), place)
+    shows = {c.show for c in found}
+    shown = F.when(by_check(lambda c: c.show) == NO_VALUE, F.lit(""))
+    for kind, text in ((AS_WHOLE, lambda v: v.cast("string")), (AS_REAL, numbers.shown_real)):
+        if kind in shows:
+            # null except for the columns of this kind
+            parts = [F.col(_parsed(c.column)) if c.show == kind else F.lit(None) for c in found]
+            type_ = "decimal(38,0)" if kind == AS_WHOLE else "double"
+            value = F.get(F.array(*[p.cast(type_) for p in parts]), F.col("_check"))
+            shown = shown.when(by_check(lambda c: c.show) == kind, F.coalesce(text(value), cell))
+    result = failed.select(
+        "row", *carry, "_check",
+        by_check(lambda c: c.phase).alias("phase"),
+        place,
+        shown.otherwise(cell).alias("_shown"),
+    )
+    element = F.lit(0).alias("element")
+    if PER_ELEMENT in shows:
+        result = result.select("*", F.inline(_elements(found, by_check)))
+        shown, element = F.coalesce("_element_text", "_shown"), F.col("element")
+    else:
+        shown = F.col("_shown")
+    return result.select(
+        "row", *carry, "phase", "column",
+        by_check(lambda c: c.column.name).alias("column_name"),
+        by_check(lambda c: c.code).alias("error_code"),
+        F.concat(by_check(lambda c: c.before), shown, by_check(lambda c: c.after)).alias("message"),
+        element,
+    )
+
+
+def _elements(found: list[Check], by_check) -> Column:
+    """The failing elements of a list cell, or one entry for any other failed cell."""
+    allowed = F.get(
+        F.array(*[F.array(*[F.lit(v) for v in c.allowed]).cast("array<string>") for c in found]),
+        F.col("_check"),
+    )
+    elements = F.transform(
+        F.split(strip(F.col("_shown")), ",", -1),
+        lambda v, i: F.struct(strip(v).alias("_element_text"), i.alias("element")),
     )
+    failing = F.filter(elements, lambda e: ~F.array_contains(allowed, e["_element_text"]))
+    whole = F.array(F.struct(F.lit(None).cast("string").alias("_element_text"), F.lit(0).alias("element")))
+    return F.when(by_check(lambda c: c.show) == PER_ELEMENT, failing).otherwise(whole)
 
 
 def errors_by_column(failed: DataFrame) -> DataFrame:

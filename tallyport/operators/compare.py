@@ -49,8 +49,7 @@ def cell_differences(
         )
         for c in columns
     ]
-    differing = both.select(*key, F.array_compact(F.array(*cells)).alias("_cells"))
-    return differing.where(F.size("_cells") > 0).select(*key, F.inline("_cells"))
+    return both.select(*key, F.inline(F.array(*cells))).where("column_name is not null")
 
 
 def compare_tables(self_: DataFrame, other: DataFrame, key: list[str]) -> tuple[bool, DataFrame | None]:

@@ -104,7 +104,7 @@ def _in_ranges(numbers_: DataFrame, ranges: dict) -> DataFrame:
             slice_.cast("int").alias("slice"),
         )
         cells.append(F.when(F.col(column).between(F.lit(low), F.lit(high)), cell))
-    return numbers_.select(F.inline(F.array_compact(F.array(*cells))))
+    return numbers_.select(F.inline(F.array(*cells))).where("column_name is not null")
 
 
 def _at_rank(counted: DataFrame, ranges: dict, order: str) -> DataFrame:

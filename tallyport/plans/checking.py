@@ -16,14 +16,14 @@ def failed_cells(*wanted):
     """Failures of some checks over the cleaned delivery, in report columns."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         delivery = inputs.clean_orders(spark, sf_dir)
-        return checks.failures(delivery, CONTRACT, wanted or tuple(checks.PHASES.values()))
+        return checks.failures(delivery, CONTRACT, wanted or checks.ALL_CHECKS)
 
     return run
 
 
-def only(check, grammar):
-    """A domain check for the columns whose domain has its grammar."""
-    return lambda column, place: check(column, place) if grammar(column.domain) else None
+def only(check, kind: str):
+    """A domain check for the columns whose domain is of a kind."""
+    return lambda column: check(column) if checks.grammar(column.domain) == kind else []
 
 
 NOT_NULL_SQL = " UNION ALL ".join(
@@ -63,18 +63,12 @@ REGEX_SQL = """SELECT "row", CAST(2 AS INTEGER) AS phase, CAST(5 AS INTEGER) AS
 DOMAIN_SQL = f"{LIST_SQL} UNION ALL {RANGE_SQL} UNION ALL {REGEX_SQL}"
 FAILED_SQL = f"{CLEAN_SQL}, failed AS ({NOT_NULL_SQL} UNION ALL {TYPE_SQL} UNION ALL {DOMAIN_SQL})"
 
-query("check_not_null", f"WITH {CLEAN_SQL} {NOT_NULL_SQL}")(failed_cells(checks.not_null_failures))
-query("check_type", f"WITH {CLEAN_SQL} {TYPE_SQL}")(failed_cells(checks.type_failures))
-query("check_list", f"WITH {CLEAN_SQL} {LIST_SQL}")(
-    failed_cells(only(checks.list_failures, lambda d: d.startswith("[")))
-)
-query("check_range", f"WITH {CLEAN_SQL} {RANGE_SQL}")(
-    failed_cells(only(checks.range_failures, lambda d: d[:1].isdigit()))
-)
-query("check_regex", f"WITH {CLEAN_SQL} {REGEX_SQL}")(
-    failed_cells(only(checks.regex_failures, lambda d: d.startswith("re:")))
-)
-query("check_domain", f"WITH {CLEAN_SQL} {DOMAIN_SQL}")(failed_cells(checks.domain_failures))
+query("check_not_null", f"WITH {CLEAN_SQL} {NOT_NULL_SQL}")(failed_cells(checks.not_null_check))
+query("check_type", f"WITH {CLEAN_SQL} {TYPE_SQL}")(failed_cells(checks.type_check))
+query("check_list", f"WITH {CLEAN_SQL} {LIST_SQL}")(failed_cells(only(checks.list_check, "list")))
+query("check_range", f"WITH {CLEAN_SQL} {RANGE_SQL}")(failed_cells(only(checks.range_check, "range")))
+query("check_regex", f"WITH {CLEAN_SQL} {REGEX_SQL}")(failed_cells(only(checks.regex_check, "regex")))
+query("check_domain", f"WITH {CLEAN_SQL} {DOMAIN_SQL}")(failed_cells(checks.domain_check))
 
 
 @query(
@@ -86,8 +80,8 @@ query("check_domain", f"WITH {CLEAN_SQL} {DOMAIN_SQL}")(failed_cells(checks.doma
       CAST(0 AS INTEGER) AS element FROM v WHERE value < 1000 OR value > 400000""",
 )
 def check_range_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    numeric = only(checks.range_split_failures, lambda d: d.startswith("1000:"))
-    return failed_cells(numeric)(spark, sf_dir)
+    real = lambda column: checks.range_split_check(column) if column.base == "real" else []
+    return failed_cells(real)(spark, sf_dir)
 
 
 REPORT_COLUMNS = """"row", "column", column_name, error_code, message"""

@@ -240,7 +240,7 @@ def load_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM clean WHERE trim(status) = ''""",
 )
 def sink_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    failed = checks.failures(inputs.clean_orders(spark, sf_dir), CONTRACT, (checks.not_null_failures,))
+    failed = checks.failures(inputs.clean_orders(spark, sf_dir), CONTRACT, (checks.not_null_check,))
     rows = loading.quality_rows(failed, inputs.SOURCE_CODE, "2024-Q1")
     path = scratch(spark, "quality")
     tables.append(rows, path, "period")
@@ -286,7 +286,7 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Errors of a column written as `;` separated text, and what a reader gets back."""
     delivery = inputs.clean_orders(spark, sf_dir).select("row", "order_date")
-    failed = checks.failures(delivery, CONTRACT, (checks.type_failures,))
+    failed = checks.failures(delivery, CONTRACT, (checks.type_check,))
     place = F.lit(NAMES.index("order_date")).alias("column")
     path = scratch(spark, "report")
     delimited.write_delimited(failed.select("row", place, *checks.REPORT[2:]), path, quote_all=False)
