@@ -22,7 +22,11 @@ def real_number(cell: Column) -> Column:
 
 
 def shown_real(value: Column) -> Column:
-    """Shortest decimal text, such as `500.0`, `0.001` or `12345678.9`."""
+    """Short decimal text, such as `500.0`, `0.001`, `12345678.9` or `1e-05`.
+
+    The digits are those of the JVM; before JDK 19 it prints a few very large or very
+    small numbers with more digits than needed.
+    """
     plain = F.regexp_replace(
         value.cast("decimal(38,20)").cast("string"), r"(\.\d+?)0*$", "$1"
     )

@@ -47,11 +47,13 @@ def create_history_functions(spark: SparkSession, table: str, supplier: str, key
     spark.sql(
         f"CREATE OR REPLACE TEMPORARY FUNCTION show_{supplier}_at(day DATE) "
         f"RETURNS TABLE ({columns}) "
-        f"RETURN SELECT * FROM {table} WHERE valid_from <= day AND valid_to >= day"
+        f"RETURN SELECT * FROM {table} "
+        f"WHERE valid_from <= show_{supplier}_at.day AND valid_to >= show_{supplier}_at.day"
     )
     spark.sql(
         f"CREATE OR REPLACE TEMPORARY FUNCTION show_history_of_{supplier}(id {kind}) "
-        f"RETURNS TABLE ({columns}) RETURN SELECT * FROM {table} WHERE `{key}` = id"
+        f"RETURNS TABLE ({columns}) "
+        f"RETURN SELECT * FROM {table} WHERE `{key}` = show_history_of_{supplier}.id"
     )
 
 
