@@ -61,13 +61,16 @@ def key_states(history: DataFrame, changes: DataFrame, key: list[str]) -> DataFr
     """What the history and the file know about each changed key, one row per key.
 
     All columns are plain aggregates, so a key with very many changes or versions is
-    reduced before the shuffle and never gathered or ordered in one task.
+    reduced before the shuffle and never gathered or ordered in one task. The changed keys
+    and the result are settled: usually few, they are broadcast and the history stays put.
     """
     action = F.lower(ACTION)
     position = F.col(POSITION)
-    in_file = changes.groupBy(*key).agg(
-        F.min(F.when(action == INSERT, position)).alias("first_insert"),
-        F.max(F.when(action.isin(CLOSING), position)).alias("last_close"),
+    in_file = small_side(
+        changes.groupBy(*key).agg(
+            F.min(F.when(action == INSERT, position)).alias("first_insert"),
+            F.max(F.when(action.isin(CLOSING), position)).alias("last_close"),
+        )
     )
     known = (
         history.select(*key, is_current().alias("_current"))
@@ -75,11 +78,12 @@ def key_states(history: DataFrame, changes: DataFrame, key: list[str]) -> DataFr
         .groupBy(*key)
         .agg(F.max("_current").alias("current"))
     )
-    return in_file.join(known, key, "left").select(
+    states = in_file.join(known, key, "left").select(
         *in_file.columns,
         F.col("current").isNotNull().alias("known"),
         F.coalesce("current", F.lit(False)).alias("current"),
     )
+    return small_side(states)
 
 
 def judge(changes: DataFrame, states: DataFrame, key: list[str]) -> DataFrame:
@@ -153,15 +157,14 @@ def apply_changes(
 ) -> Applied:
     """Apply one change file to a history.
 
-    What is known about the changed keys is settled once, and broadcast if it is counted
-    to be small: then the history is neither read again for it nor shuffled. Only current
-    rows are joined with the closing keys; rows closed earlier pass by. A change affects
+    Only current rows are joined with the closing keys; rows closed earlier pass by. With
+    few changed keys nothing of the history is shuffled. A change affects
     the row that is current when its turn comes, so a version written by the file and
     closed later in the same file gets `valid_to = end`, before its start. `stamps` gives
     the remaining generated columns of new rows.
     """
     names = history.columns
-    states = small_side(key_states(history, changes, key))
+    states = key_states(history, changes, key)
     judged = judge(changes, states, key)
     closing = states.where("current and last_close is not null").select(*key, F.lit(True).alias("_closing"))
     hit = F.col("_closing").isNotNull()

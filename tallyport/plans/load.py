@@ -58,21 +58,22 @@ def load_delivery(
 
     raw = delimited.read_delivery(spark, path, contract, header=header, traced=True)
     staged = staging.stage(clean(raw, contract, rules))
-    numbered = staging.number_rows(staged)
+    numbered = staging.number_rows(staged, "row", start=0)
 
-    stamped = loading.stamp_delivery(loading.load_typed(numbered, contract), contract.source_code, period)
+    typed = loading.load_typed(numbered, contract)
+    first = F.lit(next_record(stored(spark, at["data"]), period))
+    stamped = loading.stamp_delivery(
+        typed.withColumn("record_no", F.col("row") + first), contract.source_code, period
+    )
     replace_period(loading.table_order(stamped, contract), at["data"])
 
     if data_check:
-        positioned = numbered.withColumn("row", F.col("record_no") - 1)
-        failed = checks.failures(positioned, contract)
+        report = checks.failures(numbered, contract)
         if max_errors is not None:
-            failed, _, _ = checks.within_budget(failed, max_errors)
-        report = failed.withColumn("row", F.col("row") + 1)
-        replace_period(loading.quality_rows(report, contract.source_code, period), at["quality"])
+            report, _, _ = checks.within_budget(report, max_errors)
     else:
         report, _, _ = checks.check_all(numbered, contract, data_check=False)
-        replace_period(loading.quality_rows(report, contract.source_code, period), at["quality"])
+    replace_period(loading.quality_rows(report, contract.source_code, period), at["quality"])
 
     sequence = 1 if known is None else next_sequence(known).first().next_sequence
     records = spark.read.parquet(at["data"]).where(F.col("period") == period).agg(F.count("*").alias("records"))
@@ -83,6 +84,14 @@ def load_delivery(
     return Loaded(*(spark.read.parquet(p) for p in at.values()), new=True)
 
 
+def next_record(data: DataFrame | None, period: str) -> int:
+    """The first free record number, not counting the rows the delivery replaces."""
+    if data is None:
+        return 1
+    others = data.where(F.col("period") != period)
+    return others.agg(F.coalesce(F.max("record_no"), F.lit(0)) + 1).first()[0]
+
+
 def replace_period(df: DataFrame, path: str) -> None:
     """Write the rows of a delivery in place of what its period held before."""
     (

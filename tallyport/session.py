@@ -7,8 +7,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# Above this many rows a lookup side is joined by shuffle instead of being broadcast.
-BROADCAST_ROWS = 1_000_000
+# A lookup side larger than this is joined by shuffle instead of being broadcast.
+BROADCAST_BYTES = 256 * 1024 * 1024
+# What a row and a cell cost besides their text.
+ROW_BYTES, CELL_BYTES = 32, 16
 
 
 def workspace(spark: SparkSession) -> str:
@@ -18,7 +20,7 @@ def workspace(spark: SparkSession) -> str:
     it is a configuration error, since executors cannot see the driver's disk.
     """
     sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if root is None:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
@@ -40,11 +42,16 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Settle a lookup side and broadcast it only if it is counted to be small.
+def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Settle a lookup side and broadcast it only if it is measured to be small.
 
-    Beyond `limit` rows the plain frame is returned and Spark joins by shuffle.
+    The settled rows are counted and their text added up. Above `limit` bytes the plain
+    frame is returned and Spark joins by shuffle.
     """
     settled = settle(df)
-    few = settled.limit(limit + 1).count() <= limit
-    return F.broadcast(settled) if few else settled
+    text = F.concat_ws("", *[F.col(c).cast("string") for c in settled.columns])
+    size = settled.agg(
+        F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("text")
+    ).first()
+    measured = size.text + size["rows"] * (ROW_BYTES + CELL_BYTES * len(settled.columns))
+    return F.broadcast(settled) if measured <= limit else settled

@@ -177,6 +177,7 @@ def test_load_and_remove(spark, files, contract, tmp_path):
     second = load("2023-Q3", max_errors=5)
     assert second.data.count() == 18
     assert second.quality.where("period = '2023-Q3'").count() == 5
+    assert sorted(r.record_no for r in second.data.collect()) == list(range(1, 19))
     typed = {r.test_id: r for r in second.data.where("period = '2023-Q2'").collect()}
     assert typed[1].col_integer == -1 and typed[8].col_date is None and typed[8].check_null == ""
     assert str(typed[1].col_date) == "2024-12-31" and typed[9].col_decimal is None

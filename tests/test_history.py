@@ -60,7 +60,7 @@ def random_case(seed, keys=12, rows=40, changes=60, hot=False):
 
 
 @pytest.mark.parametrize("seed, hot", [(1, False), (2, False), (3, True), (4, True)])
-@pytest.mark.parametrize("limit", [1_000_000, 0])
+@pytest.mark.parametrize("limit", [1_000_000, -1])
 def test_apply_changes(spark, monkeypatch, seed, hot, limit):
     """With the states of the keys broadcast, and joined by shuffle."""
     small = history.small_side
