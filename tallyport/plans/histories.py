@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tallyport.contract import Contract, ContractColumn
 from tallyport.functions import periods
 from tallyport.operators import history
+from tallyport.operators.cleaning import CleaningRules
+from tallyport.operators.stored import StoredHistory
 from tallyport.plans import checking, inputs, scans
 from tallyport.plans.inputs import CHANGES_SQL, CONTRACT, HISTORY_SQL, shown, table
+from tallyport.plans.load import load_changes
 from tallyport.plans.registry import query
 from tallyport.session import scratch
 from tallyport.sources import delimited
 from tallyport.streaming.checks import check_landing
-from tallyport.streaming.mutations import StoredHistory, apply_landing
+from tallyport.streaming.mutations import apply_landing
 
 KEY = ["cust_id"]
 BOTH_SQL = f"{HISTORY_SQL}, {CHANGES_SQL}"
@@ -110,6 +114,48 @@ applied_query("scd2_update", [history.UPDATE])
 applied_query("scd2_apply", None)
 
 
+CUSTOMER_CONTRACT = Contract.of(
+    ContractColumn("cust_id", "bigint", "NOT NULL", key="PRIMARY KEY"),
+    ContractColumn("name", "text", "NOT NULL"),
+    ContractColumn("balance", "numeric", "", "0:450000", precision=12, scale=2),
+    source_code="CRM",
+)
+WHOLE_FILE_SQL = inputs.applied_sql("history", "changes", *FIRST_WINDOW)
+
+
+@query(
+    "load_changes",
+    f"""WITH {VERDICTS_SQL}, after AS ({WHOLE_FILE_SQL})
+    SELECT {HISTORY_OUT}, (SELECT count(*) FROM verdicts_changes WHERE reason IS NOT NULL) AS refused,
+      (SELECT count(*) FROM changes WHERE balance > 450000) AS failed FROM after""",
+)
+def load_changes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delivered change file, checked and applied to a history with all generated columns."""
+    before, changes = both(spark, sf_dir)
+    earlier = F.col("valid_to") == F.to_date(F.lit("2023-12-31"))
+    rows = before.withColumns(
+        {
+            "record_no": F.col("cust_id") * 2 + F.when(earlier, 1).otherwise(2),
+            "source_code": F.lit("CRM"),
+            "period": F.lit("2023-I"),
+            "loaded_at": F.lit(None).cast("timestamp"),
+        }
+    )
+    schema = CUSTOMER_CONTRACT.typed_schema()
+    store = StoredHistory(spark, scratch(spark, "history"), schema)
+    store.start(rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]))
+    landing = f"{scratch(spark, 'changes')}/{inputs.CHANGE_NAME}"
+    ordered = changes.repartitionByRange("pos").sortWithinPartitions("pos")
+    delimited.write_delimited(ordered.select("action", "cust_id", "name", "balance"), landing)
+    quality = scratch(spark, "quality")
+    refused = load_changes(
+        spark, landing, inputs.CHANGE_NAME, CUSTOMER_CONTRACT, CleaningRules(strip=("*",)), "2024-M2", store, quality
+    )
+    after = shown(store.read(store.versions()).select(*inputs.HISTORY_COLUMNS))
+    count = lambda df: df.select(F.count("*")).scalar()
+    return after.withColumns({"refused": count(refused), "failed": count(spark.read.parquet(quality))})
+
+
 @query("latest_valid_to", f"WITH {HISTORY_SQL} SELECT CAST(max(valid_to) AS VARCHAR) AS valid_to FROM history")
 def latest_valid_to(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(history.latest_valid_to(inputs.customer_history(spark, sf_dir)))

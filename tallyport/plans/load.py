@@ -1,4 +1,4 @@
-"""One delivery from its files to the tables: read, clean, stage, check, stamp, append."""
+"""One delivery from its files to the tables, or one change file to the history."""
 
 from __future__ import annotations
 
@@ -6,10 +6,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyport.contract import Contract
+from tallyport.contract import Contract, ContractError
+from tallyport.functions.periods import change_window
 from tallyport.operators import checks, loading
 from tallyport.operators.cleaning import CleaningRules, clean
+from tallyport.operators.history import ACTION, POSITION, apply_changes
 from tallyport.operators.ledger import next_sequence
+from tallyport.operators.stored import StoredHistory
+from tallyport.session import settle
 from tallyport.sources import delimited, staging, tables
 
 
@@ -84,11 +88,61 @@ def load_delivery(
     return Loaded(*(spark.read.parquet(p) for p in at.values()), new=True)
 
 
-def next_record(data: DataFrame | None, period: str) -> int:
-    """The first free record number, not counting the rows the delivery replaces."""
+def load_changes(
+    spark: SparkSession,
+    path: str,
+    name: str,
+    contract: Contract,
+    rules: CleaningRules,
+    period: str,
+    store: StoredHistory,
+    quality: str,
+    instruction: str = ACTION,
+    sep: str = ";",
+    header: bool = True,
+    max_errors: int | None = None,
+) -> DataFrame:
+    """Apply a delivered change file to a stored history; returns the refused changes.
+
+    `name` holds the two dates of the change window. The data columns are cleaned and
+    checked like any delivery; existence is judged on the history before the file. The
+    version carries the name, so no change file is applied twice.
+    """
+    done = store.versions()
+    if name in [v.split("-", 1)[1] for v in done]:
+        raise ContractError(f"change file was applied before: {name}")
+    raw = delimited.read_delivery(
+        spark, path, contract, header=header, sep=sep, instructions=(instruction,), traced=True
+    )
+    staged = staging.stage(clean(raw, contract, rules))
+    numbered = staging.number_rows(staged, "row", start=0)
+
+    history = store.read(done)
+    typed = loading.load_typed(numbered, contract).withColumnRenamed("row", POSITION)
+    start, end = change_window(F.lit(name))
+    first = F.lit(next_record(history))
+    stamps = {
+        "record_no": F.col(POSITION) + first,
+        "source_code": F.lit(contract.source_code),
+        "period": F.lit(period),
+        "loaded_at": loading.now(),
+    }
+    changes = typed.withColumnRenamed(instruction, ACTION)
+    applied = apply_changes(history, changes, list(contract.keys), start, end, stamps)
+    report = checks.failures(numbered, contract)
+    if max_errors is not None:
+        report, _, _ = checks.within_budget(report, max_errors)
+    replace_period(loading.quality_rows(report, contract.source_code, period), quality)
+    refused = settle(applied.rejected)
+    store.add(f"{len(done):06d}-{name}", name, applied)
+    return refused
+
+
+def next_record(data: DataFrame | None, without: str | None = None) -> int:
+    """The first free record number, not counting the rows of a period to be replaced."""
     if data is None:
         return 1
-    others = data.where(F.col("period") != period)
+    others = data if without is None else data.where(F.col("period") != without)
     return others.agg(F.coalesce(F.max("record_no"), F.lit(0)) + 1).first()[0]
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F, types as T
 
 from tallyport.functions.periods import change_window
 from tallyport.operators import compare, history
-from tallyport.streaming.mutations import StoredHistory, apply_landing
+from tallyport.operators.stored import StoredHistory
+from tallyport.streaming.mutations import apply_landing
 
 END = datetime.date(9999, 12, 31)
 BEGIN = datetime.date(1970, 1, 1)
