@@ -6,9 +6,12 @@ import random
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from tallyport.contract import Contract, ContractColumn, ContractError
 from tallyport.functions.periods import change_window
 from tallyport.operators import compare, history
+from tallyport.operators.cleaning import CleaningRules
 from tallyport.operators.stored import StoredHistory
+from tallyport.plans.load import load_changes
 from tallyport.streaming.mutations import apply_landing
 
 END = datetime.date(9999, 12, 31)
@@ -144,3 +147,39 @@ def test_change_files_as_they_land(spark, tmp_path):
 def test_change_window(spark):
     row = spark.range(1).select(*change_window(F.lit("mutation_20240101-20240315"))).first()
     assert [str(d) for d in row] == ["2024-03-01", "2024-02-29"]
+
+
+def test_load_changes(spark, tmp_path):
+    """A delivered change file: checked, applied once, refused the second time."""
+    contract = Contract.of(
+        ContractColumn("id", "bigint", "NOT NULL", key="PRIMARY KEY"),
+        ContractColumn("v", "text", "", "re:[a-z]+$"),
+        source_code="S",
+    )
+    schema = contract.typed_schema()
+    rows = [(1, "S", "2023-I", BEGIN, END, None, 7, "a"), (2, "S", "2023-I", BEGIN, END, None, 8, "b")]
+    store = StoredHistory(spark, str(tmp_path / "history"), schema)
+    store.start(spark.createDataFrame(rows, schema))
+    (tmp_path / "changes.csv").write_text(
+        "Action;ID;V\nupdate; 7 ;x\ndelete;8;b\ninsert;9;Q\ninsert;7;y\nother;1;z\n"
+    )
+    load = lambda: load_changes(
+        spark, str(tmp_path / "changes.csv"), "change_20240101-20240215", contract,
+        CleaningRules(strip=("*",)), "2024-M2", store, str(tmp_path / "quality"),
+    )
+    refused = {(r.action, r.id, r.reason) for r in load().collect()}
+    assert refused == {("insert", 7, "key already exists"), ("other", 1, "unknown instruction")}
+    after = sorted(
+        (r.id, r.v, str(r.valid_from), str(r.valid_to), r.record_no, r.period)
+        for r in store.read(store.versions()).collect()
+    )
+    assert after == [
+        (7, "a", "1970-01-01", "2024-01-31", 1, "2023-I"),
+        (7, "x", "2024-02-01", "9999-12-31", 3, "2024-M2"),
+        (8, "b", "1970-01-01", "2024-01-31", 2, "2023-I"),
+        (9, "Q", "2024-02-01", "9999-12-31", 5, "2024-M2"),
+    ]
+    failed = spark.read.parquet(str(tmp_path / "quality")).collect()
+    assert [(r.row_number, r.column_name, r.quality_code) for r in failed] == [(2, "v", 8)]
+    with pytest.raises(ContractError, match="before"):
+        load()
