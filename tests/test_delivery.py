@@ -215,3 +215,22 @@ def test_delivery_note_is_required(spark):
 def test_sql_templates_need_known_tables(spark):
     with pytest.raises(ContractError):
         ledger.run_templates(spark, {"x": "SELECT 1 FROM {table}"}, ["other"], ["known"])
+
+
+def test_many_columns(spark):
+    """More checks than bits in one mask."""
+    columns = [ContractColumn(f"c{i}", "integer", "", f"0:{i}") for i in range(80)]
+    contract = Contract.of(*columns)
+    value = lambda row, i: "x" if (row + i) % 41 == 0 else str((row * 7 + i) % 90)
+    rows = [(row, *[value(row, i) for i in range(80)]) for row in range(20)]
+    frame = spark.createDataFrame(rows, "row long, " + ", ".join(f"c{i} string" for i in range(80)))
+    expected = []
+    for row in range(20):
+        for i in range(80):
+            cell = value(row, i)
+            if cell == "x":
+                expected.append((row, i, 6, 'Datatype not integer, value found is "x"'))
+            if cell == "x" or int(cell) > i:
+                expected.append((row, i, 3, f"Value {cell} exceeds min 0 or max {i}"))
+    found = checks.failures(frame, contract).collect()
+    assert sorted((r["row"], r["column"], r.error_code, r.message) for r in found) == sorted(expected)
