@@ -14,8 +14,8 @@ WHITE_SPACE = (
 )
 
 
-def _white(character: Column) -> Column:
-    return character.isin(*WHITE_SPACE)
+def _white_or_empty(character: Column) -> Column:
+    return F.translate(character, WHITE_SPACE, "") == ""
 
 
 def strip(cell: Column) -> Column:
@@ -24,13 +24,13 @@ def strip(cell: Column) -> Column:
     Most cells have none at either end: a look at the first and the last character
     spares them the trim, which copies character by character.
     """
-    ends = _white(F.substring(cell, 1, 1)) | _white(F.substring(cell, -1, 1))
+    ends = _white_or_empty(F.substring(cell, 1, 1)) | _white_or_empty(F.substring(cell, -1, 1))
     return F.when(ends, F.trim(cell, F.lit(WHITE_SPACE))).otherwise(cell)
 
 
 def is_blank(cell: Column) -> Column:
     first = F.substring(cell, 1, 1)
-    return (first == "") | (_white(first) & (F.trim(cell, F.lit(WHITE_SPACE)) == ""))
+    return _white_or_empty(first) & (F.trim(cell, F.lit(WHITE_SPACE)) == "")
 
 
 def null_or_empty(cell: Column) -> Column:

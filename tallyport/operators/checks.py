@@ -174,14 +174,11 @@ def _mask(found: list[Check]) -> Column:
 
 def _set_bits(masks: list[str], count: int) -> Column:
     """Numbers of the set bits; rows without any make no array."""
-    sound = F.lit(True)
-    for mask in masks:
-        sound = sound & (F.col(mask) == 0)
-    numbers_ = []
-    for i in range(count):
-        bit = F.col(masks[i // MASK_BITS]).bitwiseAND(F.lit(2 ** (i % MASK_BITS)))
-        numbers_.append(F.when(bit != 0, F.lit(i)).otherwise(F.lit(-1)))
-    return F.when(~sound, F.array_remove(F.array(*numbers_), -1))
+    unsound = " OR ".join(f"{mask} <> 0" for mask in masks)
+    numbers_ = ", ".join(
+        f"IF({masks[i // MASK_BITS]} & {2 ** (i % MASK_BITS)} <> 0, {i}, -1)" for i in range(count)
+    )
+    return F.expr(f"CASE WHEN {unsound} THEN array_remove(array({numbers_}), -1) END")
 
 
 def failures(
@@ -215,7 +212,12 @@ def failures(
     )
 
     def by_check(part) -> Column:
-        return F.get(F.array(*[F.lit(part(c)) for c in found]), F.col("_check"))
+        """What belongs to the failed check, from a constant array."""
+        parts = [part(c) for c in found]
+        if isinstance(parts[0], int):
+            # one expression instead of one per check
+            return F.get(F.expr(f"array({', '.join(map(str, parts))})"), F.col("_check"))
+        return F.get(F.array(*[F.lit(p) for p in parts]), F.col("_check"))
 
     place = by_check(lambda c: present.index(c.column.name)).alias("column")
     cell = F.get(F.array(*[F.col(c) for c in present]), place)
