@@ -1 +1,11 @@
-"""Operators for training-data pipelines and their registered queries."""
+"""Operators for training-data pipelines and their registered queries.
+
+Functions that run in Python workers are sent with the tasks, so executors need no copy of this
+package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -14,8 +14,10 @@ the pivot are computed exactly, those within the radius are links, and linked te
 be compared again with one another. Where a cell still holds several components, its members
 are dealt to rings of the pivot's distance; two texts can only be linked if their distances to
 the pivot differ by no more than the radius (triangle inequality), so each member goes to the
-two cells made of its ring and the next or the one before. Cells join recursively: large ones
-by a pivot of their own, those of at most `LEAF` texts pair by pair between components.
+two cells made of its ring and the next or the one before. There the members outside the largest
+component are pivots in turn, a block of them against all others, until no cell holds two
+components. Every pair of a cell is thus settled: by a test, by its components being joined
+already, or by a bound (triangle inequality, sizes, or the place of the region's shingle).
 """
 
 from __future__ import annotations
@@ -39,8 +41,8 @@ SKETCH = 1 << 20
 CHUNK = 1 << 12
 # Members of a first cell; a region that may be larger is dealt to several cells.
 CELL = 1024
-# Members of a cell that is finished pair by pair.
-LEAF = 128
+# Members of a cell that are compared with all others of it at a time.
+BLOCK = 1024
 
 
 def _described(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
@@ -84,7 +86,9 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _regions(batches: Iterator[pa.RecordBatch], words: int, percent: int, sketch) -> Iterator[pa.RecordBatch]:
-    """A row for each region in whose window a text lies. A set met again in the task is left out.
+    """A row for each region in whose window a text lies, with the shingle's place in the common order.
+
+    A set met again in the task is left out.
 
     The sketch bounds the texts of a region from above; `part` splits a region that may have
     more than `CELL` of them and is 0 in all others.
@@ -92,7 +96,7 @@ def _regions(batches: Iterator[pa.RecordBatch], words: int, percent: int, sketch
     counts = sketch.value
     met: set[tuple[int, int]] = set()
     for batch in batches:
-        regions, parts, names, sizes = [], [], [], []
+        regions, parts, names, sizes, places = [], [], [], [], []
         for found in shingles.sets((t.as_buffer() if t.is_valid else None for t in batch.column(0)), words):
             n = len(found)
             name = shingles.fingerprint(found)
@@ -108,6 +112,7 @@ def _regions(batches: Iterator[pa.RecordBatch], words: int, percent: int, sketch
             parts.append(np.where(split > 1, 1 + name % np.maximum(1, split), 0).astype(np.int32))
             names.append(name)
             sizes.append(n)
+            places.append(np.arange(width, dtype=np.int32))
         widths = [len(r) for r in regions]
         if widths:
             yield pa.record_batch(
@@ -116,8 +121,9 @@ def _regions(batches: Iterator[pa.RecordBatch], words: int, percent: int, sketch
                     pa.array(np.concatenate(parts), pa.int32()),
                     pa.array(np.repeat(np.array(names, np.int64), widths), pa.int64()),
                     pa.array(np.repeat(np.array(sizes, np.int32), widths), pa.int32()),
+                    pa.array(np.concatenate(places), pa.int32()),
                 ],
-                names=["region", "part", "name", "n"],
+                names=["region", "part", "name", "n", "place"],
             )
 
 
@@ -153,9 +159,13 @@ def _node(name: str = "name", n: str = "n") -> Column:
 
 
 def _pair(a: Column, b: Column) -> list[Column]:
-    """The columns of an unordered pair of nodes."""
+    """The columns of an unordered pair of nodes with places."""
     x, y = F.least(a, b), F.greatest(a, b)
-    return [x["name"].alias("x"), x["n"].alias("xn"), y["name"].alias("y"), y["n"].alias("yn")]
+    return [x["name"].alias("x"), x["n"].alias("xn"), y["name"].alias("y"), y["n"].alias("yn"), x["place"].alias("xp"), y["place"].alias("yp")]
+
+
+def _placed(name: str = "name", n: str = "n", place: str = "place") -> Column:
+    return F.struct(F.col(n).alias("n"), F.col(name).alias("name"), F.col(place).alias("place"))
 
 
 PAIR = ["x", "xn", "y", "yn"]
@@ -180,9 +190,9 @@ class JaccardJoin:
         text_col: str = "text",
         words: int = shingles.WORDS,
         percent: int = PERCENT,
-        leaf: int = LEAF,
+        block: int = BLOCK,
     ):
-        self.percent, self.words, self.leaf = percent, words, leaf
+        self.percent, self.words, self.block = percent, words, block
         self.input = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
         described = written(
             self.input.mapInArrow(lambda it: _described(it, words), "id long, n int, name long, chunk int, counts binary"),
@@ -211,11 +221,11 @@ class JaccardJoin:
         """Rows (cell, name, n): the regions in which a text may have company."""
         words, percent = self.words, self.percent
         rows = self.input.select("text").mapInArrow(
-            lambda it: _regions(it, words, percent, sketch), "region long, part int, name long, n int"
+            lambda it: _regions(it, words, percent, sketch), "region long, part int, name long, n int, place int"
         )
         within = Window.partitionBy("region", "part")
         seen = rows.withColumns({"low": F.min(_node()).over(within), "high": F.max(_node()).over(within)})
-        kept = seen.where("low != high or part > 0").select(F.col("region").alias("cell"), "name", "n")
+        kept = seen.where("low != high or part > 0").select(F.col("region").alias("cell"), "name", "n", "place")
         return written(kept, "cells").distinct()
 
     def _packed_sets(self, cells: DataFrame) -> DataFrame:
@@ -242,6 +252,15 @@ class JaccardJoin:
         small, large = F.least("xn", "yn").cast("long"), F.greatest("xn", "yn").cast("long")
         return 100 * small >= self.percent * large
 
+    def _within_reach(self) -> Column:
+        """Whether a pair may be linked if the region's shingle is the first that both have.
+
+        Both have at most the shingles from their places on in common then. A linked pair whose
+        first common shingle is another one passes in that one's region.
+        """
+        most = F.least(F.col("xn") - F.col("xp"), F.col("yn") - F.col("yp")).cast("long")
+        return (100 + self.percent) * most >= self.percent * (F.col("xn") + F.col("yn")).cast("long")
+
     def _with_components(self, rows: DataFrame, links: DataFrame) -> DataFrame:
         ends = links.select(_node("x", "xn").alias("a"), _node("y", "yn").alias("b"))
         labels = components(ends).select(F.col("node.name").alias("name"), F.col("node.n").alias("n"), "component")
@@ -249,26 +268,29 @@ class JaccardJoin:
 
     @staticmethod
     def _open(rows: DataFrame) -> DataFrame:
-        """Cells that hold several components, each set of members once, with their size and pivot."""
-        order = F.struct(F.xxhash64("name", "n").alias("h"), "n", "name")
+        """Cells that hold several components, each set of members once, with a pivot and the largest component."""
+        order = F.struct(F.xxhash64("name", "n").alias("h"), "n", "name", "place")
+        parts = rows.groupBy("cell", "component").agg(
+            F.count("*").alias("k"), F.min(order).alias("first"), F.sum(F.xxhash64("n", "name").cast("decimal(20,0)")).alias("h")
+        )
         return (
-            rows.groupBy("cell")
+            parts.groupBy("cell")
             .agg(
-                F.min("component").alias("lo"),
-                F.max("component").alias("hi"),
-                F.count("*").alias("members"),
-                F.sum(F.xxhash64("n", "name").cast("decimal(20,0)")).alias("same"),
-                F.min(order).alias("pivot"),
+                F.count("*").alias("parts"),
+                F.sum("k").alias("members"),
+                F.sum("h").alias("same"),
+                F.min("first").alias("p"),
+                F.max(F.struct("k", "component")).alias("largest"),
             )
-            .where("lo != hi")
+            .where("parts > 1")
             .groupBy("members", "same")
-            .agg(F.min(F.struct("cell", "pivot")).alias("c"))
-            .select("c.cell", "members", F.struct("c.pivot.n", "c.pivot.name").alias("pivot"))
+            .agg(F.min(F.struct("cell", "p", "largest")).alias("c"))
+            .select("c.cell", F.struct("c.p.n", "c.p.name", "c.p.place").alias("pivot"), F.col("c.largest.component").alias("main"))
         )
 
     def _rings(self, rows: DataFrame, tested: DataFrame) -> DataFrame:
         """The next cells: a member goes to the pairs of rings that its distance to the pivot allows."""
-        around = rows.where(_node() != F.col("pivot")).select("cell", "name", "n", "component", *_pair(_node(), F.col("pivot")))
+        around = rows.where(_placed() != F.col("pivot")).select("cell", "name", "n", "place", *_pair(_placed(), F.col("pivot")))
         met = around.join(tested, PAIR, "left")
         union = (F.col("xn") + F.col("yn") - F.col("shared")).cast("long")
         # without a test the sizes give the least distance, and the largest is 1
@@ -279,43 +301,37 @@ class JaccardJoin:
         far = F.when(F.col("shared").isNotNull(), F.col("near")).otherwise(F.lit(last).cast("long"))
         ranged = met.withColumn("union", union).withColumn("near", near).withColumn("far", far)
         return ranged.select(
-            F.explode(F.sequence(F.greatest(F.col("near") - 1, F.lit(0).cast("long")), "far")).alias("ring"), "cell", "name", "n", "component"
-        ).select(F.xxhash64("cell", "ring").alias("cell"), "name", "n", "component")
+            F.explode(F.sequence(F.greatest(F.col("near") - 1, F.lit(0).cast("long")), "far")).alias("ring"), "cell", "name", "n", "place"
+        ).select(F.xxhash64("cell", "ring").alias("cell"), "name", "n", "place")
+
+    def _tested(self, pairs: DataFrame, before: DataFrame | None) -> DataFrame:
+        """The exact overlaps of pairs that may be linked and were not tested before."""
+        fresh = pairs.where(self._sizes_fit() & self._within_reach()).select(*PAIR).distinct()
+        if before is not None:
+            fresh = fresh.join(before, PAIR, "left_anti")
+        return written(self._verified(fresh).distinct(), "tested")
 
     def _join(self, cells: DataFrame) -> DataFrame:
+        # every cell against its pivot
         rows = cells.withColumn("component", _node())
-        tested = None
+        rows = written(rows.join(self._open(rows), "cell"), "rows")
+        tested = self._tested(rows.where(_placed() != F.col("pivot")).select(*_pair(_placed(), F.col("pivot"))), None)
+        rows = written(self._rings(rows, tested).distinct(), "rings")
         while True:
+            # cells in which components remain apart: members outside the largest one against all others, in blocks
+            rows = self._with_components(rows.select("cell", "name", "n", "place"), self._linked(tested))
+            rows = written(rows, "labelled")
             state = written(self._open(rows), "open")
             if not flagged(state):
-                break
-            rows = written(rows.join(state, "cell"), "rows")
-            small = rows.where(F.col("members") <= self.leaf)
-            large = rows.where(F.col("members") > self.leaf)
-            if tested is None:
-                # first all members against their pivots; it settles nearly all cells
-                small, large = small.limit(0), rows
-            other = small.select(F.col("cell"), _node().alias("b"), F.col("component").alias("other"))
-            pairs = (
-                small.select("cell", _node().alias("a"), "component")
-                .join(other, "cell")
-                .where("a < b and component != other")
-                .select(*_pair(F.col("a"), F.col("b")))
-                .unionByName(large.where(_node() != F.col("pivot")).select(*_pair(_node(), F.col("pivot"))))
-                .where(self._sizes_fit())
-                .distinct()
-            )
-            if tested is not None:
-                pairs = pairs.join(tested, PAIR, "left_anti")
-            now = written(self._verified(pairs).distinct(), "tested")
-            tested = now if tested is None else tested.unionByName(now)
-            if not flagged(large):
-                break
-            nextcells = self._rings(large, tested).select("cell", "name", "n").distinct()
-            rows = written(self._with_components(nextcells, self._linked(tested)), "rings")
-        if tested is None:
-            return self.input.sparkSession.createDataFrame([], "x long, xn int, y long, yn int, shared int")
-        return self._linked(tested)
+                return self._linked(tested)
+            rows = rows.join(state, "cell")
+            turn = F.row_number().over(Window.partitionBy("cell").orderBy(F.xxhash64("name", "n"), "name", "n", "place"))
+            chosen = rows.where("component != main").withColumn("turn", turn).where(F.col("turn") <= self.block)
+            chosen = written(chosen.select("cell", _placed().alias("a"), F.col("component").alias("own")), "chosen")
+            pairs = chosen.join(rows.select("cell", _placed().alias("b"), "component"), "cell").where("own != component")
+            now = self._tested(pairs.select(*_pair(F.col("a"), F.col("b"))), tested)
+            tested = tested.unionByName(now)
+            rows = rows.withColumn("a", _placed()).join(chosen, ["cell", "a"], "left_anti")
 
     def classes(self) -> DataFrame:
         ends = self.links.select(_node("x", "xn").alias("a"), _node("y", "yn").alias("b"))
