@@ -45,17 +45,24 @@ CELL = 1024
 BLOCK = 1024
 
 
+def _parts(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches cut to fewer rows, so that what is made of them stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _described(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """A row for each text (size and name of its set), and at the end the task's shingle counts."""
     counts = np.zeros(SKETCH, np.int64)
-    for batch in batches:
+    for batch in _parts(batches):
         n, names, held = [], [], []
         for found in shingles.sets((t.as_buffer() if t.is_valid else None for t in batch.column(1)), words):
             n.append(len(found))
             names.append(shingles.fingerprint(found))
             held.append(found)
         if held:
-            counts += np.bincount((np.concatenate(held) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
+            np.add.at(counts, (np.concatenate(held) & np.uint64(SKETCH - 1)).astype(np.int64), 1)
         yield pa.record_batch(
             [batch.column(0), pa.array(n, pa.int32()), pa.array(names, pa.int64()), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())],
             names=["id", "n", "name", "chunk", "counts"],
@@ -95,14 +102,14 @@ def _regions(batches: Iterator[pa.RecordBatch], words: int, percent: int, sketch
     """
     counts = sketch.value
     met: set[tuple[int, int]] = set()
-    for batch in batches:
+    for batch in _parts(batches):
         regions, parts, names, sizes, places = [], [], [], [], []
         for found in shingles.sets((t.as_buffer() if t.is_valid else None for t in batch.column(0)), words):
             n = len(found)
             name = shingles.fingerprint(found)
             if not n or (n, name) in met:
                 continue
-            if len(met) < 200_000:
+            if len(met) < 50_000:
                 met.add((n, name))
             width = n - (percent * n + 99) // 100 + 1
             often = counts[(found & np.uint64(SKETCH - 1)).astype(np.int64)]
@@ -128,7 +135,7 @@ def _regions(batches: Iterator[pa.RecordBatch], words: int, percent: int, sketch
 
 
 def _packed(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _parts(batches):
         held = list(shingles.sets((t.as_buffer() if t.is_valid else None for t in batch.column(0)), words))
         yield pa.record_batch(
             [

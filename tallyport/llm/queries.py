@@ -1,4 +1,12 @@
 """Registers every query of the subpackage."""
 
-from tallyport.llm import jaccard_join  # noqa: F401 - importing registers the queries
+from tallyport.llm import (  # noqa: F401 - importing registers the queries
+    decontamination,
+    jaccard_join,
+    language_id,
+    mixing,
+    sharding,
+    topk_search,
+    url_filter,
+)
 from tallyport.llm.registry import ORACLES, QUERIES  # noqa: F401

@@ -38,13 +38,16 @@ def _wishes(members: DataFrame, state: DataFrame, cap: float) -> DataFrame:
     # equal votes: the same choice for all members of a group, another one for each group
     best = F.max(F.struct("weight", F.xxhash64("wish", "unit").alias("tie"), "wish", "unit", "unit_size")).alias("best")
     # a group that is large against a shard moves in parts
-    unit = F.when(F.col("best.unit_size") > cap / 4, F.xxhash64("node")).otherwise(F.xxhash64("best.unit"))
-    return sums.groupBy("node").agg(best).select("node", F.col("best.wish").alias("wish"), unit.alias("unit"))
+    large = F.col("best.unit_size") > cap / 4
+    unit = F.when(large, F.xxhash64("node")).otherwise(F.xxhash64("best.unit"))
+    return sums.groupBy("node").agg(best).select("node", F.col("best.wish").alias("wish"), unit.alias("unit"), large.alias("large"))
 
 
 def _round(state: DataFrame, wishes: DataFrame, cap: float, shards: int) -> tuple[DataFrame, bool]:
     """Documents move to the shard they wish as far as its quota goes."""
-    movers = written(state.join(wishes, "node").where("wish != shard").withColumn("cell", _cell("unit")), "movers")
+    # groups that are moved whole come first
+    admission = F.when(F.col("large"), _cell("unit") + CELLS).otherwise(_cell("unit"))
+    movers = written(state.join(wishes, "node").where("wish != shard").withColumn("cell", admission), "movers")
     if not flagged(movers):
         return state, False
     held = {r.shard: r.total for r in state.groupBy("shard").agg(F.sum("size").alias("total")).collect()}
@@ -55,7 +58,7 @@ def _round(state: DataFrame, wishes: DataFrame, cap: float, shards: int) -> tupl
     sums = movers.groupBy("wish", "cell").agg(F.sum("size").alias("size"))
     running = F.sum("size").over(Window.partitionBy("wish").orderBy("cell"))
     admitted = sums.withColumn("running", running).where(F.col("running") <= quota[F.col("wish")])
-    # at most CELLS rows for each shard
+    # at most 2 * CELLS rows for each shard
     moves = movers.join(F.broadcast(admitted.select("wish", "cell")), ["wish", "cell"]).select("node", F.col("wish").alias("to"))
     moved = state.join(moves, "node", "left").select("node", "size", F.coalesce("to", "shard").alias("shard"))
     return written(moved, "state"), True
