@@ -5,6 +5,7 @@ from tallyport.llm import (  # noqa: F401 - importing registers the queries
     jaccard_join,
     language_id,
     mixing,
+    paragraph_dedup,
     sharding,
     topk_search,
     url_filter,
