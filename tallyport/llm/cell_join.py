@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,17 +49,20 @@ PAIR = ["x", "xn", "y", "yn"]
 class CellJoin:
     """Finds the links between sets that share a cell.
 
-    `sets`: rows (name, n, shingles): name and size of a set, and its sorted 64-bit shingles.
-    A link is a Jaccard similarity of `percent` % or more.
+    `fetch` gets rows (name, n), name and size of sets, and returns rows (name, n, shingles) with
+    their sorted 64-bit shingles; only sets that are to be compared are fetched. A link is a
+    Jaccard similarity of `percent` % or more.
     """
 
-    def __init__(self, sets: DataFrame, percent: int, block: int = BLOCK):
-        self.sets, self.percent, self.block = sets, percent, block
+    def __init__(self, fetch: Callable[[DataFrame], DataFrame], percent: int, block: int = BLOCK):
+        self.fetch, self.percent, self.block = fetch, percent, block
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """Pairs with the exact size of their intersection."""
-        x = self.sets.select(F.col("name").alias("x"), F.col("n").alias("xn"), F.col("shingles").alias("xs"))
-        y = self.sets.select(F.col("name").alias("y"), F.col("n").alias("yn"), F.col("shingles").alias("ys"))
+        ends = pairs.select(F.explode(F.array(node("x", "xn"), node("y", "yn"))).alias("end")).select("end.n", "end.name")
+        sets = self.fetch(ends.distinct())
+        x = sets.select(F.col("name").alias("x"), F.col("n").alias("xn"), F.col("shingles").alias("xs"))
+        y = sets.select(F.col("name").alias("y"), F.col("n").alias("yn"), F.col("shingles").alias("ys"))
         both = pairs.join(x, ["x", "xn"]).join(y, ["y", "yn"]).select(*PAIR, "xs", "ys")
         return both.mapInArrow(_overlaps, "x long, xn int, y long, yn int, shared int")
 
@@ -128,7 +131,7 @@ class CellJoin:
         fresh = pairs.where(self._sizes_fit() & self._within_reach()).select(*PAIR).distinct()
         if before is not None:
             fresh = fresh.join(before, PAIR, "left_anti")
-        return written(self._verified(fresh).distinct(), "tested")
+        return written(self._verified(written(fresh, "pairs")).distinct(), "tested")
 
     def join(self, cells: DataFrame) -> DataFrame:
         """Verified links (x, xn, y, yn, shared) of rows (cell, name, n, place).

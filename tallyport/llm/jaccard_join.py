@@ -42,6 +42,8 @@ SKETCH = 1 << 20
 CHUNK = 1 << 12
 # Members of a first cell; a region that may be larger is dealt to several cells.
 CELL = 1024
+# A row of a region carries size, place and part in one long of 32, 20 and 12 bits.
+MOST_PARTS, MOST_PLACES = (1 << 12) - 1, (1 << 20) - 1
 
 
 def _parts(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
@@ -102,7 +104,7 @@ def _regions(batches: Iterator[pa.RecordBatch], words: int, percent: int, sketch
     counts = sketch.value
     met: set[tuple[int, int]] = set()
     for batch in _parts(batches):
-        regions, parts, names, sizes, places = [], [], [], [], []
+        regions, names, packed = [], [], []
         for found in shingles.sets((t.as_buffer() if t.is_valid else None for t in batch.column(0)), words):
             n = len(found)
             name = shingles.fingerprint(found)
@@ -115,21 +117,20 @@ def _regions(batches: Iterator[pa.RecordBatch], words: int, percent: int, sketch
             order = np.lexsort((found, often))[:width]
             split = -(-often[order] // CELL)
             regions.append(found[order].view(np.int64))
-            parts.append(np.where(split > 1, 1 + name % np.maximum(1, split), 0).astype(np.int32))
+            part = np.where(split > 1, 1 + name % np.clip(split, 1, MOST_PARTS), 0)
+            # a place beyond its bits counts as an earlier one, which only leaves more to compare
+            place = np.minimum(np.arange(width), MOST_PLACES)
             names.append(name)
-            sizes.append(n)
-            places.append(np.arange(width, dtype=np.int32))
+            packed.append(n << 32 | place << 12 | part)
         widths = [len(r) for r in regions]
         if widths:
             yield pa.record_batch(
                 [
                     pa.array(np.concatenate(regions), pa.int64()),
-                    pa.array(np.concatenate(parts), pa.int32()),
                     pa.array(np.repeat(np.array(names, np.int64), widths), pa.int64()),
-                    pa.array(np.repeat(np.array(sizes, np.int32), widths), pa.int32()),
-                    pa.array(np.concatenate(places), pa.int32()),
+                    pa.array(np.concatenate(packed), pa.int64()),
                 ],
-                names=["region", "part", "name", "n", "place"],
+                names=["region", "name", "packed"],
             )
 
 
@@ -176,8 +177,7 @@ class JaccardJoin:
         self.documents = described.where("chunk is null").select("id", "n", "name")
         self.nodes = self.documents.where("n > 0").groupBy("n", "name").agg(F.min("id").alias("least"))
         cells = self._first_cells(self._sketch(described))
-        self._sets = self._packed_sets(cells)
-        self.links = CellJoin(self._sets, percent, block).join(cells)
+        self.links = CellJoin(self._packed_sets, percent, block).join(cells)
 
     def _sketch(self, described: DataFrame):
         """Counts of all shingles of all texts by low bits of the hash: of fixed size, sent to all executors."""
@@ -196,16 +196,20 @@ class JaccardJoin:
         """Rows (cell, name, n): the regions in which a text may have company."""
         words, percent = self.words, self.percent
         rows = self.input.select("text").mapInArrow(
-            lambda it: _regions(it, words, percent, sketch), "region long, part int, name long, n int, place int"
+            lambda it: _regions(it, words, percent, sketch), "region long, name long, packed long"
+        )
+        part, n = F.col("packed").bitwiseAND(MOST_PARTS), F.shiftrightunsigned("packed", 32).cast("int")
+        within = Window.partitionBy("region", part)
+        whole = F.struct("name", n)
+        seen = rows.withColumns({"low": F.min(whole).over(within), "high": F.max(whole).over(within)})
+        place = F.shiftrightunsigned("packed", 12).bitwiseAND(MOST_PLACES).cast("int")
+        kept = seen.where((F.col("low") != F.col("high")) | (part > 0)).select(
+            F.col("region").alias("cell"), "name", n.alias("n"), place.alias("place")
         )
-        within = Window.partitionBy("region", "part")
-        seen = rows.withColumns({"low": F.min(node()).over(within), "high": F.max(node()).over(within)})
-        kept = seen.where("low != high or part > 0").select(F.col("region").alias("cell"), "name", "n", "place")
         return written(kept, "cells").distinct()
 
-    def _packed_sets(self, cells: DataFrame) -> DataFrame:
-        """The sets of all texts that share a region with another one."""
-        nodes = cells.select("n", "name").distinct()
+    def _packed_sets(self, nodes: DataFrame) -> DataFrame:
+        """The sets of these names, made again from one text of each."""
         wanted = written(nodes.join(self.nodes, ["n", "name"]).select("n", "name", F.col("least").alias("wanted")), "wanted")
         likely = BlockedBloom(wanted, F.col("wanted")).pass_through(self.input, F.col("id"))
         texts = likely.join(wanted, F.col("id").eqNullSafe(F.col("wanted")), "left_semi").select("text")

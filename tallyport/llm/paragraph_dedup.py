@@ -154,7 +154,7 @@ class ParagraphDedup:
         place = F.struct("doc", "paragraph")
         self.nodes = written(self.places.groupBy("n", "name").agg(F.min(place).alias("first"), F.count("*").alias("times")), "nodes")
         cells = self._cells()
-        links = CellJoin(self._wanted_sets(cells, min_words), percent).join(cells)
+        links = CellJoin(lambda nodes: self._wanted_sets(nodes, min_words), percent).join(cells)
         self.removals = self._removals(links)
 
     def _cells(self) -> DataFrame:
@@ -166,8 +166,8 @@ class ParagraphDedup:
         kept = likely.distinct().join(several, "cell", "left_semi")
         return written(kept.select("cell", "name", "n", F.lit(0).alias("place")), "cells")
 
-    def _wanted_sets(self, cells: DataFrame, min_words: int) -> DataFrame:
-        wanted = cells.select("n", "name").distinct().join(self.nodes, ["n", "name"]).select("first.doc", "first.paragraph")
+    def _wanted_sets(self, nodes: DataFrame, min_words: int) -> DataFrame:
+        wanted = nodes.join(self.nodes, ["n", "name"]).select("first.doc", "first.paragraph")
         # lines of one document: no more than it has
         wanted = written(wanted.groupBy("doc").agg(F.collect_list("paragraph").alias("lines")), "wanted")
         likely = BlockedBloom(wanted, F.col("doc")).pass_through(self.input, F.col("doc"))
