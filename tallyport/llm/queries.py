@@ -6,6 +6,7 @@ from tallyport.llm import (  # noqa: F401 - importing registers the queries
     language_id,
     mixing,
     paragraph_dedup,
+    repeats,
     sharding,
     topk_search,
     url_filter,
