@@ -8,6 +8,7 @@ from tallyport.llm import (  # noqa: F401 - importing registers the queries
     paragraph_dedup,
     repeats,
     sharding,
+    token_files,
     topk_search,
     url_filter,
 )
