@@ -79,7 +79,9 @@ def _evened(state: DataFrame, units: DataFrame, shards: int) -> DataFrame:
     for s in range(shards):
         offset[s], ahead = ahead, ahead + surplus[s]
     pick = lambda values: F.create_map(*[x for s in range(shards) for x in (F.lit(s), F.lit(float(values[s])))])
-    placed = state.join(units, "node", "left").withColumn("cell", F.coalesce(_cell("unit") + CELLS, _cell("node")))
+    placed = state.join(units, "node", "left").withColumn(
+        "cell", F.when(F.col("unit").isNull(), _cell("node")).otherwise(_cell("unit") + CELLS)
+    )
     cells = placed.groupBy("shard", "cell").agg(F.sum("size").alias("cell_size"))
     before = F.sum("cell_size").over(Window.partitionBy("shard").orderBy("cell")) - F.col("cell_size")
     starts = F.broadcast(cells.select("shard", "cell", before.alias("before")))  # at most 2 * CELLS rows a shard
