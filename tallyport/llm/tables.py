@@ -34,17 +34,17 @@ def numbered(df: DataFrame, key: Column, group: Column | None, out: str, cells:
     table of counts has at most `cells` rows for each group.
     """
     group = F.lit(0) if group is None else group
-    placed = df.withColumns({"__group": group, "__cell": F.pmod(F.xxhash64(key), F.lit(cells)).cast("int"), "__key": key})
+    placed = df.withColumns({"__group": group, "__cell": F.pmod(F.xxhash64(key), F.lit(cells)).cast("int"), "__numbered": key})
     counts = placed.groupBy("__group", "__cell").agg(F.count("*").alias("__n"))
     before = counts.select(
         F.col("__group").alias("__g"),
         F.col("__cell").alias("__c"),
         (F.sum("__n").over(Window.partitionBy("__group").orderBy("__cell")) - F.col("__n")).alias("__before"),
     )
-    place = F.row_number().over(Window.partitionBy("__group", "__cell").orderBy("__key"))
+    place = F.row_number().over(Window.partitionBy("__group", "__cell").orderBy("__numbered"))
     ranked = placed.withColumn("__place", place)
     return (
         ranked.join(before, F.col("__group").eqNullSafe(F.col("__g")) & (F.col("__cell") == F.col("__c")))
         .withColumn(out, F.col("__before") + F.col("__place") - 1)
-        .drop("__group", "__cell", "__key", "__place", "__g", "__c", "__before")
+        .drop("__group", "__cell", "__numbered", "__place", "__g", "__c", "__before")
     )
