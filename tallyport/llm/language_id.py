@@ -85,7 +85,7 @@ class Model:
         languages = sorted(r.lang for r in common.collect())
         hashed = rows.where(F.col("lang").isin(languages)).withColumn("h", F.xxhash64("key", "text"))
         order = Window.partitionBy("lang").orderBy("h")
-        chosen = hashed.select("lang", "h").distinct().withColumn("place", F.row_number().over(order)).where(F.col("place") <= texts)
+        chosen = hashed.select("lang", "h").withColumn("place", F.row_number().over(order)).where(F.col("place") <= texts)
         last = F.broadcast(chosen.groupBy(F.col("lang").alias("l")).agg(F.max("h").alias("last")))  # a row for each language
         sample = hashed.join(last, (F.col("lang") == F.col("l")) & (F.col("h") <= F.col("last"))).dropDuplicates(["lang", "h"])
         counts = sample.select("lang", "text").mapInArrow(_counted, "lang string, gram int, n long")
