@@ -63,13 +63,16 @@ def add(period: Column, steps: Column | int) -> Column:
 
 
 def of_date(day: Column, letter: str) -> Column:
-    """The period of a kind that holds a day."""
+    """The period of a kind that holds a day; weeks are ISO weeks of the week's own year."""
     number = {
         "H": F.when(F.month(day) <= 6, 1).otherwise(2),
         "Q": F.quarter(day),
         "M": F.month(day),
+        "W": F.weekofyear(day),
         "D": F.dayofyear(day),
     }
+    if letter == "W":
+        return F.concat_ws("", F.extract(F.lit("YEAROFWEEK"), day), F.lit("-W"), number[letter])
     if letter == "J":
         return F.concat_ws("", F.year(day), F.lit("-J"))
     return F.concat_ws("", F.year(day), F.lit(f"-{letter}"), number[letter])

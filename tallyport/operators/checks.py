@@ -10,9 +10,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tallyport.contract import Contract, ContractColumn
+from tallyport.contract import Contract, ContractColumn, ContractError
 from tallyport.functions import datatypes, numbers
 from tallyport.functions.text import is_blank, starts_with_match, strip
+from tallyport.session import settle
 
 # Quality codes and their meaning.
 CODES = {
@@ -26,14 +27,13 @@ CODES = {
     7: "Waarde geen juist formaat",
     8: "Domein - Waarde voldoet niet aan reguliere expressie",
 }
-NOT_IN_LIST, MISSING, OUT_OF_RANGE, WRONG_TYPE, NOT_LIKE_PATTERN = 1, 2, 3, 6, 8
+NOT_IN_LIST, MISSING, OUT_OF_RANGE, WRONG_TYPE, WRONG_FORM, NOT_LIKE_PATTERN = 1, 2, 3, 6, 7, 8
 SUMMARY, SEEDED, UNCHECKED = -1, -2, -3
 # Texts of the rows that stand for a whole delivery.
 UNCHECKED_TEXT = "Data check is bewust uitgezet, geen datacontrole toegepast"
 SEEDED_TEXT = "Initiele levering uit Table {table}. Geen controles uitgevoerd."
-DEFAULT_BUDGET = 1000
 
-CONSTRAINTS, TYPES, DOMAINS = 0, 1, 2
+CONSTRAINTS, TYPES, DOMAINS, LOADS = range(4)
 REPORT = ["row", "column", "column_name", "error_code", "message"]
 ORDER = ["phase", "column", "row", "element"]
 
@@ -55,6 +55,9 @@ class Check:
     allowed: tuple[str, ...] = ()
 
 
+# The texts of the messages below are those of the reports to be matched.
+
+
 def not_null_check(column: ContractColumn) -> list[Check]:
     if column.nullable:
         return []
@@ -100,6 +103,8 @@ def range_bounds(domain: str) -> tuple[str, str]:
 def range_check(column: ContractColumn) -> list[Check]:
     """Value outside the inclusive bounds; text that is no number is outside too."""
     low, high = range_bounds(column.domain)
+    if column.base == "integer" and not all(b.strip().lstrip("+-").isdigit() for b in (low, high)):
+        raise ContractError(f"range of {column.name} is not of whole numbers: {column.domain}")
     kind = "decimal(38,0)" if column.base == "integer" else "double"
     bounds = F.lit(low.strip()).cast(kind), F.lit(high.strip()).cast(kind)
     inside = F.coalesce(F.col(_parsed(column)).between(*bounds), F.lit(False))
@@ -142,7 +147,19 @@ def domain_check(column: ContractColumn) -> list[Check]:
     return check(column) if check else []
 
 
+def load_check(column: ContractColumn) -> list[Check]:
+    """Cells of the right datatype that would load as null all the same, such as the 39th of a month."""
+    cell = F.col(column.name)
+    if column.base == "text":
+        return []
+    fits = starts_with_match(cell, datatypes.BASE_PATTERNS[column.base])
+    bad = ~is_blank(cell) & fits & datatypes.load_cell(cell, column.datatype, column.precision, column.scale).isNull()
+    return [Check(LOADS, column, WRONG_FORM, bad, 'Value "', f'" does not load as {column.datatype}')]
+
+
 ALL_CHECKS = (not_null_check, type_check, domain_check)
+# With what a load would lose without a word.
+LOAD_CHECKS = (*ALL_CHECKS, load_check)
 
 
 def _parsed(column: ContractColumn) -> str:
@@ -278,7 +295,7 @@ def label_errors(failed: DataFrame) -> DataFrame:
     return failed.withColumn("meaning", meaning)
 
 
-def within_budget(failed: DataFrame, max_errors: int = DEFAULT_BUDGET) -> tuple[DataFrame, int, bool]:
+def within_budget(failed: DataFrame, max_errors: int) -> tuple[DataFrame, int, bool]:
     """The first `max_errors` failures in report order, the true total, and if cut off.
 
     The report order is phase, column, row, element. Counts per phase and column (at most
@@ -308,10 +325,17 @@ def _single(spark: SparkSession, name: str, code: int, message: str) -> DataFram
     return spark.createDataFrame([row], schema)
 
 
-def report(failed: DataFrame, max_errors: int = DEFAULT_BUDGET) -> tuple[DataFrame, int, bool]:
-    """Report rows within the budget and the closing row that counts them."""
-    kept, total, truncated = within_budget(failed, max_errors)
-    shown = min(total, max_errors)
+def report(failed: DataFrame, max_errors: int | None = None) -> tuple[DataFrame, int, bool]:
+    """Report rows, within the budget if there is one, and the closing row that counts them.
+
+    The failures are settled first: they are counted and reported from one evaluation.
+    """
+    failed = settle(failed)
+    if max_errors is None:
+        kept, total, truncated = failed, failed.count(), False
+    else:
+        kept, total, truncated = within_budget(failed, max_errors)
+    shown = total if max_errors is None else min(total, max_errors)
     closing = _single(failed.sparkSession, "", SUMMARY, f"{shown} errors found")
     rows = kept.select(F.col("row").cast("long"), *REPORT[1:])
     return rows.unionByName(closing), total, truncated
@@ -320,7 +344,7 @@ def report(failed: DataFrame, max_errors: int = DEFAULT_BUDGET) -> tuple[DataFra
 def check_all(
     df: DataFrame,
     contract: Contract,
-    max_errors: int = DEFAULT_BUDGET,
+    max_errors: int | None = None,
     data_check: bool = True,
     row: str = "row",
 ) -> tuple[DataFrame, int, bool]:

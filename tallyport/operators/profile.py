@@ -11,10 +11,8 @@ MAX_CATEGORIES = 50
 # The distinct estimate is off by about 2 percent; columns are dropped on twice the limit,
 # and the exact count decides about the rest.
 ESTIMATE_ERROR = 0.02
-# One narrowing step divides a range into this many slices.
-SLICES = 4096
-# Ranges with at most this many distinct values per column are ranked directly.
-DIRECT = 100_000
+# The middle of a column is looked for between estimates this share of its ranks away.
+BRACKET = 0.001
 MOMENTS = ["n", "missing", "min", "max", "mean", "median", "std"]
 
 
@@ -33,7 +31,7 @@ def _long(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def basic_moments(numbers_: DataFrame, columns: list[str], count_missing: bool) -> DataFrame:
-    """One row per column from one aggregate: n, missing, min, max, mean, std.
+    """One row per column from one aggregate: n, missing, min, max, mean, std, and what encloses the middle.
 
     `count_missing` makes n the number of all rows instead of the non-null ones.
     """
@@ -50,6 +48,7 @@ def basic_moments(numbers_: DataFrame, columns: list[str], count_missing: bool)
                 F.max(value).alias("max"),
                 F.avg(value).alias("mean"),
                 F.stddev_samp(value).alias("std"),
+                F.percentile_approx(value, [0.5 - BRACKET, 0.5 + BRACKET], int(2 / BRACKET)).alias("middle"),
             )
         )
     return numbers_.agg(F.array(*per_column).alias("_all")).select(F.inline("_all"))
@@ -58,98 +57,56 @@ def basic_moments(numbers_: DataFrame, columns: list[str], count_missing: bool)
 def medians(numbers_: DataFrame, moments: dict[str, tuple[int, float, float]]) -> dict[str, float | None]:
     """Exact medians of many columns, without ranking a column in one task.
 
-    `moments` gives `(non-null count, min, max)` per column. The built-in median keeps all
-    distinct values of a column in the memory of one task; here the range that holds the
-    middle rank is narrowed by counting slices (one aggregate over all columns per step,
-    at most SLICES rows per column) until few values are left to rank. The driver keeps
-    one range per column only.
+    `moments` gives `(non-null count, low, high)` per column, low and high being estimates
+    that should enclose the middle. One aggregate counts the cells below and, by value, those
+    in between; a running total finds the middle ranks and proves that they lie there. A
+    column whose middle lies elsewhere is counted by value as a whole. There is no arithmetic
+    on values, so infinite ones and NaN (the largest) stand where Spark orders them.
     """
     result: dict[str, float | None] = {c: None for c in moments}
-    # column -> (low, high, middle rank counted from low)
-    ranges = {c: (lo, hi, (n + 1) // 2) for c, (n, lo, hi) in moments.items() if n}
-    lower: dict[str, tuple[float, bool, float | None]] = {}
-    while ranges:
-        narrowed = {}
-        few = {}
-        for column, (low, high, left, rows) in _slices(numbers_, ranges).items():
-            if low == high:
-                lower[column] = (low, left == rows, None)
-            elif rows <= DIRECT:
-                few[column] = (low, high, left)
-            else:
-                narrowed[column] = (low, high, left)
-        lower.update(_ranked(numbers_, few))
-        ranges = narrowed
-    # an even count averages two values; the second is the next one if a value ends there
-    even = {c for c, (n, *_) in moments.items() if n and n % 2 == 0}
-    open_ = {c: v for c, (v, last, after) in lower.items() if c in even and last and after is None}
-    following = _next_values(numbers_, open_)
-    for column, (value, last, after) in lower.items():
-        upper = value
-        if column in even and last:
-            upper = following[column] if after is None else after
-        result[column] = value + (upper - value) / 2
+    brackets = {c: (low, high) for c, (n, low, high) in moments.items() if n}
+    ranks = {c: ((n + 1) // 2, n // 2 + 1) for c, (n, *_) in moments.items() if n}
+    for bounds in (brackets, None):
+        if not ranks:
+            break
+        found: dict[str, dict[int, float]] = {}
+        for r in _at_ranks(numbers_, ranks, bounds).collect():
+            found.setdefault(r.column_name, {}).update({k: r.value for k in ranks[r.column_name] if r.before < k <= r.upto})
+        for column, (low, high) in list(ranks.items()):
+            values = found.get(column, {})
+            if low in values and high in values:
+                a, b = values[low], values[high]
+                result[column] = a if a == b else 0.5 * a + 0.5 * b
+                del ranks[column]
     return result
 
 
-def _in_ranges(numbers_: DataFrame, ranges: dict) -> DataFrame:
-    """`(column_name, value, slice)` of the cells inside the range of their column."""
+def _at_ranks(numbers_: DataFrame, ranks: dict, bounds: dict | None) -> DataFrame:
+    """Per column the counted values that hold one of its two ranks."""
     cells = []
-    for column, (low, high, _) in ranges.items():
-        share = (F.col(column) - F.lit(low)) / F.lit(high - low if high > low else 1.0)
-        slice_ = F.least(F.floor(share * SLICES), F.lit(SLICES - 1))
-        cell = F.struct(
-            F.lit(column).alias("column_name"),
-            F.col(column).alias("value"),
-            slice_.cast("int").alias("slice"),
-        )
-        cells.append(F.when(F.col(column).between(F.lit(low), F.lit(high)), cell))
-    return numbers_.select(F.inline(F.array(*cells))).where("column_name is not null")
-
-
-def _at_rank(counted: DataFrame, ranges: dict, order: str) -> DataFrame:
-    """Of rows counted per column, the one whose running total reaches the column's rank."""
-    left = F.lit(None).cast("long")
-    for column, (_, _, rank) in ranges.items():
-        left = F.when(F.col("column_name") == column, F.lit(rank)).otherwise(left)
-    running = Window.partitionBy("column_name").orderBy(order)
-    return (
-        counted.withColumn("upto", F.sum("rows").over(running))
-        .withColumn("before", F.col("upto") - F.col("rows"))
-        .withColumn("next", F.lead(order).over(running))
-        .withColumn("left", left)
-        .where("upto >= left and before < left")
-    )
-
-
-def _slices(numbers_: DataFrame, ranges: dict) -> dict:
-    """Per column the slice with the searched rank: bounds, rank inside, rows."""
+    for column in ranks:
+        value = F.col(column)
+        inside = value.isNotNull()
+        below = F.lit(False)
+        if bounds is not None:
+            low, high = (F.lit(b).cast("double") for b in bounds[column])
+            below, inside = value < low, (value >= low) & (value <= high)
+        cell = F.struct(F.lit(column).alias("column_name"), F.when(~below, value).alias("value"))
+        cells.append(F.when(below | inside, cell))
     counted = (
-        _in_ranges(numbers_, ranges)
-        .groupBy("column_name", "slice")
-        .agg(F.count("*").alias("rows"), F.min("value").alias("low"), F.max("value").alias("high"))
-    )
-    rows = _at_rank(counted, ranges, "slice").collect()
-    return {r.column_name: (r.low, r.high, r.left - r.before, r.rows) for r in rows}
-
-
-def _ranked(numbers_: DataFrame, ranges: dict) -> dict:
-    """Per column the value at the rank, whether it ends there, and the next value."""
-    if not ranges:
-        return {}
-    counted = (
-        _in_ranges(numbers_, ranges).groupBy("column_name", "value").agg(F.count("*").alias("rows"))
+        numbers_.select(F.inline(F.array(*cells)))
+        .where("column_name is not null")
+        .groupBy("column_name", "value")
+        .agg(F.count("*").alias("rows"))
     )
-    rows = _at_rank(counted, ranges, "value").collect()
-    return {r.column_name: (r.value, r.left == r.upto, r.next) for r in rows}
-
-
-def _next_values(numbers_: DataFrame, above: dict[str, float]) -> dict[str, float]:
-    if not above:
-        return {}
-    return numbers_.agg(
-        *[F.min(F.when(F.col(c) > v, F.col(c))).alias(c) for c, v in above.items()]
-    ).first().asDict()
+    # the cells below are one row without a value, which comes first
+    running = Window.partitionBy("column_name").orderBy("value")
+    wanted = F.create_map(*[F.lit(x) for c, (a, b) in ranks.items() for x in (c, a)])
+    also = F.create_map(*[F.lit(x) for c, (a, b) in ranks.items() for x in (c, b)])
+    placed = counted.withColumn("upto", F.sum("rows").over(running)).withColumn("before", F.col("upto") - F.col("rows"))
+    holds = lambda rank: (F.col("upto") >= rank) & (F.col("before") < rank)
+    name = F.col("column_name")
+    return placed.where((holds(wanted[name]) | holds(also[name])) & F.col("value").isNotNull())
 
 
 def moments(df: DataFrame, columns: list[str], text: bool) -> DataFrame:
@@ -160,7 +117,7 @@ def moments(df: DataFrame, columns: list[str], text: bool) -> DataFrame:
     """
     view = numeric_view(df, columns, text)
     rows = basic_moments(view, columns, count_missing=text).collect()
-    filled = {r.column_name: (r.n - r.missing if text else r.n, r.min, r.max) for r in rows}
+    filled = {r.column_name: (r.n - r.missing if text else r.n, *(r.middle or (r.min, r.max))) for r in rows}
     middle = medians(view, filled)
     schema = (
         "column_name string, n long, missing long, min double, max double, "

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyport.operators.history import Applied, is_current
 
@@ -13,17 +13,24 @@ class StoredHistory:
     """History as Parquet folders: open rows per version, closed rows added to.
 
     A version rewrites open rows only; closed rows are written once, by the version that
-    closed them. The ledger row is written last and makes a version visible, so a write
-    that was cut short is simply written again.
+    closed them. Versions are numbered one after the other, whoever adds them, and a change
+    file is known by its name. The ledger row is written last and makes a version visible, so
+    a write that was cut short is simply written again.
     """
 
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType):
         self.spark, self.root, self.schema = spark, root, schema
 
+    def ledger(self) -> DataFrame:
+        return self.spark.read.schema(LEDGER).parquet(f"{self.root}/ledger")
+
     def versions(self) -> list[str]:
         """Labels of the visible versions (one per change file), oldest first."""
-        ledger = self.spark.read.schema(LEDGER).parquet(f"{self.root}/ledger")
-        return sorted(r.version for r in ledger.select("version").collect())
+        return sorted(r.version for r in self.ledger().select("version").collect())
+
+    def has(self, name: str) -> bool:
+        """Whether a change file of this name was applied."""
+        return not self.ledger().where(F.col("name") == name).isEmpty()
 
     def _write(self, version: str, name: str, current: DataFrame, closed: DataFrame) -> None:
         closed.write.mode("overwrite").parquet(f"{self.root}/closed/{version}")
@@ -33,10 +40,12 @@ class StoredHistory:
 
     def start(self, history: DataFrame) -> None:
         current = history.where(is_current())
-        self._write("000000-000000", "start", current, history.where(~is_current()))
+        self._write(f"{0:09d}", "", current, history.where(~is_current()))
 
-    def add(self, version: str, name: str, applied: Applied) -> None:
-        self._write(version, name, applied.current, applied.closed)
+    def add(self, name: str, applied: Applied) -> None:
+        """The history after a change file as the next version."""
+        last = self.ledger().agg(F.max("version").alias("last")).first().last
+        self._write(f"{int(last) + 1:09d}", name, applied.current, applied.closed)
 
     def read(self, versions: list[str]) -> DataFrame:
         rows = self.spark.read.schema(self.schema)

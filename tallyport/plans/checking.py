@@ -94,8 +94,8 @@ REPORT_COLUMNS = """"row", "column", column_name, error_code, message"""
     UNION ALL SELECT 0, 0, '', -1, count(*) || ' errors found' FROM failed""",
 )
 def check_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All checks in one pass; the budget is beyond any number of errors."""
-    report, _, _ = checks.check_all(inputs.staged_orders(spark, sf_dir), CONTRACT, max_errors=2**62)
+    """All checks in one pass, without a budget."""
+    report, _, _ = checks.check_all(inputs.staged_orders(spark, sf_dir), CONTRACT)
     return report
 
 
@@ -112,19 +112,6 @@ def error_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report
 
 
-@query(
-    "unchecked_report",
-    f"""SELECT 0 AS "row", CAST(0 AS INTEGER) AS "column", 'Overall message' AS column_name, CAST(-3 AS INTEGER) AS error_code,
-      '{checks.UNCHECKED_TEXT}' AS message, (SELECT count(*) FROM orders) AS rows
-    UNION ALL SELECT 0, 0, '', -1, '1 errors found', (SELECT count(*) FROM orders)
-    UNION ALL SELECT 0, 0, 'General message', -2, '{checks.SEEDED_TEXT.format(table="orders")}', (SELECT count(*) FROM orders)""",
-)
-def unchecked_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a delivery copied from a table reports, next to the rows it brought."""
-    total = table(spark, sf_dir, "orders").select(F.count("*")).scalar()
-    return checks.seeded_report(spark, "orders").withColumn("rows", total)
-
-
 ERRORS_SQL = "SELECT column_name, error_code, count(*) AS errors FROM failed GROUP BY 1, 2"
 
 

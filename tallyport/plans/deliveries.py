@@ -105,8 +105,10 @@ AFTER_SQL = f"""WITH {HISTORY_SQL}, {inputs.CHANGES_SQL}, verdicts_changes AS ({
 @query(
     "compare_tables",
     f"""{AFTER_SQL}, j AS (SELECT cust_id, a.name AS an, b.name AS bn, a.balance AS ab, b.balance AS bb
+      , CASE WHEN a.cust_id IS NOT NULL THEN 'present' END AS ar, CASE WHEN b.cust_id IS NOT NULL THEN 'present' END AS br
       FROM a FULL JOIN b USING (cust_id))
-    SELECT cust_id, 'name' AS column_name, an AS self, bn AS other FROM j WHERE an IS DISTINCT FROM bn
+    SELECT cust_id, '*' AS column_name, ar AS self, br AS other FROM j WHERE ar IS DISTINCT FROM br
+    UNION ALL SELECT cust_id, 'name' AS column_name, an AS self, bn AS other FROM j WHERE an IS DISTINCT FROM bn
     UNION ALL SELECT cust_id, 'balance', ab, bb FROM j WHERE ab IS DISTINCT FROM bb""",
 )
 def compare_tables(spark: SparkSession, sf_dir: str) -> DataFrame:

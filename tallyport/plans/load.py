@@ -3,18 +3,35 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyport.contract import Contract, ContractError
+from tallyport.functions import periods
 from tallyport.functions.periods import change_window
 from tallyport.operators import checks, loading
 from tallyport.operators.cleaning import CleaningRules, clean
 from tallyport.operators.history import ACTION, POSITION, apply_changes
-from tallyport.operators.ledger import next_sequence
+from tallyport.operators.ledger import next_sequence, removed_counts
 from tallyport.operators.stored import StoredHistory
 from tallyport.session import settle
-from tallyport.sources import delimited, staging, tables
+from tallyport.sources import delimited, staging
+from tallyport.sources.files import change_files
+
+
+# The tables of a delivery below its root, in the order in which a removal takes them out.
+TABLES = ("ledger", "data", "quality")
+QUALITY = (
+    "record_no long, source_code string, row_number long, column_name string, "
+    "attribute_code string, quality_code int, period string, loaded_at timestamp"
+)
+LEDGER = (
+    "sequence int, period string, source_code string, created_by string, delivered_on date, "
+    "accepted boolean, reason string, processed_on date, records long, config_text string, "
+    "data_file string, loaded_at timestamp"
+)
 
 
 @dataclass
@@ -25,14 +42,38 @@ class Loaded:
     new: bool
 
 
-def stored(spark: SparkSession, path: str, like: DataFrame | None = None) -> DataFrame | None:
-    """A table kept at a path, or None if nothing was written there yet."""
+def stored(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """A table kept at a path under its declared schema; empty if nothing was written there yet."""
     try:
-        return spark.read.parquet(path)
-    except Exception as error:  # noqa: BLE001 - Spark's analysis error for a missing path
-        if "PATH_NOT_FOUND" in str(error):
-            return None
-        raise
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def stored_tables(spark: SparkSession, root: str, contract: Contract) -> dict[str, DataFrame]:
+    schemas = {"ledger": LEDGER, "data": contract.typed_schema(), "quality": QUALITY}
+    return {name: stored(spark, f"{root}/{name}", schemas[name]) for name in TABLES}
+
+
+def replace_part(df: DataFrame, path: str, **part: str) -> None:
+    """Writes rows in place of what a part of a table held before, also if there are none."""
+    folders = [f"{name}={quote(value, safe='-_.')}" for name, value in part.items()]
+    df.drop(*part).write.mode("overwrite").parquet("/".join([path, *folders]))
+
+
+def remove_delivery(spark: SparkSession, root: str, contract: Contract, period: str) -> DataFrame:
+    """Takes a loaded delivery out of its tables; rows (table, removed).
+
+    The ledger row goes first: a removal that is cut short leaves a delivery that is not
+    complete, which the next load or removal of the period replaces.
+    """
+    held = stored_tables(spark, root, contract)
+    counts = removed_counts(held, period).collect()
+    for name, table in held.items():
+        replace_part(table.limit(0), f"{root}/{name}", period=period)
+    return spark.createDataFrame(counts, "table string, removed long")
 
 
 def load_delivery(
@@ -47,45 +88,59 @@ def load_delivery(
     max_errors: int | None = None,
     force: bool = False,
     data_check: bool = True,
+    header_file: str | None = None,
+    sep: str = ";",
+    encoding: str = "utf8",
+    multiline: bool = False,
+    max_rows: int = 0,
 ) -> Loaded:
     """Load a delivery into `data`, `quality` and `ledger` below `root`.
 
-    The cleaned delivery is staged once; checks and load read the staged rows. The ledger
-    row is written last and says that the delivery is complete; a delivery it names is
-    skipped unless forced. The period's partitions are replaced as a whole, so a load that
-    was cut short is simply repeated.
+    The cleaned delivery is staged once; checks and load read the staged rows. A delivery
+    that the ledger names is complete and skipped, unless forced: then its ledger row is
+    taken out first. The period's part of each table is replaced as a whole, the ledger's
+    last, so a load that was cut short is simply repeated, and a forced one leaves one row with
+    the sequence number it had. Cells that pass the checks but do not load are reported too.
     """
-    at = {name: f"{root}/{name}" for name in ("data", "quality", "ledger")}
-    known = stored(spark, at["ledger"])
-    if known is not None and not force and not known.where(F.col("period") == period).isEmpty():
-        return Loaded(*(spark.read.parquet(p) for p in at.values()), new=False)
+    if spark.range(1).where(periods.well_formed(F.lit(period))).isEmpty():
+        raise ContractError(f"not a period: {period}")
+    held = stored_tables(spark, root, contract)
+    known = held["ledger"].where(F.col("period") == period).first()
+    if known is not None and not force:
+        return Loaded(held["data"], held["quality"], held["ledger"], new=False)
+    sequence = known.sequence if known is not None else next_sequence(held["ledger"]).first().next_sequence
+    first = next_record(held["data"], period)
+    replace_part(held["ledger"].limit(0), f"{root}/ledger", period=period)
 
-    raw = delimited.read_delivery(spark, path, contract, header=header, traced=True)
+    raw = delimited.read_delivery(
+        spark, path, contract, header=header, header_file=header_file, sep=sep, encoding=encoding,
+        max_rows=max_rows, traced=True, multiline=multiline,
+    )
     staged = staging.stage(clean(raw, contract, rules))
     numbered = staging.number_rows(staged, "row", start=0)
 
     typed = loading.load_typed(numbered, contract)
-    first = F.lit(next_record(stored(spark, at["data"]), period))
     stamped = loading.stamp_delivery(
-        typed.withColumn("record_no", F.col("row") + first), contract.source_code, period
+        typed.withColumn("record_no", F.col("row") + F.lit(first)), contract.source_code, period
     )
-    replace_period(loading.table_order(stamped, contract), at["data"])
+    replace_part(loading.table_order(stamped, contract), f"{root}/data", period=period)
 
     if data_check:
-        report = checks.failures(numbered, contract)
+        report = checks.failures(numbered, contract, checks.LOAD_CHECKS)
         if max_errors is not None:
-            report, _, _ = checks.within_budget(report, max_errors)
+            report, _, _ = checks.within_budget(settle(report), max_errors)
     else:
         report, _, _ = checks.check_all(numbered, contract, data_check=False)
-    replace_period(loading.quality_rows(report, contract.source_code, period), at["quality"])
+    replace_part(loading.quality_rows(report, contract.source_code, period), f"{root}/quality", period=period)
 
-    sequence = 1 if known is None else next_sequence(known).first().next_sequence
-    records = spark.read.parquet(at["data"]).where(F.col("period") == period).agg(F.count("*").alias("records"))
+    loaded = stored_tables(spark, root, contract)
+    records = loaded["data"].where(F.col("period") == period).agg(F.count("*").alias("records"))
     row = loading.ledger_row(
         records, period, contract.source_code, delivered_on, path, sequence=F.lit(sequence)
     )
-    tables.append(row, at["ledger"])
-    return Loaded(*(spark.read.parquet(p) for p in at.values()), new=True)
+    replace_part(row, f"{root}/ledger", period=period)
+    loaded["ledger"] = stored(spark, f"{root}/ledger", LEDGER)
+    return Loaded(loaded["data"], loaded["quality"], loaded["ledger"], new=True)
 
 
 def load_changes(
@@ -104,12 +159,12 @@ def load_changes(
 ) -> DataFrame:
     """Apply a delivered change file to a stored history; returns the refused changes.
 
-    `name` holds the two dates of the change window. The data columns are cleaned and
-    checked like any delivery; existence is judged on the history before the file. The
-    version carries the name, so no change file is applied twice.
+    `name` holds the two dates of the change window and is the file's identity: a name that the
+    history knows, from a stream too, is refused. The data columns are cleaned and checked like
+    any delivery; existence is judged on the history before the file. Its quality rows replace
+    those of the same period and name only.
     """
-    done = store.versions()
-    if name in [v.split("-", 1)[1] for v in done]:
+    if store.has(name):
         raise ContractError(f"change file was applied before: {name}")
     raw = delimited.read_delivery(
         spark, path, contract, header=header, sep=sep, instructions=(instruction,), traced=True
@@ -117,7 +172,7 @@ def load_changes(
     staged = staging.stage(clean(raw, contract, rules))
     numbered = staging.number_rows(staged, "row", start=0)
 
-    history = store.read(done)
+    history = store.read(store.versions())
     typed = loading.load_typed(numbered, contract).withColumnRenamed("row", POSITION)
     start, end = change_window(F.lit(name))
     first = F.lit(next_record(history))
@@ -129,28 +184,39 @@ def load_changes(
     }
     changes = typed.withColumnRenamed(instruction, ACTION)
     applied = apply_changes(history, changes, list(contract.keys), start, end, stamps)
-    report = checks.failures(numbered, contract)
+    report = checks.failures(numbered, contract, checks.LOAD_CHECKS)
     if max_errors is not None:
-        report, _, _ = checks.within_budget(report, max_errors)
-    replace_period(loading.quality_rows(report, contract.source_code, period), quality)
+        report, _, _ = checks.within_budget(settle(report), max_errors)
+    replace_part(loading.quality_rows(report, contract.source_code, period), quality, period=period, change=name)
     refused = settle(applied.rejected)
-    store.add(f"{len(done):06d}-{name}", name, applied)
+    store.add(name, applied)
     return refused
 
 
-def next_record(data: DataFrame | None, without: str | None = None) -> int:
+def apply_folder(
+    spark: SparkSession,
+    folder: str,
+    contract: Contract,
+    rules: CleaningRules,
+    period: str,
+    store: StoredHistory,
+    quality: str,
+    **options,
+) -> DataFrame:
+    """Apply the change files of a folder in name order; rows (name, changes_refused).
+
+    Files that the history knows are passed over, so a run that was cut short goes on where it
+    stopped. There is one small row for each file.
+    """
+    done = []
+    for row in change_files(spark, folder).collect():
+        if not store.has(row.name):
+            refused = load_changes(spark, row.path, row.name, contract, rules, period, store, quality, **options)
+            done.append((row.name, refused.count()))
+    return spark.createDataFrame(done, "name string, changes_refused long")
+
+
+def next_record(data: DataFrame, without: str | None = None) -> int:
     """The first free record number, not counting the rows of a period to be replaced."""
-    if data is None:
-        return 1
     others = data if without is None else data.where(F.col("period") != without)
     return others.agg(F.coalesce(F.max("record_no"), F.lit(0)) + 1).first()[0]
-
-
-def replace_period(df: DataFrame, path: str) -> None:
-    """Write the rows of a delivery in place of what its period held before."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("period")
-        .parquet(path)
-    )

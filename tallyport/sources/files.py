@@ -91,3 +91,19 @@ def ordered_changes(
             PLACE: F.monotonically_increasing_id(),
         }
     )
+
+
+# A change file, or a folder of part files, carries the two dates of its window in its name.
+CHANGE_PATH = r"^(.*/(?:[a-z_]+=)?([^/]*_\d{8}-\d{8})(?:\.csv)?)(?:/[^/]*)?$"
+
+
+def change_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The change files in a folder as (name, path), in the order in which they are applied."""
+    listed = (
+        spark.read.format("binaryFile")
+        .options(recursiveFileLookup=True, pathGlobFilter="*.csv")
+        .load(folder)
+        .select("path")
+    )
+    name, path = (F.regexp_extract("path", CHANGE_PATH, k) for k in (2, 1))
+    return listed.select(name.alias("name"), path.alias("path")).where("name <> ''").distinct().orderBy("name")

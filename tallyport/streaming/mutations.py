@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyport.functions.periods import change_window
 from tallyport.operators.history import ACTION, POSITION, apply_changes
 from tallyport.operators.stored import StoredHistory
+from tallyport.session import scratch
 from tallyport.sources.delimited import NO_NULL
 
 def landed_changes(
@@ -40,25 +41,23 @@ def apply_landing(
     """Apply landed change files, each as one version of the history, in name order.
 
     Changes that land together are applied one after the other, so the checks of a file
-    see the state that the file before it left. A change file must land complete.
+    see the state that the file before it left. A change file must land complete. A file that
+    was applied before, by a stream or by a delivery, is passed over, also with lost progress.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        # the order of the rows of a change: file, split, place in the split
+        # the order of the rows of a change: file, split, place in the split; written once, so
+        # that every use sees the same places
         place = F.struct("_file", "_block", F.monotonically_increasing_id().alias("_place"))
-        batch = batch.select(
-            ACTION, *data.names, "change", place.alias(POSITION)
-        ).persist()
-        names = sorted(r.change for r in batch.select("change").distinct().collect())
-        for order, name in enumerate(names, start=1):
-            version = f"{batch_id + 1:06d}-{order:06d}"
-            done = store.versions()
-            if version in done:
+        path = scratch(store.spark, "landed")
+        batch.select(ACTION, *data.names, "change", place.alias(POSITION)).write.parquet(path)
+        landed = store.spark.read.parquet(path)
+        for name in sorted(r.change for r in landed.select("change").distinct().collect()):
+            if store.has(name):
                 continue
             start, end = change_window(F.lit(name))
-            changes = batch.where(F.col("change") == name).drop("change")
-            store.add(version, name, apply_changes(store.read(done), changes, key, start, end))
-        batch.unpersist()
+            changes = landed.where(F.col("change") == name).drop("change")
+            store.add(name, apply_changes(store.read(store.versions()), changes, key, start, end))
 
     return (
         landed_changes(store.spark, folder, data)

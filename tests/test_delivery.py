@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tallyport.contract import Contract, ContractColumn, ContractError
 from tallyport.operators import checks, cleaning, ledger
 from tallyport.operators.cleaning import CleaningRules, Replacement
-from tallyport.plans.load import load_delivery
+from tallyport.plans.load import load_delivery, remove_delivery
 from tallyport.sources import delimited, staging
 
 # The sample delivery and its contract.
@@ -181,10 +181,43 @@ def test_load_and_remove(spark, files, contract, tmp_path):
     typed = {r.test_id: r for r in second.data.where("period = '2023-Q2'").collect()}
     assert typed[1].col_integer == -1 and typed[8].col_date is None and typed[8].check_null == ""
     assert str(typed[1].col_date) == "2024-12-31" and typed[9].col_decimal is None
+    assert sorted((r.sequence, r.period) for r in second.ledger.collect()) == [(1, "2023-Q2"), (2, "2023-Q3")]
     kept = ledger.without_delivery(second.data, "2023-Q3")
     assert sorted(kept.collect()) == sorted(second.data.where("period = '2023-Q2'").collect())
 
 
+def test_clean_and_repeated_loads(spark, tmp_path):
+    """A first delivery without errors, one that was cut short, and removals."""
+    contract = Contract.of(ContractColumn("id", "integer"), ContractColumn("day", "date"), source_code="C")
+    source, root = tmp_path / "d.csv", str(tmp_path / "tables")
+    load = lambda period, **more: load_delivery(spark, str(source), contract, CleaningRules(), period, "", root, **more)
+    source.write_text("id;day\n1;2024-01-31\n")
+    clean = load("2024-Q1")
+    assert clean.new and clean.quality.count() == 0 and clean.data.count() == 1
+    # cells that pass the checks and do not load are reported; a forced load of a clean one takes the reports away
+    source.write_text("id;day\n99999999999;2024-19-39\n2;\n")
+    bad = load("2024-Q2")
+    assert sorted((r.row_number, r.column_name, r.quality_code) for r in bad.quality.collect()) == [(0, "day", 7), (0, "id", 7)]
+    source.write_text("id;day\n5;2024-02-01\n")
+    forced = load("2024-Q2", force=True)
+    assert forced.quality.count() == 0 and sorted(r.id for r in forced.data.collect()) == [1, 5]
+    assert sorted((r.sequence, r.period) for r in forced.ledger.collect()) == [(1, "2024-Q1"), (2, "2024-Q2")]
+    with pytest.raises(ContractError):
+        load("rubbish")
+    # cut short at the end: no ledger row, so the next call loads again
+    source.write_text("id;other\n")
+    with pytest.raises(ContractError):
+        load("2024-Q2", force=True)
+    source.write_text("id;day\n6;\n")
+    assert load("2024-Q2").new
+    removed = {r.table: r.removed for r in remove_delivery(spark, root, contract, "2024-Q2").collect()}
+    assert removed == {"ledger": 1, "data": 1, "quality": 0}
+    assert load("2024-Q2").new and not load("2024-Q2").new
+    source.write_text("")
+    with pytest.raises(ContractError):
+        load("2024-Q3")
+
+
 def test_unchecked_delivery(spark, files, contract, tmp_path):
     loaded = load_delivery(
         spark, str(files / "data.csv"), contract, RULES, "2023-Q2", "", str(tmp_path), data_check=False

@@ -7,7 +7,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tallyport.contract import ContractColumn, ContractError
 from tallyport.functions import datatypes, numbers, periods, text
+from tallyport.operators import checks
 from tallyport.operators import profile
 from tallyport.operators.cleaning import Replacement, replaced
 
@@ -142,11 +144,14 @@ def test_first_day_of_period(spark):
     assert [r[0] for r in values(spark, cells, periods.first_day(F.col("c")).cast("string"))] == days
 
 
-@pytest.mark.parametrize("direct", [3, 100_000])
-def test_exact_medians(spark, monkeypatch, direct):
-    """Also when ranges must be narrowed many times, on skewed and repeated values."""
-    monkeypatch.setattr(profile, "DIRECT", direct)
-    monkeypatch.setattr(profile, "SLICES", 16)
+@pytest.mark.parametrize("bracket", [1e-9, 0.001, 0.2])
+def test_exact_medians(spark, monkeypatch, bracket):
+    """Also where the estimates miss the middle, on skewed and repeated values."""
+    monkeypatch.setattr(profile, "BRACKET", max(bracket, 0.001))
+    if bracket < 0.001:
+        # estimates that never enclose the middle
+        first = profile.basic_moments
+        monkeypatch.setattr(profile, "basic_moments", lambda *a, **k: first(*a, **k).withColumn("middle", F.array("min", "min")))
     rng = np.random.default_rng(3)
     columns = {
         "even": rng.normal(size=1000),
@@ -167,6 +172,38 @@ def test_exact_medians(spark, monkeypatch, direct):
         assert got[name].n == len(wanted) and got[name].missing == 1002 - len(wanted)
 
 
+def test_medians_of_odd_values(spark):
+    nan, inf = float("nan"), float("inf")
+    columns = {
+        "nan": [nan, 1.0, 2.0, 3.0], "nans": [nan, nan, 1.0], "inf": [inf, -inf, 5.0], "infs": [inf, inf, 1.0, inf],
+        "wide": [-1.7e308, 1.7e308, None], "one": [4.0, None, None], "none": [None], "ties": [2.0, 2.0, 2.0, 9.0],
+    }
+    rows = [tuple(v[k] if k < len(v) else None for v in columns.values()) for k in range(4)]
+    frame = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in columns))
+    got = {r.column_name: r.median for r in profile.moments(frame, list(columns), text=False).collect()}
+    want = frame.agg(*[F.median(c).alias(c) for c in columns]).first()
+    for c in columns:
+        assert str(got[c]) == str(want[c]), c
+
+
+def test_moments_take_two_passes(spark):
+    tracker, group = spark.sparkContext.statusTracker(), "moments"
+    frame = spark.range(1000).selectExpr("cast(id as double) a", "cast(id % 7 as double) b").repartition(3)
+    spark.sparkContext.setJobGroup(group, group)
+    profile.moments(frame, ["a", "b"], text=False)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # adaptive execution runs a job for each shuffle of a query
+    assert len(tracker.getJobIdsForGroup(group)) <= 7
+
+
+def test_weeks_and_whole_bounds(spark):
+    days = ["2021-01-03", "2021-01-04", "2024-12-30"]
+    frame = spark.createDataFrame([(d,) for d in days], "d string").select(periods.of_date(F.to_date("d"), "W"))
+    assert [r[0] for r in frame.collect()] == ["2020-W53", "2021-W1", "2025-W1"]
+    with pytest.raises(ContractError):
+        checks.range_check(ContractColumn("n", "integer", "", "0.4:10"))
+
+
 def test_moments_without_values(spark):
     frame = spark.createDataFrame([("x",), ("",)], "c string")
     row = profile.moments(frame, ["c"], text=True).first()

@@ -11,7 +11,7 @@ from tallyport.functions.periods import change_window
 from tallyport.operators import compare, history
 from tallyport.operators.cleaning import CleaningRules
 from tallyport.operators.stored import StoredHistory
-from tallyport.plans.load import load_changes
+from tallyport.plans.load import apply_folder, load_changes
 from tallyport.streaming.mutations import apply_landing
 
 END = datetime.date(9999, 12, 31)
@@ -113,6 +113,14 @@ def test_compare_tables(spark):
     assert not equal
     assert sorted(map(tuple, differing.collect())) == [(2, "n", "5", None), (2, "s", "b", "B")]
     assert compare.compare_tables(one, one.orderBy(F.desc("k")), ["k"])[0]
+    # a key that one side lacks differs, also where its other cells are null
+    bare = "k int, s string"
+    left, right = spark.createDataFrame([(1, None), (None, "n")], bare), spark.createDataFrame([(2, None), (None, "n")], bare)
+    equal, differing = compare.compare_tables(left, right, ["k"])
+    assert not equal and sorted(map(tuple, differing.collect())) == [(1, "*", "present", None), (2, "*", None, "present")]
+    twice = one.unionByName(one)
+    with pytest.raises(ContractError, match="unique"):
+        compare.compare_tables(twice, twice, ["k"])
     assert compare.compare_tables(one, two.limit(2), ["k"]) == (False, None)
     assert compare.compare_tables(one, two.select("k", "n", "s"), ["k"]) == (False, None)
     assert compare.column_differences(["k", "s"], ["k", "t", "u"]) == [(1, "s", "t"), (2, None, "u")]
@@ -140,8 +148,9 @@ def test_change_files_as_they_land(spark, tmp_path):
             apply_landing(store, str(landing), schema, ["id"], str(tmp_path / "progress")).awaitTermination()
             rows = store.read(store.versions()).collect()
             assert sorted(map(tuple, rows), key=repr) == expected
-    apply_landing(store, str(landing), schema, ["id"], str(tmp_path / "progress")).awaitTermination()
+    apply_landing(store, str(landing), schema, ["id"], str(tmp_path / "other progress")).awaitTermination()
     assert len(store.versions()) == 4
+    assert sorted(map(tuple, store.read(store.versions()).collect()), key=repr) == expected
 
 
 def test_change_window(spark):
@@ -183,3 +192,23 @@ def test_load_changes(spark, tmp_path):
     assert [(r.row_number, r.column_name, r.quality_code) for r in failed] == [(2, "v", 8)]
     with pytest.raises(ContractError, match="before"):
         load()
+    # a stream goes on with the same history and knows the file; another file keeps its own quality rows
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "change_20240101-20240215.csv").write_text("insert,50,no\n")
+    (landing / "change_20240216-20240320.csv").write_text("insert,51,yes\n")
+    data = T.StructType.fromDDL("id long, v string")
+    apply_landing(store, str(landing), data, ["id"], str(tmp_path / "progress")).awaitTermination()
+    folder = tmp_path / "folder"
+    folder.mkdir()
+    for name, line in (("20240401-20240420", "insert;61;b"), ("20240321-20240331", "insert;60;A"), ("20240101-20240215", "insert;62;c")):
+        (folder / f"change_{name}.csv").write_text(f"Action;ID;V\n{line}\n")
+    go = lambda: apply_folder(
+        spark, str(folder), contract, CleaningRules(), "2024-M2", store, str(tmp_path / "quality")
+    ).collect()
+    assert [tuple(r) for r in go()] == [("change_20240321-20240331", 0), ("change_20240401-20240420", 0)]
+    assert go() == []
+    keys = {r.id for r in store.read(store.versions()).where(history.is_current()).collect()}
+    assert keys == {7, 9, 51, 60, 61}
+    failed = spark.read.parquet(str(tmp_path / "quality")).collect()
+    assert sorted((r.change[-17:], r.row_number) for r in failed) == [("20240101-20240215", 2), ("20240321-20240331", 0)]
