@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tallyport.llm.registry import query
-from tallyport.llm.tables import table
+from tallyport.llm.tables import small_batches, table
 
 # Edits allowed for each byte of an item; the budget is rounded down.
 EDIT_RATE = 0.05
@@ -122,15 +122,15 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> list[list[tup
         yield sorted((i, t) for i, t in rows if len(t) >= MIN_BYTES)
 
 
-def _scanned(batches: Iterator[pa.RecordBatch], sent, rate: float, keep: str | None) -> Iterator[pa.RecordBatch]:
+def _scanned(batches: Iterator[pa.RecordBatch], sent, rate: float, at: int, clean: bool) -> Iterator[pa.RecordBatch]:
     finder = Finder(sent.value, rate) if sent.value else None
     for batch in batches:
         found = []
-        for row, text in enumerate(batch.column(batch.num_columns - 1)):
+        for row, text in enumerate(batch.column(at).cast(pa.string())):
             hits = finder.found(plain(text.as_buffer().to_pybytes())) if finder and text.is_valid else {}
             found.append(hits)
-        if keep:
-            yield batch.filter(pa.array([not hits for hits in found], pa.bool_())).drop_columns([keep])
+        if clean:
+            yield batch.filter(pa.array([not hits for hits in found], pa.bool_()))
         else:
             rows = [(row, sent.value[k][0], *hit) for row, hits in enumerate(found) for k, hit in hits.items()]
             yield pa.record_batch(
@@ -156,25 +156,25 @@ def leaks(
     has its own rows; ids may be null. The items are searched in blocks of bounded size, each
     against all documents.
     """
+    small_batches(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     out = None
     for block in _blocks(benchmark, item_col, "text"):
         sent = sc.broadcast(block)
-        part = narrow.mapInArrow(lambda it, s=sent: _scanned(it, s, rate, None), "doc_id long, item_id long, edits int, at long")
+        part = narrow.mapInArrow(lambda it, s=sent: _scanned(it, s, rate, 1, False), "doc_id long, item_id long, edits int, at long")
         out = part if out is None else out.unionByName(part)
     return out.withColumnRenamed("at", "end_at")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", rate: float = EDIT_RATE) -> DataFrame:
     """The documents that hold no item, with all their columns; those without text stay."""
+    small_batches(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
+    at = docs.columns.index(text_col)
     for block in _blocks(benchmark, item_col, "text"):
         sent = sc.broadcast(block)
-        schema = docs.schema
-        docs = docs.withColumn("__text", F.col(text_col).cast("string")).mapInArrow(
-            lambda it, s=sent: _scanned(it, s, rate, "__text"), schema
-        )
+        docs = docs.mapInArrow(lambda it, s=sent: _scanned(it, s, rate, at, True), docs.schema)
     return docs
 
 

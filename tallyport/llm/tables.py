@@ -7,7 +7,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tallyport.session import scratch
 
 
+# Rows of an Arrow batch: texts are long, and Spark's own 10,000 rows of them fill a small executor.
+BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches for this session, unless it has a size of its own."""
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -16,6 +27,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage: the rows survive lost executors and are computed once.
     """
+    small_batches(df.sparkSession)
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyport.llm import token_codec
 from tallyport.llm.registry import query
-from tallyport.llm.tables import table
+from tallyport.llm.tables import small_batches, table
 from tallyport.session import scratch
 
 # Ids of a block; one holds whole documents, and more ids only if a single document has them.
@@ -104,6 +104,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
     number of documents and ids, and the coded block with its checksums. A null text is empty. Rows of the
     same id stand together. `tokenizer` is the file of a tokenizer that drops white space, at the same place on all machines.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.repartitionByRange("id").sortWithinPartitions("id")
     rows.mapInArrow(lambda it: _coded(it, tokenizer, end), BLOCKS).write.parquet(path)
