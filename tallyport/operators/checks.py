@@ -283,6 +283,20 @@ def _elements(found: list[Check], by_check) -> Column:
     return F.when(by_check(lambda c: c.show) == PER_ELEMENT, failing).otherwise(whole)
 
 
+def ragged_rows(df: DataFrame, line: str, row: str = "row", carry: tuple[str, ...] = ()) -> DataFrame:
+    """A failure for each row whose number of cells was not that of the header; `line` holds its raw text."""
+    return df.where(F.col(line).isNotNull()).select(
+        F.col(row).alias("row"),
+        *carry,
+        F.lit(LOADS).alias("phase"),
+        F.lit(0).alias("column"),
+        F.lit("").alias("column_name"),
+        F.lit(WRONG_FORM).alias("error_code"),
+        F.concat(F.lit('Row does not have the cells of the header: "'), F.col(line), F.lit('"')).alias("message"),
+        F.lit(0).alias("element"),
+    )
+
+
 def errors_by_column(failed: DataFrame) -> DataFrame:
     return failed.groupBy("column_name", "error_code").agg(F.count("*").alias("errors"))
 

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyport.contract import GENERATED_NAMES, Contract
 from tallyport.functions import datatypes
 from tallyport.functions.text import java_pattern, java_replacement, strip
+from tallyport.sources.delimited import RAGGED
 from tallyport.sources.staging import TRACE
 
-NOT_DATA = {*GENERATED_NAMES, *TRACE}
+NOT_DATA = {*GENERATED_NAMES, *TRACE, RAGGED}
 
 
 @dataclass(frozen=True)

@@ -8,9 +8,8 @@ from tallyport.contract import Contract
 from tallyport.functions.numbers import real_number
 
 MAX_CATEGORIES = 50
-# The distinct estimate is off by about 2 percent; columns are dropped on twice the limit,
-# and the exact count decides about the rest.
-ESTIMATE_ERROR = 0.02
+# Buckets for each value that a column may have at most.
+BUCKETS = 20
 # The middle of a column is looked for between estimates this share of its ranks away.
 BRACKET = 0.001
 MOMENTS = ["n", "missing", "min", "max", "mean", "median", "std"]
@@ -171,11 +170,18 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def categorical(df: DataFrame, columns: list[str], limit: int = MAX_CATEGORIES) -> list[str]:
-    """Columns that may be within the category limit, from one pass of estimates."""
-    estimates = df.agg(
-        *[F.approx_count_distinct(c, ESTIMATE_ERROR).alias(c) for c in columns]
-    ).first()
-    return [c for c in columns if estimates[c] <= 2 * limit]
+    """Columns that may have at most `limit` different values.
+
+    Values are dealt to buckets by a hash. A column that fills more than `limit` buckets has
+    more than `limit` values for certain; all others are counted exactly afterwards. The set of
+    buckets of a column is bounded, so near-unique columns cost no more than others.
+    """
+    if not columns:
+        return []
+    bucket = lambda c: F.pmod(F.xxhash64(F.col(c).cast("string")), F.lit(BUCKETS * limit))
+    buckets = lambda c: F.when(F.col(c).isNotNull(), bucket(c))
+    filled = df.agg(*[F.size(F.collect_set(buckets(c))).alias(c) for c in columns]).first().asDict()
+    return [c for c in columns if filled[c] <= limit]
 
 
 def frequencies(df: DataFrame, columns: list[str], limit: int = MAX_CATEGORIES) -> DataFrame:

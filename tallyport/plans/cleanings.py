@@ -169,7 +169,7 @@ def apply_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "map_supplier_types",
     f"""WITH {CLEAN_SQL} SELECT TRY_CAST(order_id AS INTEGER) AS order_id, 
-      coalesce(CAST(TRY_CAST(customer_id AS DECIMAL(18,2)) AS DOUBLE), 0) AS customer_id, status, TRY_CAST(total AS DOUBLE) AS total,
+      CAST(TRY_CAST(customer_id AS DECIMAL(18,2)) AS DOUBLE) AS customer_id, status, TRY_CAST(total AS DOUBLE) AS total,
       CAST(CAST(coalesce(CASE WHEN regexp_matches(order_date, '^[0-9]{{4}}-') THEN TRY_STRPTIME(order_date, '%Y-%m-%d') END,
       CASE WHEN regexp_matches(order_date, '^[0-9]{{8}}$') THEN TRY_STRPTIME(order_date, '%Y%m%d') END) AS DATE) AS VARCHAR)
       AS order_date FROM clean""",
@@ -183,8 +183,7 @@ def map_supplier_types(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("total", "CURR", 0),
         ("order_date", "DATS", 0),
     ]
-    typed = shown(cleaning.cast_by_dictionary(inputs.clean_orders(spark, sf_dir), dictionary))
-    return typed.withColumn("customer_id", F.coalesce("customer_id", F.lit(0.0)))
+    return shown(cleaning.cast_by_dictionary(inputs.clean_orders(spark, sf_dir), dictionary))
 
 
 @query(

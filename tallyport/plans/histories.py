@@ -173,7 +173,7 @@ def stream_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     delimited.write_delimited(inputs.raw_orders(spark, sf_dir).select(*inputs.NAMES), landing)
     check_landing(spark, landing, out, CONTRACT, inputs.RULES, row="order_id").awaitTermination()
     failed = spark.read.parquet(f"{out}/failures")
-    return failed.drop("file")
+    return failed.drop("file", "batch")
 
 
 @query(

@@ -114,7 +114,7 @@ def load_delivery(
 
     raw = delimited.read_delivery(
         spark, path, contract, header=header, header_file=header_file, sep=sep, encoding=encoding,
-        max_rows=max_rows, traced=True, multiline=multiline,
+        max_rows=max_rows, traced=True, multiline=multiline, ragged=True,
     )
     staged = staging.stage(clean(raw, contract, rules))
     numbered = staging.number_rows(staged, "row", start=0)
@@ -127,6 +127,7 @@ def load_delivery(
 
     if data_check:
         report = checks.failures(numbered, contract, checks.LOAD_CHECKS)
+        report = report.unionByName(checks.ragged_rows(numbered, delimited.RAGGED))
         if max_errors is not None:
             report, _, _ = checks.within_budget(settle(report), max_errors)
     else:
@@ -167,7 +168,7 @@ def load_changes(
     if store.has(name):
         raise ContractError(f"change file was applied before: {name}")
     raw = delimited.read_delivery(
-        spark, path, contract, header=header, sep=sep, instructions=(instruction,), traced=True
+        spark, path, contract, header=header, sep=sep, instructions=(instruction,), traced=True, ragged=True
     )
     staged = staging.stage(clean(raw, contract, rules))
     numbered = staging.number_rows(staged, "row", start=0)
@@ -182,9 +183,10 @@ def load_changes(
         "period": F.lit(period),
         "loaded_at": loading.now(),
     }
-    changes = typed.withColumnRenamed(instruction, ACTION)
+    changes = typed.withColumnRenamed(instruction, ACTION).drop(delimited.RAGGED)
     applied = apply_changes(history, changes, list(contract.keys), start, end, stamps)
     report = checks.failures(numbered, contract, checks.LOAD_CHECKS)
+    report = report.unionByName(checks.ragged_rows(numbered, delimited.RAGGED))
     if max_errors is not None:
         report, _, _ = checks.within_budget(settle(report), max_errors)
     replace_part(loading.quality_rows(report, contract.source_code, period), quality, period=period, change=name)

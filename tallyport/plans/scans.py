@@ -216,7 +216,7 @@ def stage_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TYPED_SQL = f"""WITH {CLEAN_SQL}
-SELECT "row", TRY_CAST(order_id AS BIGINT) AS order_id, coalesce(TRY_CAST(customer_id AS INTEGER), 0) AS customer_id,
+SELECT "row", TRY_CAST(order_id AS BIGINT) AS order_id, CAST(TRY_CAST(customer_id AS INTEGER) AS VARCHAR) AS customer_id,
   status, TRY_CAST(CASE WHEN regexp_matches(total, '^-?[0-9.]+$') THEN total END AS DOUBLE) AS total,
   CAST(CAST(coalesce(CASE WHEN regexp_matches(order_date, '^[0-9]{{4}}-') THEN TRY_STRPTIME(order_date, '%Y-%m-%d') END,
     CASE WHEN regexp_matches(order_date, '^[0-9]{{8}}$') THEN TRY_STRPTIME(order_date, '%Y%m%d') END) AS DATE)
@@ -229,7 +229,8 @@ def load_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = loading.load_typed(inputs.clean_orders(spark, sf_dir), CONTRACT)
     tables.append(typed.withColumn("period", F.lit("2024-Q1")), path, "period")
     stored = spark.read.schema(typed.schema).parquet(path).drop("period")
-    return shown(stored).withColumn("customer_id", F.coalesce("customer_id", F.lit(0)))
+    # as text, so that empty cells keep the type of the column in any comparison
+    return shown(stored).withColumn("customer_id", F.col("customer_id").cast("string"))
 
 
 @query(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyport.contract import Contract, ContractError
@@ -12,6 +15,8 @@ NO_NULL = "\x00"
 # Where a cell came from: file, start of the split, and order of reading inside it.
 SPLIT = ["_file", "_block"]
 PLACE = "_place"
+# The raw line of a row with more or fewer cells than the header.
+RAGGED = "_ragged"
 
 # Usual spellings of encodings and the names Spark knows them by. Further
 # encodings need `spark.sql.legacy.javaCharsets`.
@@ -54,6 +59,35 @@ def first_line(spark: SparkSession, path: str, sep: str = ";", encoding: str = "
     return ["" if cell is None else cell for cell in row]
 
 
+def headers_by_file(
+    spark: SparkSession, path: str | list[str], sep: str = ";", encoding: str = "utf8"
+) -> list[tuple[list[str], str | list[str]]]:
+    """Each different raw header of a delivery with the files that have it.
+
+    A delivery of one file costs one row. For several files one scan finds their first lines;
+    there is a row for each file, and as a rule all have the same header, which leaves the path as it is.
+    """
+    lines = spark.read.option("encoding", charset(encoding)).text(path)
+    files = lines.inputFiles()
+    if len(files) == 1:
+        return [(first_line(spark, path, sep, encoding), path)]
+    place = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
+    firsts = (
+        lines.select(F.col("_metadata.file_path").alias("file"), "value", place.alias("place"))
+        .where("value <> ''")
+        .groupBy("file")
+        .agg(F.min_by("value", "place").alias("line"))
+        .collect()
+    )
+    if not firsts:
+        raise ContractError(f"no header in {path}")
+    groups: dict[str, list[str]] = {}
+    for row in sorted(firsts):
+        groups.setdefault(row.line.rstrip("\r"), []).append(row.file)
+    parsed = [(next(csv.reader([line], delimiter=sep)), named) for line, named in groups.items()]
+    return [(parsed[0][0], path)] if len(parsed) == 1 else parsed
+
+
 def sidecar_header(
     spark: SparkSession, path: str, skip: int = 5, field: str = "FIELDNAME", encoding: str = "utf8"
 ) -> list[str]:
@@ -82,19 +116,25 @@ def text_frame(
     header: bool = True,
     multiline: bool = False,
     traced: bool = False,
+    ragged: bool = False,
 ) -> DataFrame:
     """All cells of a delivery as text under the given names, never inferred.
 
     `traced` adds the file and the split of each row; `stage` adds the order inside the
-    split when it writes the rows, which must happen before any shuffle.
+    split when it writes the rows, which must happen before any shuffle. `ragged` adds the raw
+    line of rows whose number of cells is not that of the names; their cells are cut or filled up.
     """
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    extra = [RAGGED] if ragged else []
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, *extra]])
     rows = (
         spark.read.schema(schema)
-        .options(**_options(sep, encoding, multiline), header=header, enforceSchema=True)
+        .options(**_options(sep, encoding, multiline), header=header, enforceSchema=True, columnNameOfCorruptRecord=RAGGED)
+        # a parser that skips columns does not count the cells
+        .option("columnPruning", not ragged)
         .csv(path)
     )
-    cells = [F.coalesce(F.col(n), F.lit("")).alias(n) for n in names]
+    cells = [F.col(RAGGED)] if ragged else []
+    cells += [F.coalesce(F.col(n), F.lit("")).alias(n) for n in names]
     if traced:
         cells += [
             F.col("_metadata.file_path").alias(SPLIT[0]),
@@ -115,20 +155,28 @@ def read_delivery(
     max_rows: int = 0,
     traced: bool = False,
     multiline: bool = False,
+    ragged: bool = False,
 ) -> DataFrame:
     """A delivery under its normalised header names, checked against the contract.
 
     Works on any path Spark can read, `s3a://` included. Names come from the header file
-    if there is one, else from the first line, else from the contract in its order.
+    if there is one, else from the first line of each file, else from the contract in its order.
+    Files with different headers are read under their own names; a column that only some of them
+    have is empty in the others.
     """
     if header_file is not None:
-        raw = sidecar_header(spark, header_file, encoding=encoding)
+        parts = [(sidecar_header(spark, header_file, encoding=encoding), path)]
     elif header:
-        raw = first_line(spark, path, sep, encoding)
+        parts = headers_by_file(spark, path, sep, encoding)
     else:
-        raw = list(instructions) + contract.names
-    names = accepted_names(raw, contract, instructions)
-    rows = text_frame(spark, path, names, sep, encoding, header, multiline, traced)
+        parts = [(list(instructions) + contract.names, path)]
+    frames = [
+        text_frame(spark, files, accepted_names(raw, contract, instructions), sep, encoding, header, multiline, traced, ragged)
+        for raw, files in parts
+    ]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    if len(frames) > 1:
+        rows = rows.fillna("", [c for c in rows.columns if c in contract.names or c in instructions])
     return rows.limit(max_rows) if max_rows >= 1 else rows
 
 

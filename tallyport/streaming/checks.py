@@ -6,23 +6,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyport.contract import Contract
-from tallyport.operators.checks import failures
+from tallyport.operators.checks import failures, ragged_rows
 from tallyport.operators.cleaning import CleaningRules, clean
-from tallyport.sources.delimited import NO_NULL
-
-
-def landed_rows(spark: SparkSession, folder: str, contract: Contract, sep: str = ";") -> DataFrame:
-    """Rows of the delimited files in a folder, all text, with the file they came from."""
-    rows = (
-        spark.readStream.schema(contract.text_schema())
-        .options(
-            sep=sep, header=True, quote='"', escape='"', nullValue=NO_NULL, emptyValue="",
-            recursiveFileLookup=True, pathGlobFilter="*.csv",
-        )
-        .csv(folder)
-    )
-    cells = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in contract.names]
-    return rows.select(*cells, F.col("_metadata.file_path").alias("file"))
+from tallyport.sources.delimited import RAGGED, SPLIT, read_delivery
+
+
+def landed_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Paths of the delimited files that land in a folder; what is in them is not read here."""
+    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+    return files.options(recursiveFileLookup=True, pathGlobFilter="*.csv").load(folder).select("path")
 
 
 def check_landing(
@@ -32,18 +24,29 @@ def check_landing(
     contract: Contract,
     rules: CleaningRules,
     row: str,
+    sep: str = ";",
 ) -> StreamingQuery:
-    """Failed cells of every landed file, each file once.
+    """Failed cells of every landed file, each file once, below `out`/failures.
 
-    `row` is the column that identifies a row of the delivery. The file sink commits a
-    batch as a whole, so a restarted query neither loses nor repeats failures.
+    `row` is the column that identifies a row of the delivery. Every file is read under its own
+    header. A batch's failures replace those of the same batch, so a restarted query neither
+    loses nor repeats any.
     """
-    cleaned = clean(landed_rows(spark, folder, contract), contract, rules)
-    numbered = cleaned.withColumn("row", F.col(row))
+
+    def check(batch: DataFrame, batch_id: int) -> None:
+        paths = sorted(r.path for r in batch.collect())  # a row for each landed file
+        if not paths:
+            return
+        rows = read_delivery(spark, paths, contract, sep=sep, traced=True, ragged=True)
+        cleaned = clean(rows, contract, rules).drop(SPLIT[1])
+        numbered = cleaned.withColumnRenamed(SPLIT[0], "file").withColumn("row", F.col(row))
+        found = failures(numbered, contract, carry=("file",))
+        ragged = ragged_rows(numbered, RAGGED, carry=("file",))
+        found.unionByName(ragged).write.mode("overwrite").parquet(f"{out}/failures/batch={batch_id}")
+
     return (
-        failures(numbered, contract, carry=("file",))
-        .writeStream.format("parquet")
-        .option("path", f"{out}/failures")
+        landed_files(spark, folder)
+        .writeStream.foreachBatch(check)
         .option("checkpointLocation", f"{out}/progress")
         .trigger(availableNow=True)
         .start()

@@ -8,6 +8,7 @@ from tallyport.operators import checks, cleaning, ledger
 from tallyport.operators.cleaning import CleaningRules, Replacement
 from tallyport.plans.load import load_delivery, remove_delivery
 from tallyport.sources import delimited, staging
+from tallyport.streaming.checks import check_landing
 
 # The sample delivery and its contract.
 ROWS = """test_id;col_boolean;col_integer;col_decimal;col_date;check_null;check_minmax;check_list_numeric;check_list_text;check_re
@@ -218,6 +219,26 @@ def test_clean_and_repeated_loads(spark, tmp_path):
         load("2024-Q3")
 
 
+def test_files_with_headers_of_their_own(spark, tmp_path):
+    """Columns in another order, rows that are too long or too short: in batch and as files land."""
+    contract = Contract.of(ContractColumn("a", "integer"), ContractColumn("b", "text"), source_code="C")
+    landing = tmp_path / "in"
+    landing.mkdir()
+    (landing / "one.csv").write_text("a;b\n1;x\n2;y;more;cells\n3\n")
+    (landing / "two.csv").write_text("B;A\nhello;4\nworld;five\n")
+    rows = delimited.read_delivery(spark, str(landing), contract, ragged=True).collect()
+    assert {(r.a, r.b) for r in rows} == {("1", "x"), ("2", "y"), ("3", ""), ("4", "hello"), ("five", "world")}
+    assert {r._ragged for r in rows} == {None, "2;y;more;cells", "3"}
+    loaded = load_delivery(spark, str(landing), contract, CleaningRules(), "2024-Q1", "", str(tmp_path / "t"))
+    assert sorted(r.quality_code for r in loaded.quality.collect()) == [6, 7, 7]
+    check_landing(spark, str(landing), str(tmp_path / "out"), contract, CleaningRules(), row="b").awaitTermination()
+    found = spark.read.parquet(str(tmp_path / "out/failures")).collect()
+    assert sorted((r["row"], r.error_code) for r in found) == [("", 7), ("world", 6), ("y", 7)]
+    (landing / "three.csv").write_text("b\nz\n")
+    check_landing(spark, str(landing), str(tmp_path / "out"), contract, CleaningRules(), row="b").awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out/failures")).count() == 3
+
+
 def test_unchecked_delivery(spark, files, contract, tmp_path):
     loaded = load_delivery(
         spark, str(files / "data.csv"), contract, RULES, "2023-Q2", "", str(tmp_path), data_check=False
