@@ -8,10 +8,10 @@ from tallyport.functions import periods
 from tallyport.operators import checks, compare, history, ledger
 from tallyport.plans import checking, inputs, scans
 from tallyport.plans.inputs import CONTRACT, HISTORY_SQL, QUARTER_SQL, shown, table
-from tallyport.plans.load import load_delivery
+from tallyport.plans.load import Delivery, load_delivery, run_deliveries
 from tallyport.plans.registry import query
 from tallyport.session import scratch
-from tallyport.sources import files
+from tallyport.sources import delimited, files
 
 WANTED_SQL = f"""wanted AS (SELECT {QUARTER_SQL} AS period, count(*) AS orders FROM orders WHERE o_orderstatus = 'O' GROUP BY 1),
   ledger AS (SELECT {QUARTER_SQL} AS period, count(*) AS records FROM orders
@@ -319,3 +319,33 @@ def load_whole_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(data.join(errors, "record_no", "left").withColumns(
         {"errors": F.coalesce("errors", F.lit(0)), "ledger_records": records}
     ))
+
+
+@query(
+    "delivery_pipeline",
+    f"""WITH {checking.FAILED_SQL}, n AS (SELECT (SELECT count(*) FROM orders) AS records, (SELECT count(*) FROM failed) AS errors)
+    SELECT CAST(place AS INTEGER) AS place, period, verdict, CASE WHEN verdict = 'refused' THEN 0 ELSE records END AS records,
+      CASE WHEN verdict = 'refused' OR place = 0 THEN 0 ELSE errors END AS errors, 0 AS repeated_keys
+    FROM n, (VALUES (0, '2023-I', 'loaded'), (1, '2024-Q1', 'loaded'), (2, '2024-Q1', 'skipped'), (3, '2024-M4', 'refused'),
+      (4, '2024-Q2', 'loaded'), (5, '2024-Q3', 'refused')) AS v(place, period, verdict)""",
+)
+def delivery_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six deliveries in a row: from a table, from files of two kinds, one again, and two that are refused."""
+    code = inputs.SOURCE_CODE
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"), F.col("o_orderstatus").alias("status"),
+        F.col("o_totalprice").alias("total"), F.col("o_orderdate").alias("order_date"), F.col("o_orderpriority").alias("priority"),
+    )
+    seed, comma = scratch(spark, "orders"), scratch(spark, "commas")
+    orders.write.parquet(seed)
+    delimited.write_delimited(inputs.raw_orders(spark, sf_dir).select(*inputs.NAMES), comma, sep=",", header=False)
+    file = scans.delivered(spark, sf_dir, header=True)
+    notes = [
+        Delivery(seed, "2023-I", code, first=True, table=True, options={"name": "orders"}),
+        Delivery(file, "2024-Q1", code, "2024-04-01"),
+        Delivery(file, "2024-Q1", code, "2024-04-02"),
+        Delivery(file, "2024-M4", code, "2024-05-01"),
+        Delivery(comma, "2024-Q2", code, "2024-07-01", options={"sep": ",", "header": False}),
+        Delivery(file, "2024-Q3", "OTHER", "2024-10-01"),
+    ]
+    return run_deliveries(spark, notes, CONTRACT, inputs.RULES, scratch(spark, "tables"))

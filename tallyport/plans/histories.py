@@ -90,6 +90,20 @@ def history_of_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(history.history_of(inputs.customer_history(spark, sf_dir), "cust_id", first.scalar()))
 
 
+@query(
+    "history_functions",
+    f"""WITH {HISTORY_SQL} SELECT 'at' AS part, {HISTORY_OUT} FROM history WHERE valid_from <= DATE '2024-01-01' AND valid_to >= DATE '2024-01-01'
+    UNION ALL SELECT 'of', {HISTORY_OUT} FROM history WHERE cust_id = (SELECT min(c_custkey) FROM customer WHERE c_mktsegment = 'MACHINERY')""",
+)
+def history_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SQL table functions over a history: all rows of a day, and all versions of a key."""
+    inputs.customer_history(spark, sf_dir).createOrReplaceTempView("tallyport_history")
+    history.create_history_functions(spark, "tallyport_history", "tallyport", "cust_id")
+    first = table(spark, sf_dir, "customer").where("c_mktsegment = 'MACHINERY'").agg(F.min("c_custkey").alias("k")).first().k
+    day = spark.sql("SELECT 'at' AS part, * FROM show_tallyport_at(DATE'2024-01-01')")
+    return shown(day.unionByName(spark.sql(f"SELECT 'of' AS part, * FROM show_history_of_tallyport({first})")))
+
+
 def applied(spark: SparkSession, sf_dir: str, actions: list[str] | None = None) -> history.Applied:
     """The history after all changes as one file, or after those with some actions."""
     before, changes = both(spark, sf_dir)

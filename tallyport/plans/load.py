@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
@@ -14,7 +14,7 @@ from tallyport.functions.periods import change_window
 from tallyport.operators import checks, loading
 from tallyport.operators.cleaning import CleaningRules, clean
 from tallyport.operators.history import ACTION, POSITION, apply_changes
-from tallyport.operators.ledger import next_sequence, removed_counts
+from tallyport.operators.ledger import next_sequence, note_verdicts, removed_counts, require_accepted
 from tallyport.operators.stored import StoredHistory
 from tallyport.session import settle
 from tallyport.sources import delimited, staging
@@ -144,6 +144,77 @@ def load_delivery(
     return Loaded(loaded["data"], loaded["quality"], loaded["ledger"], new=True)
 
 
+def load_seed(spark: SparkSession, path: str, contract: Contract, period: str, root: str, name: str) -> Loaded:
+    """A first delivery copied from a stored table, which is not checked; otherwise as `load_delivery`."""
+    held = stored_tables(spark, root, contract)
+    if not held["ledger"].where(F.col("period") == period).isEmpty():
+        return Loaded(held["data"], held["quality"], held["ledger"], new=False)
+    sequence, first = next_sequence(held["ledger"]).first().next_sequence, next_record(held["data"], period)
+    rows = staging.number_rows(staging.traced_parquet(spark, path), start=first)
+    kinds = {f.name: f.dataType for f in contract.typed_schema()}
+    typed = rows.select("record_no", *[F.col(c).try_cast(kinds[c]).alias(c) for c in contract.names])
+    stamped = loading.stamp_delivery(typed, contract.source_code, period)
+    replace_part(loading.table_order(stamped, contract), f"{root}/data", period=period)
+    report = checks.seeded_report(spark, name)
+    replace_part(loading.quality_rows(report, contract.source_code, period), f"{root}/quality", period=period)
+    records = stored_tables(spark, root, contract)["data"].where(F.col("period") == period).agg(F.count("*").alias("records"))
+    row = loading.ledger_row(records, period, contract.source_code, "", name, sequence=F.lit(sequence))
+    replace_part(row, f"{root}/ledger", period=period)
+    done = stored_tables(spark, root, contract)
+    return Loaded(done["data"], done["quality"], done["ledger"], new=True)
+
+
+@dataclass(frozen=True)
+class Delivery:
+    """What a delivery note says: a file, or a table for a first delivery, and how to read it."""
+
+    path: str
+    period: str
+    source_code: str
+    delivered_on: str = ""
+    first: bool = False
+    table: bool = False
+    options: dict = field(default_factory=dict)
+
+
+def run_deliveries(
+    spark: SparkSession, deliveries: list[Delivery], contract: Contract, rules: CleaningRules, root: str
+) -> DataFrame:
+    """Loads deliveries one after the other; a row (place, period, verdict, records, errors, repeated_keys) for each.
+
+    A note is judged first: its period, its letter against the declared frequency, its source code.
+    What fails there or at the load is `refused`, what the ledger names is `skipped`. Key values that
+    occur more than once in a delivery are counted.
+    """
+    declared = spark.createDataFrame(
+        [("", contract.frequency, contract.source_code)], "supplier string, frequency string, source_code string"
+    )
+    schema = "supplier string, period string, source_code string, first boolean"
+    out = []
+    for place, note in enumerate(deliveries):
+        verdict, records, errors, repeated = "refused", 0, 0, 0
+        try:
+            said = spark.createDataFrame([("", note.period, note.source_code, note.first)], schema)
+            require_accepted(note_verdicts(said, declared))
+            if note.table:
+                loaded = load_seed(spark, note.path, contract, note.period, root, **note.options)
+            else:
+                loaded = load_delivery(
+                    spark, note.path, contract, rules, note.period, note.delivered_on, root, **note.options
+                )
+        except ContractError:
+            out.append((place, note.period, verdict, records, errors, repeated))
+            continue
+        verdict = "loaded" if loaded.new else "skipped"
+        here = F.col("period") == note.period
+        records = loaded.ledger.where(here).first().records
+        errors = loaded.quality.where(here & (F.col("quality_code") >= 0)).count()
+        if contract.keys:
+            repeated = checks.duplicate_keys(loaded.data.where(here), list(contract.keys)).count()
+        out.append((place, note.period, verdict, records, errors, repeated))
+    return spark.createDataFrame(out, "place int, period string, verdict string, records long, errors long, repeated_keys long")
+
+
 def load_changes(
     spark: SparkSession,
     path: str,

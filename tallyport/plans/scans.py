@@ -253,12 +253,15 @@ def sink_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH p AS (SELECT {QUARTER_SQL} AS period, count(*) AS records, max(o_orderdate) AS last_day FROM orders GROUP BY 1)
     SELECT CAST(row_number() OVER (ORDER BY period) AS INTEGER) AS sequence, period, 'ORDERDESK' AS source_code,
       'current_user' AS created_by, strftime(last_day, '%Y-%m-%d') AS delivered_on, true AS accepted,
-      'Not applicable' AS reason, records, '' AS config_text, 'orders_' || period || '.csv' AS data_file FROM p""",
+      'Not applicable' AS reason, records, '' AS config_text, 'orders_' || period || '.csv' AS data_file,
+      true AS processed_today FROM p""",
 )
 def sink_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "ledger")
     tables.append(ledger(spark, sf_dir), path)
-    return shown(spark.read.parquet(path)).drop("processed_on", "loaded_at")
+    # a run may last over midnight
+    today = F.datediff(F.current_date(), F.col("processed_on")).isin(0, 1)
+    return shown(spark.read.parquet(path).withColumn("processed_today", today)).drop("processed_on", "loaded_at")
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
