@@ -227,7 +227,31 @@ class JaccardJoin:
         )
 
 
-@query("op4_jaccard_join")
+@query(
+    "op4_jaccard_join",
+    r"""
+    with recursive words as (
+        select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+        from documents
+    ), shingles as (
+        select distinct doc_id, unnest(case when len(w) = 0 then []::varchar[] when len(w) < 5 then [array_to_string(w, ' ')]
+            else list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' ')) end) as shingle
+        from words
+    ), sizes as (select doc_id, count(*) as n from shingles group by 1),
+    shared as (
+        select a.doc_id as x, b.doc_id as y, count(*) as c from shingles a join shingles b on a.shingle = b.shingle and a.doc_id < b.doc_id group by 1, 2
+    ), links as (
+        select x, y from shared join sizes a on a.doc_id = x join sizes b on b.doc_id = y where 100 * c >= 75 * (a.n + b.n - c)
+    ), both_ways as (select x, y from links union all select y, x from links),
+    reached as (
+        select doc_id, doc_id as other from documents
+        union
+        select reached.doc_id, both_ways.y from reached join both_ways on reached.other = both_ways.x
+    )
+    select r.doc_id, coalesce(any_value(n), 0) as n_shingles, min(other) as component_id
+    from reached r left join sizes s on s.doc_id = r.doc_id group by 1
+    """,
+)
 def op4_jaccard_join(spark, sf_dir):
     """Every document with the size of its shingle set and its class."""
     return JaccardJoin(table(spark, sf_dir, "documents")).classes().withColumnRenamed("id", "doc_id")

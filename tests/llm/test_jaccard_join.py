@@ -36,8 +36,8 @@ def test_defined_cases(spark):
     )
 
 
-@pytest.mark.parametrize("block", [2, 1024])
-def test_chains_and_crowded_regions(spark, block):
+@pytest.mark.parametrize(("block", "percent"), [(2, 75), (1024, 50)])
+def test_chains_and_crowded_regions(spark, block, percent):
     # variants of a few texts at all distances: links that only a middle text makes, cells of several components
     rng = random.Random(5)
     base = [[f"w{rng.randrange(400)}" for _ in range(60)] for _ in range(4)]
@@ -49,8 +49,7 @@ def test_chains_and_crowded_regions(spark, block):
         if rng.random() < 0.3:
             words = words[: rng.randrange(8, 60)]
         rows.append((k, " ".join(words)))
-    compare(spark, rows, block=block)
-    compare(spark, rows, percent=50, block=block)
+    compare(spark, rows, percent=percent, block=block)
 
 
 def test_empty_table(spark):
