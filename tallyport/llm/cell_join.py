@@ -85,15 +85,19 @@ class CellJoin:
 
     def _with_components(self, rows: DataFrame, links: DataFrame) -> DataFrame:
         ends = links.select(node("x", "xn").alias("a"), node("y", "yn").alias("b"))
-        labels = components(ends).select(F.col("node.name").alias("name"), F.col("node.n").alias("n"), "component")
-        return rows.join(labels, ["name", "n"], "left").withColumn("component", F.coalesce("component", node()))
+        self.labels = components(ends).select(F.col("node.name").alias("name"), F.col("node.n").alias("n"), "component")
+        return rows.join(self.labels, ["name", "n"], "left").withColumn("component", F.coalesce("component", node()))
 
     @staticmethod
     def _open(rows: DataFrame) -> DataFrame:
-        """Cells that hold several components, each set of members once, with a pivot and the largest component."""
+        """Cells that hold several components, with a pivot and the largest component.
+
+        Of cells with the same members the one with the earliest places is kept: it belongs to the
+        first shingle that they share.
+        """
         order = F.struct(F.xxhash64("name", "n").alias("h"), "n", "name", "place")
         parts = rows.groupBy("cell", "component").agg(
-            F.count("*").alias("k"), F.min(order).alias("first"), F.sum(F.xxhash64("n", "name").cast("decimal(20,0)")).alias("h")
+            F.count("*").alias("k"), F.sum("place").alias("places"), F.min(order).alias("first"), F.sum(F.xxhash64("n", "name").cast("decimal(20,0)")).alias("h")
         )
         return (
             parts.groupBy("cell")
@@ -101,12 +105,13 @@ class CellJoin:
                 F.count("*").alias("parts"),
                 F.sum("k").alias("members"),
                 F.sum("h").alias("same"),
+                F.sum("places").alias("places"),
                 F.min("first").alias("p"),
                 F.max(F.struct("k", "component")).alias("largest"),
             )
             .where("parts > 1")
             .groupBy("members", "same")
-            .agg(F.min(F.struct("cell", "p", "largest")).alias("c"))
+            .agg(F.min(F.struct("places", "cell", "p", "largest")).alias("c"))
             .select("c.cell", F.struct("c.p.n", "c.p.name", "c.p.place").alias("pivot"), F.col("c.largest.component").alias("main"))
         )
 
@@ -138,6 +143,7 @@ class CellJoin:
 
         place is the number of shingles of the set that come before the cell's own in the common
         order, or 0. The links connect all sets that any chain of links within cells connects.
+        Afterwards `labels` has rows (name, n, component) for all linked sets.
         """
         # every cell against its pivot
         rows = cells.withColumn("component", node())

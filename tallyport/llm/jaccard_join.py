@@ -31,7 +31,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tallyport.llm import shingles
 from tallyport.llm.bloom import BlockedBloom
 from tallyport.llm.cell_join import BLOCK, CellJoin, node
-from tallyport.llm.graph import components
 from tallyport.llm.registry import query
 from tallyport.llm.tables import table, written
 
@@ -177,7 +176,9 @@ class JaccardJoin:
         self.documents = described.where("chunk is null").select("id", "n", "name")
         self.nodes = self.documents.where("n > 0").groupBy("n", "name").agg(F.min("id").alias("least"))
         cells = self._first_cells(self._sketch(described))
-        self.links = CellJoin(self._packed_sets, percent, block).join(cells)
+        found = CellJoin(self._packed_sets, percent, block)
+        self.links = found.join(cells)
+        self.labels = found.labels
 
     def _sketch(self, described: DataFrame):
         """Counts of all shingles of all texts by low bits of the hash: of fixed size, sent to all executors."""
@@ -217,9 +218,7 @@ class JaccardJoin:
         return written(texts.mapInArrow(lambda it: _packed(it, words), "name long, n int, shingles binary"), "sets")
 
     def classes(self) -> DataFrame:
-        ends = self.links.select(node("x", "xn").alias("a"), node("y", "yn").alias("b"))
-        labels = components(ends).select(F.col("node.n").alias("n"), F.col("node.name").alias("name"), "component")
-        in_class = self.nodes.join(labels, ["n", "name"], "left").withColumn("component", F.coalesce("component", node()))
+        in_class = self.nodes.join(self.labels, ["n", "name"], "left").withColumn("component", F.coalesce("component", node()))
         least = in_class.groupBy("component").agg(F.min("least").alias("component_id"))
         known = in_class.join(least, "component").select("n", "name", "component_id")
         return self.documents.join(known, ["n", "name"], "left").select(

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, functions as F
 from tallyport.llm import shingles
 from tallyport.llm.bloom import BlockedBloom
 from tallyport.llm.cell_join import CellJoin, node
-from tallyport.llm.graph import components
 from tallyport.llm.registry import query
 from tallyport.llm.tables import table, written
 
@@ -154,8 +153,9 @@ class ParagraphDedup:
         place = F.struct("doc", "paragraph")
         self.nodes = written(self.places.groupBy("n", "name").agg(F.min(place).alias("first"), F.count("*").alias("times")), "nodes")
         cells = self._cells()
-        links = CellJoin(lambda nodes: self._wanted_sets(nodes, min_words), percent).join(cells)
-        self.removals = self._removals(links)
+        found = CellJoin(lambda nodes: self._wanted_sets(nodes, min_words), percent)
+        self.links = found.join(cells)
+        self.removals = self._removals(found.labels)
 
     def _cells(self) -> DataFrame:
         """Rows (cell, name, n, place) of bands that hold several sets."""
@@ -175,9 +175,7 @@ class ParagraphDedup:
         schema = "name long, n int, shingles binary"
         return written(texts.select("text", "lines").mapInArrow(lambda it: _sets(it, min_words), schema), "sets")
 
-    def _removals(self, links: DataFrame) -> DataFrame:
-        ends = links.select(node("x", "xn").alias("a"), node("y", "yn").alias("b"))
-        labels = components(ends).select(F.col("node.n").alias("n"), F.col("node.name").alias("name"), "component")
+    def _removals(self, labels: DataFrame) -> DataFrame:
         known = self.nodes.join(labels, ["n", "name"], "left")
         # only sets that are linked or occur several times matter from here on
         known = known.where("times > 1 or component is not null").withColumn("component", F.coalesce("component", node()))
