@@ -37,6 +37,9 @@ CROWD_BYTES = 1 << 18
 INDEX_BYTES = 1 << 19
 # Bytes of text whose anchors are found at once; the pieces of a long text overlap.
 PIECE = 1 << 20
+# Bits for a place in a piece; a piece with a window more must be shorter than 2^21 bytes.
+PLACE_BITS = 21
+U = np.uint64
 
 _ODD = shingles._BYTES.copy()
 _ODD[shingles._SPACE] = np.arange(3, 15, 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -61,29 +64,23 @@ def rolling(data: np.ndarray, size: int) -> np.ndarray:
 
 
 def least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
-    """Place of the leftmost least value of each window of `width` values."""
+    """Place of the least value of each window of `width` values; by 43 bits, the leftmost of equal ones."""
     n = len(values) - width + 1
     if n <= 0:
         return np.empty(0, np.int64)
+    mask = U((1 << PLACE_BITS) - 1)
+    values = (values & ~mask) | np.arange(len(values), dtype=np.uint64)
     # blocks of the window's width: the minimum is that of a suffix of one block and a prefix of the next
     pad = -len(values) % width
-    blocks = np.concatenate((values, np.full(pad, ~np.uint64(0)))).reshape(-1, width)
+    blocks = np.concatenate((values, np.full(pad, ~U(0)))).reshape(-1, width)
     ahead = np.minimum.accumulate(blocks, axis=1).reshape(-1)
     back = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-    least = np.minimum(back[:n], ahead[width - 1 : width - 1 + n])
-    # the leftmost place of each value within reach: the next place where the value equals the minimum
-    fresh = np.ones(n, bool)
-    fresh[1:] = least[1:] != least[:-1]
-    places = np.empty(n, np.int64)
-    starts = np.flatnonzero(fresh)
-    for a, b in zip(starts, np.append(starts[1:], n), strict=True):
-        same = a + np.flatnonzero(values[a : b + width - 1] == least[a])
-        places[a:b] = same[np.searchsorted(same, np.arange(a, b))]
-    return places
-
-
-def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple[int, int, int, int]]:
-    """(hash, place, first window, last window) of each anchor of a text."""
+    return (np.minimum(back[:n], ahead[width - 1 : width - 1 + n]) & mask).astype(np.int64)
+
+
+def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM) -> np.ndarray:
+    """Rows (hash, place, first window, last window) of the anchors of a text."""
+    out = [np.empty((0, 4), np.int64)]
     step = max(PIECE, 2 * length)
     for at in range(0, max(1, len(text) - length + 1), step):
         data = np.frombuffer(text[at : at + step + length - 1], np.uint8)
@@ -93,9 +90,9 @@ def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM) -> Iterator[tup
         places = least_in_windows(hashes, length - gram + 1)
         cut = np.flatnonzero(np.diff(places)) + 1
         firsts, lasts = np.append(0, cut), np.append(cut, len(places)) - 1
-        for a, b in zip(firsts.tolist(), lasts.tolist(), strict=True):
-            p = int(places[a])
-            yield int(hashes[p].view(np.int64)), at + p, at + a, at + b
+        p = places[firsts]
+        out.append(np.stack((hashes[p].view(np.int64), at + p, at + firsts, at + lasts), axis=1))
+    return np.concatenate(out)
 
 
 def _listed(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -105,10 +102,10 @@ def _listed(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
             part = batch.slice(piece, 512)
             of, rows = [], []
             for k, text in enumerate(part.column(2)):
-                found = list(anchors(text.as_buffer().to_pybytes(), length)) if text.is_valid else []
-                of += [k] * len(found)
-                rows += found
-            flat = np.array(rows, np.int64).reshape(-1, 4)
+                found = anchors(text.as_buffer().to_pybytes(), length) if text.is_valid else np.empty((0, 4), np.int64)
+                of.append(np.full(len(found), k))
+                rows.append(found)
+            flat, of = np.concatenate(rows), np.concatenate(of)
             yield pa.record_batch(
                 [*(part.column(c).take(pa.array(of, pa.int64())) for c in (0, 1)), *(pa.array(flat[:, c]) for c in (0, 2, 3))],
                 names=["id", "h", "anchor", "first", "last"],
@@ -142,12 +139,15 @@ def suffix_array(codes: np.ndarray) -> np.ndarray:
     n = len(codes)
     place = np.arange(n, dtype=np.uint64)
     bits = np.uint64(20)
-    # three codes of 9 bits at first
-    wide = codes.astype(np.uint64)
-    key = wide << np.uint64(18)
-    key[:-1] |= wide[1:] << np.uint64(9)
-    key[:-2] |= wide[2:]
-    width = 3
+    # at first as many codes as 44 bits hold
+    different, wide = np.unique(codes, return_inverse=True)
+    each = max(1, int(len(different)).bit_length())
+    width = 44 // each
+    wide = wide.astype(np.uint64)
+    key = np.zeros(n, np.uint64)
+    for k in range(width):
+        key <<= np.uint64(each)
+        key[: n - k] |= wide[k:]
     ranks = None
     while True:
         packed = np.sort((key << bits) | place)
