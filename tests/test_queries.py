@@ -1,4 +1,4 @@
-"""Every registered query against its SQL twin in DuckDB, on the smallest tables."""
+"""Every registered query that has a SQL twin against it in DuckDB, on the smallest tables."""
 
 import decimal
 
@@ -34,7 +34,7 @@ def table_of(columns, rows):
     return sorted(columns), sorted(cells, key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
 def test_query(spark, duck, name):
     frame = entry_points.queries()[name](spark, SF_DIR)
     ours = table_of(frame.columns, frame.collect())
