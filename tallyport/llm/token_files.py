@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -23,6 +24,11 @@ REMEMBERED = 300_000
 END = 2
 
 
+def letters(stem: str) -> bool:
+    """Whether a stem is all letters, before and after the tokenizer's NFC and lower case."""
+    return stem.isalpha() and (stem.isascii() or unicodedata.normalize("NFC", stem).lower().isalpha())
+
+
 class Words:
     """Ids of texts by the tokenizer, which is asked once for each word.
 
@@ -41,8 +47,8 @@ class Words:
     def learn(self, words: set[str]) -> None:
         if len(self.known) + len(words) > REMEMBERED:
             self.known = {}
-        # a word of letters with a full stop or comma is two pieces for the tokenizer
-        split = {w for w in words if w[-1] in ".," and w[:-1].isalpha()}
+        # a word of letters with a full stop or comma is two pieces for the tokenizer, if they still are letters after its normalisation
+        split = {w for w in words if w[-1] in ".," and letters(w[:-1])}
         asked = sorted(w for w in words - split | {w[:-1] for w in split} | {w[-1] for w in split} if w not in self.known)
         for word, found in zip(asked, self.tokenizer.encode_batch(asked, add_special_tokens=False), strict=True):
             self.known[word] = np.array(found.ids, np.int64)
