@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallyport.llm import shingles
+from tallyport.llm import passages, shingles
 from tallyport.llm.bloom import BlockedBloom
 from tallyport.llm.cell_join import CellJoin, node
 from tallyport.llm.registry import query
@@ -129,9 +129,13 @@ class ParagraphDedup:
     `recall`) and pass the exact comparison. Of each component the first paragraph, by document id
     and line number, stays, and all others are removed.
 
+    Then passages are removed that stand inside longer or differently broken lines: stretches of
+    `passages.MIN_PASSAGE` words or more that repeat, exactly or at `percent` %, what stands at an earlier place.
+
     `removals`: rows (doc, paragraph, first_doc, first_paragraph), one for each removed paragraph.
-    `documents()`: rows (doc_id, n_paragraphs, removed, kept_in), one for each id: the numbers of the
-    removed lines in order, and the documents that keep their like. A null or empty text has no
+    `passages`: rows (doc, start, end, first_doc), the bytes of each passage that is removed besides.
+    `documents()`: rows (doc_id, n_paragraphs, removed, kept_in, spans), one for each id: the numbers of the
+    removed lines in order, the documents that keep their like, and the merged passages (start, end). A null or empty text has no
     paragraphs. Rows of the same id count as one document, a line number being one place; a null id is an id that comes
     first. Other columns are not read.
     """
@@ -156,6 +160,7 @@ class ParagraphDedup:
         found = CellJoin(lambda nodes: self._wanted_sets(nodes, min_words), percent)
         self.links = found.join(cells)
         self.removals = self._removals(found.labels)
+        self.passages = passages.passages(self.input, self.removals, percent)
 
     def _cells(self) -> DataFrame:
         """Rows (cell, name, n, place) of bands that hold several sets."""
@@ -193,12 +198,16 @@ class ParagraphDedup:
         )
         all_docs = self.rows.groupBy("doc").agg(F.countDistinct(F.when(F.col("paragraph") >= 0, F.col("paragraph"))).alias("n_paragraphs"))
         gone = gone.withColumnRenamed("doc", "of")
+        cut = passages.merged(self.passages).select(F.col("doc").alias("from"), "spans", F.col("kept_in").alias("kept"))
         none = F.array()
-        return all_docs.join(gone, F.col("doc").eqNullSafe(F.col("of")), "left").select(
+        joined = all_docs.join(gone, F.col("doc").eqNullSafe(F.col("of")), "left").join(cut, F.col("doc").eqNullSafe(F.col("from")), "left")
+        kept = [F.coalesce(c, none.cast("array<long>")) for c in ("kept_in", "kept")]
+        return joined.select(
             F.col("doc").alias("doc_id"),
             "n_paragraphs",
             F.coalesce("removed", none.cast("array<int>")).alias("removed"),
-            F.coalesce("kept_in", none.cast("array<long>")).alias("kept_in"),
+            F.sort_array(F.array_union(*kept)).alias("kept_in"),
+            F.coalesce("spans", none.cast("array<struct<start:int,end:int>>")).alias("spans"),
         )
 
 
@@ -211,8 +220,47 @@ def without_lines(docs: DataFrame, documents: DataFrame, id_col: str = "doc_id",
     return joined.withColumn(text_col, F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))).drop("__of", "__gone")
 
 
+def _shortened(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
+    """Takes the lines and bytes of the last two columns out of the text."""
+    for batch in batches:
+        texts = []
+        for text, lines, spans in zip(batch.column(at), batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1), strict=True):
+            lines, spans = lines.as_py(), spans.as_py()
+            if not text.is_valid or not (lines or spans):
+                texts.append(text.as_py())
+                continue
+            raw = text.as_buffer().to_pybytes()
+            cuts = [(s["start"], s["end"]) for s in spans or ()]
+            begin, starts = 0, []
+            for line in raw.split(b"\n"):
+                starts.append(begin)
+                begin += len(line) + 1
+            starts.append(begin)
+            # a line goes with its break; the last one with that before it
+            cuts += [(starts[k] - (k == len(starts) - 2), starts[k + 1]) for k in lines or () if k < len(starts) - 1]
+            kept, end = [], 0
+            for a, b in sorted(cuts):
+                kept.append(raw[end : max(a, end)])
+                end = max(end, b)
+            texts.append(b"".join([*kept, raw[end:]]).decode())
+        columns = batch.columns[:-2]
+        columns[at] = pa.array(texts, batch.schema.field(at).type)
+        yield pa.record_batch(columns, names=batch.schema.names[:-2])
+
+
+def without_repeats(docs: DataFrame, documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`docs` with the removed lines and passages of `documents` (from `ParagraphDedup.documents`) taken out of their text."""
+    gone = documents.where((F.size("removed") > 0) | (F.size("spans") > 0)).select(
+        F.col("doc_id").alias("__of"), F.col("removed").alias("__gone"), F.col("spans").alias("__spans")
+    )
+    docs = docs.withColumn(text_col, F.col(text_col).cast("string"))
+    joined = docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("__of")), "left").drop("__of")
+    at = docs.columns.index(text_col)
+    return joined.mapInArrow(lambda it: _shortened(it, at), docs.schema)
+
+
 @query("op8_paragraph_dedup")
 def op8_paragraph_dedup(spark, sf_dir):
-    """Every document with the paragraphs that it repeats from others or from itself."""
+    """Every document with the paragraphs and passages that it repeats from others or from itself."""
     found = ParagraphDedup(table(spark, sf_dir, "documents")).documents()
-    return found.withColumn("n_removed", F.size("removed"))
+    return found.withColumns({"n_removed": F.size("removed"), "n_spans": F.size("spans")})
