@@ -14,7 +14,7 @@ from tallyport.llm.tables import small_batches, table
 
 # Edits allowed for each byte of an item; the budget is rounded down.
 EDIT_RATE = 0.05
-# Items of fewer bytes say too little and are not looked for.
+# Items of fewer bytes are looked for without edits, as whole words.
 MIN_BYTES = 40
 # Bytes of items that are searched together and sent to the executors.
 BLOCK_BYTES = 4 << 20
@@ -29,6 +29,11 @@ def budget(item: bytes, rate: float = EDIT_RATE) -> int:
     return int(len(item) * rate)
 
 
+def inside_word(text: bytes, at: int) -> bool:
+    """Whether the place lies between two bytes of one word: ASCII letters, digits and all bytes of other letters."""
+    return 0 < at < len(text) and all(b >= 128 or chr(b).isalnum() for b in text[at - 1 : at + 1])
+
+
 def pieces(item: bytes, edits: int) -> list[tuple[int, bytes]]:
     """`edits` + 1 pieces with their places; a text within that many edits holds one unchanged."""
     cuts = [len(item) * k // (edits + 1) for k in range(edits + 2)]
@@ -72,8 +77,8 @@ class Pattern:
 class Finder:
     """All items of one block: an automaton over their pieces."""
 
-    def __init__(self, items: list[tuple[int, bytes]], rate: float):
-        self.items = [(i, text, budget(text, rate)) for i, text in items]
+    def __init__(self, items: list[tuple[int | None, bytes]], rate: float):
+        self.items = [(i, text, budget(text, rate) if len(text) >= MIN_BYTES else 0) for i, text in items]
         self.patterns: dict[int, Pattern] = {}
         self.automaton = ahocorasick.Automaton()
         places: dict[bytes, list[tuple[int, int]]] = {}
@@ -92,6 +97,10 @@ class Finder:
             for k, at in of:
                 _, item, edits = self.items[k]
                 start = last + 1 - size - at
+                if len(item) < MIN_BYTES:
+                    if k not in out and not inside_word(text, start) and not inside_word(text, last + 1):
+                        out[k] = (0, last + 1)
+                    continue
                 # a window reaches one budget further on both sides, so that it covers starts near its own
                 if any(abs(start - s) <= edits for s in tried.get(k, ())):
                     continue
@@ -108,7 +117,7 @@ class Finder:
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> list[list[tuple[int, bytes]]]:
     """The items in blocks of a bounded size; one that is larger than a block stands alone."""
     items = benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t")).where(
-        "i is not null and t is not null"
+        "t is not null"
     )
     n = 1
     while True:
@@ -119,7 +128,7 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> list[list[tup
         n *= 2
     for block in range(n):
         rows = [(r.i, plain(r.t.encode())) for r in sized.where(F.col("block") == block).select("i", "t").distinct().collect()]
-        yield sorted((i, t) for i, t in rows if len(t) >= MIN_BYTES)
+        yield sorted(((i, t) for i, t in rows if t), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
 
 
 def _scanned(batches: Iterator[pa.RecordBatch], sent, rate: float, at: int, clean: bool) -> Iterator[pa.RecordBatch]:
@@ -150,10 +159,11 @@ def leaks(
     """Rows (doc_id, item_id, edits, end_at): items that stand in a document within their budget.
 
     Case of A-Z and the amount of white space don't count; an item of n bytes may differ by
-    rate * n edits. edits is the least distance to any part of the document, end_at the byte
-    of its plain form where the first such part ends. Items with a null id or text, or
-    of less than `MIN_BYTES`, and documents without text have no rows; a repeated row of documents
-    has its own rows; ids may be null. The items are searched in blocks of bounded size, each
+    rate * n edits, one of less than `MIN_BYTES` bytes by none, and then it must begin and end at the
+    ends of words. edits is the least distance to any part of the document, end_at the byte
+    of its plain form where the first such part ends. Items and documents without
+    text have no rows; a repeated row of documents has its own rows; ids of both may be null, and an item
+    without an id is told apart by its text. The items are searched in blocks of bounded size, each
     against all documents.
     """
     small_batches(docs.sparkSession)
