@@ -1,6 +1,7 @@
 """Registers every query of the subpackage."""
 
 from tallyport.llm import (  # noqa: F401 - importing registers the queries
+    best_fit,
     decontamination,
     jaccard_join,
     language_id,
