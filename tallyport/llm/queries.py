@@ -2,6 +2,7 @@
 
 from tallyport.llm import (  # noqa: F401 - importing registers the queries
     best_fit,
+    burst_trie,
     decontamination,
     jaccard_join,
     language_id,
