@@ -7,6 +7,7 @@ from tallyport.llm import (  # noqa: F401 - importing registers the queries
     jaccard_join,
     language_id,
     mixing,
+    pair_tiles,
     paragraph_dedup,
     repeats,
     sharding,
