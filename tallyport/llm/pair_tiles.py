@@ -14,7 +14,7 @@ from tallyport.llm.tables import small_batches, table, written
 from tallyport.llm.word_ids import bytes_of
 
 # Bytes of text in a chunk of encoded words, words of a language for one part of each tile.
-CHUNK_BYTES, PART_WORDS = 8 << 20, 1 << 27
+CHUNK_BYTES, PART_WORDS = 4 << 20, 1 << 25
 # Ids of the first band; each later band is as wide as all before it.
 BAND = 1024
 # Cells that are counted by address; larger tiles, and chunks with few pairs of a tile, are sorted.
@@ -22,6 +22,8 @@ DENSE = 1 << 22
 # Entries a sparse tile gathers before they are summed.
 GATHERED = 1 << 22
 CODE_BITS, ID_BITS = 32, 31
+# Parts of a language ranked apart, before its best phrases are.
+PARTS = 64
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -400,8 +402,11 @@ def collocations(docs: DataFrame, least: int = 10, best: int = 2000, share: int
     A phrase inside a longer one with at least `share` percent of its count is dropped.
     """
     kept = Phrases(docs, least).scored().where(F.col("inside").isNull() | (100 * F.col("inside") < share * F.col("a")))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    placed = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best)
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    # first the best of each of many parts of a language, so that the last ranking meets few rows
+    some = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(*order)
+    kept = kept.withColumn("rank", F.row_number().over(some)).where(F.col("rank") <= best)
+    placed = kept.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= best)
     return placed.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
