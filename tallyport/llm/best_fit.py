@@ -100,12 +100,12 @@ class Plan:
 
 
 def _cut(batches: Iterator[pa.RecordBatch], path: str, end: int, capacity: int) -> Iterator[pa.RecordBatch]:
-    words = WordIds(path)
+    words = WordIds(path, end)
     part = TaskContext.get().partitionId()
     seen = np.zeros(capacity + 1, np.int64)
 
     def pieces(docs: pa.Array, texts: pa.Array) -> pa.RecordBatch:
-        ids, sizes = words.ids(texts, end)
+        ids, sizes = words.ids(texts)
         per_doc = -(-sizes // capacity)
         doc = np.repeat(np.arange(len(sizes)), per_doc)
         piece = np.arange(len(doc)) - np.repeat(np.cumsum(per_doc) - per_doc, per_doc)

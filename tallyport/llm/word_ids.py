@@ -9,6 +9,10 @@ import pyarrow as pa
 
 # Distinct words whose ids a task remembers.
 REMEMBERED = 400_000
+# Words the tokenizer is asked for at once; what it returns for each is large.
+ASKED = 1000
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 13, 32]] = True
 LETTER = np.zeros(256, bool)
@@ -47,38 +51,58 @@ def words_of(data: np.ndarray, bounds: np.ndarray) -> tuple[pa.Array, np.ndarray
 class WordIds:
     """Ids by a tokenizer that drops white space, lower-cases and never joins what white space parts."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, list[int]] = {}
+        self.tokenizer, self.end = Tokenizer.from_file(path), end
+        self._forget()
 
-    def _found(self, words: list[str]) -> list[list[int]]:
-        new = [w for w in words if w not in self.known]
+    def _forget(self) -> None:
+        # a word's place among those known; where the ids of each begin, and the ids; the first is the end of a text
+        self.known: dict[str, int] = {}
+        self.begins, self.flat = np.array([0, 1]), np.array([self.end], np.int32)
+
+    def _learn(self, words: list[str]) -> None:
+        sizes, ids = [], []
+        for k in range(0, len(words), ASKED):
+            for found in self.tokenizer.encode_batch_fast(words[k : k + ASKED], add_special_tokens=False):
+                part = found.ids
+                sizes.append(len(part))
+                ids.extend(part)
+        first = len(self.known) + 1
+        self.known.update(zip(words, range(first, first + len(words)), strict=True))
+        self.begins = np.append(self.begins, self.begins[-1] + np.cumsum(np.array(sizes, np.int64)))
+        self.flat = np.append(self.flat, np.array(ids, np.int32))
+
+    def _places(self, words: list[str]) -> np.ndarray:
+        get = self.known.get
+        places = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        new = np.flatnonzero(places < 0)
         if len(self.known) + len(new) > REMEMBERED:
-            self.known, new = {}, words
-        ask = self.tokenizer.encode_batch_fast
-        self.known.update((w, e.ids) for w, e in zip(new, ask(new, add_special_tokens=False), strict=True))
-        return [self.known[w] for w in words]
+            self._forget()
+            new = np.arange(len(words))
+        if len(new):
+            places[new] = np.arange(len(new)) + len(self.known) + 1
+            self._learn([words[k] for k in new])
+        return places
 
-    def ids(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, `end` behind each text's, and how many each text has."""
         data, bounds = bytes_of(texts)
+        if not ((data[:-1] == 60) & (data[1:] == 124)).any():  # "<|": the case of a special token's name counts
+            data = LOWER[data]
         words, per_text = words_of(data, bounds)
         encoded = words.dictionary_encode()
-        found = self._found(encoded.dictionary.to_pylist())
-        sizes = np.array([len(f) for f in found], np.int64)
-        flat = np.array([i for f in found for i in f], np.int64)
-        codes = encoded.indices.to_numpy(zero_copy_only=False)
-        begins = np.append(0, np.cumsum(sizes))[codes]
-        # ids up to each word, and the ends of earlier texts among them
-        counts = sizes[codes]
-        upto = np.append(0, np.cumsum(counts))
-        word_bounds = np.append(0, np.cumsum(per_text))
-        per_doc = np.diff(upto[word_bounds]) + 1
-        out = np.full(per_doc.sum(), end, np.int32)
-        text_of = np.repeat(np.arange(len(per_text)), per_text)
-        place = np.arange(upto[-1]) + np.repeat(text_of, counts)
-        out[place] = flat[np.arange(upto[-1]) + np.repeat(begins - upto[:-1], counts)]
-        return out, per_doc
+        places = self._places(encoded.dictionary.to_pylist())
+        upto = np.cumsum(per_text + 1)
+        each = np.zeros(len(words) + len(per_text), np.int64)
+        is_word = np.ones(len(each), bool)
+        is_word[upto - 1] = False
+        each[is_word] = places[encoded.indices.to_numpy(zero_copy_only=False)]
+        begins = self.begins[each]
+        ends = np.cumsum(self.begins[each + 1] - begins)
+        sizes = np.diff(ends, prepend=0)
+        source = np.repeat((begins - ends + sizes).astype(np.int32), sizes)
+        source += np.arange(len(source), dtype=np.int32)
+        return self.flat[source], np.diff(ends[upto - 1], prepend=0)

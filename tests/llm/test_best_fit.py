@@ -74,11 +74,11 @@ def test_ids_are_those_of_the_whole_text():
     import pyarrow as pa
 
     tokenizer = Tokenizer.from_file(PATH)
-    ids, sizes = word_ids.WordIds(PATH).ids(pa.array(TEXTS, pa.string()), 0)
+    ids, sizes = word_ids.WordIds(PATH, 0).ids(pa.array(TEXTS, pa.string()))
     parts = np.split(ids, np.cumsum(sizes)[:-1])
     for text, part in zip(TEXTS, parts, strict=True):
         assert part.tolist() == [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0], text
-    ids, sizes = word_ids.WordIds(PATH).ids(pa.array([], pa.string()), 0)
+    ids, sizes = word_ids.WordIds(PATH, 0).ids(pa.array([], pa.string()))
     assert len(ids) == len(sizes) == 0
 
 
