@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 # Distinct words whose ids a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 # Words the tokenizer is asked for at once; what it returns for each is large.
 ASKED = 1000
 LOWER = np.arange(256, dtype=np.uint8)
