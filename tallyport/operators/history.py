@@ -127,6 +127,7 @@ class Applied:
     archived: DataFrame  # closed before the file; never touched
     opened: DataFrame  # open before the file; closed by it where `_hit`
     fresh: DataFrame  # versions the file adds
+    accepted: DataFrame  # changes that take effect: key, instruction, position
     rejected: DataFrame
 
     @property
@@ -184,16 +185,14 @@ def apply_changes(
         "valid_to": F.when(superseded, end).otherwise(end_of_time()),
         **(stamps or {}),
     }
-    fresh = (
-        judged.where("reason is null")
-        .where(F.lower(ACTION).isin(INSERT, UPDATE))
-        .withColumns(generated)
-    )
+    taken = judged.where("reason is null").where(F.lower(ACTION).isin(INSERT, *CLOSING))
+    fresh = taken.where(F.lower(ACTION) != DELETE).withColumns(generated)
     value = lambda c: F.col(c) if c in fresh.columns else F.lit(None)
     return Applied(
         archived=history.where(~is_current()),
         opened=opened,
         fresh=fresh.select(*[value(f.name).cast(f.dataType).alias(f.name) for f in history.schema]),
+        accepted=taken.select(*key, ACTION, POSITION),
         rejected=judged.where("reason is not null").select(*changes.columns, "reason"),
     )
 

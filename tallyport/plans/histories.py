@@ -156,7 +156,7 @@ def load_changes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
     )
     schema = CUSTOMER_CONTRACT.typed_schema()
-    store = StoredHistory(spark, scratch(spark, "history"), schema)
+    store = StoredHistory(spark, scratch(spark, "history"), schema, KEY)
     store.start(rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]))
     landing = f"{scratch(spark, 'changes')}/{inputs.CHANGE_NAME}"
     ordered = changes.repartitionByRange("pos").sortWithinPartitions("pos")
@@ -165,7 +165,7 @@ def load_changes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     refused = load_changes(
         spark, landing, inputs.CHANGE_NAME, CUSTOMER_CONTRACT, CleaningRules(strip=("*",)), "2024-M2", store, quality
     )
-    after = shown(store.read(store.versions()).select(*inputs.HISTORY_COLUMNS))
+    after = shown(store.read().select(*inputs.HISTORY_COLUMNS))
     count = lambda df: df.select(F.count("*")).scalar()
     return after.withColumns({"refused": count(refused), "failed": count(spark.read.parquet(quality))})
 
@@ -204,9 +204,9 @@ def stream_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_mutations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two change files applied to a stored history, the second on the result of the first."""
     before = inputs.customer_history(spark, sf_dir)
-    store = StoredHistory(spark, scratch(spark, "history"), before.schema)
+    store = StoredHistory(spark, scratch(spark, "history"), before.schema, KEY)
     store.start(before)
     data = T.StructType([before.schema[c] for c in ("cust_id", "name", "balance")])
     landing = scans.landed_changes(spark, sf_dir)
     apply_landing(store, landing, data, KEY, scratch(spark, "progress")).awaitTermination()
-    return shown(store.read(store.versions()))
+    return shown(store.read())

@@ -13,7 +13,7 @@ from tallyport.functions import periods
 from tallyport.functions.periods import change_window
 from tallyport.operators import checks, loading
 from tallyport.operators.cleaning import CleaningRules, clean
-from tallyport.operators.history import ACTION, POSITION, apply_changes
+from tallyport.operators.history import ACTION, POSITION
 from tallyport.operators.ledger import next_sequence, note_verdicts, removed_counts, require_accepted
 from tallyport.operators.stored import StoredHistory
 from tallyport.session import settle
@@ -244,10 +244,9 @@ def load_changes(
     staged = staging.stage(clean(raw, contract, rules))
     numbered = staging.number_rows(staged, "row", start=0)
 
-    history = store.read(store.versions())
     typed = loading.load_typed(numbered, contract).withColumnRenamed("row", POSITION)
     start, end = change_window(F.lit(name))
-    first = F.lit(next_record(history))
+    first = F.lit(store.last_record() + 1)
     stamps = {
         "record_no": F.col(POSITION) + first,
         "source_code": F.lit(contract.source_code),
@@ -255,15 +254,14 @@ def load_changes(
         "loaded_at": loading.now(),
     }
     changes = typed.withColumnRenamed(instruction, ACTION).drop(delimited.RAGGED)
-    applied = apply_changes(history, changes, list(contract.keys), start, end, stamps)
+    keyed = " and ".join(f"`{k}` is not null" for k in contract.keys)
     report = checks.failures(numbered, contract, checks.LOAD_CHECKS)
     report = report.unionByName(checks.ragged_rows(numbered, delimited.RAGGED))
     if max_errors is not None:
         report, _, _ = checks.within_budget(settle(report), max_errors)
     replace_part(loading.quality_rows(report, contract.source_code, period), quality, period=period, change=name)
-    refused = settle(applied.rejected)
-    store.add(name, applied)
-    return refused
+    refused = store.apply(name, changes.where(keyed), start, end, stamps)
+    return refused.unionByName(changes.where(f"not ({keyed})").select(*changes.columns, F.lit("no key").alias("reason")))
 
 
 def apply_folder(
@@ -276,17 +274,24 @@ def apply_folder(
     quality: str,
     **options,
 ) -> DataFrame:
-    """Apply the change files of a folder in name order; rows (name, changes_refused).
+    """Apply the change files of a folder in name order; rows (name, verdict, changes_refused).
 
     Files that the history knows are passed over, so a run that was cut short goes on where it
-    stopped. There is one small row for each file.
+    stopped. A file without a change window in its name is refused under its path, and so is one that the contract
+    refuses; the others are applied. There is one small row for each file.
     """
     done = []
     for row in change_files(spark, folder).collect():
-        if not store.has(row.name):
-            refused = load_changes(spark, row.path, row.name, contract, rules, period, store, quality, **options)
-            done.append((row.name, refused.count()))
-    return spark.createDataFrame(done, "name string, changes_refused long")
+        if row.name is None:
+            done.append((row.path, "no change window in the name", 0))
+        elif not store.has(row.name):
+            try:
+                refused = load_changes(spark, row.path, row.name, contract, rules, period, store, quality, **options)
+            except ContractError as error:
+                done.append((row.name, str(error), 0))
+            else:
+                done.append((row.name, "applied", refused.count()))
+    return spark.createDataFrame(done, "name string, verdict string, changes_refused long")
 
 
 def next_record(data: DataFrame, without: str | None = None) -> int:

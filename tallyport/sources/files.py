@@ -97,8 +97,14 @@ def ordered_changes(
 CHANGE_PATH = r"^(.*/(?:[a-z_]+=)?([^/]*_\d{8}-\d{8})(?:\.csv)?)(?:/[^/]*)?$"
 
 
+def window_name(name: Column) -> Column:
+    """A change's name, null if it holds no two dates."""
+    last = F.regexp_extract(name, r"\d{8}-(\d{8})[^_]*$", 1)
+    return F.when(F.try_to_date(last, "yyyyMMdd").isNotNull(), name)
+
+
 def change_files(spark: SparkSession, folder: str) -> DataFrame:
-    """The change files in a folder as (name, path), in the order in which they are applied."""
+    """The change files in a folder as (name, path), in the order in which they are applied; files without a window have no name."""
     listed = (
         spark.read.format("binaryFile")
         .options(recursiveFileLookup=True, pathGlobFilter="*.csv")
@@ -106,4 +112,5 @@ def change_files(spark: SparkSession, folder: str) -> DataFrame:
         .select("path")
     )
     name, path = (F.regexp_extract("path", CHANGE_PATH, k) for k in (2, 1))
-    return listed.select(name.alias("name"), path.alias("path")).where("name <> ''").distinct().orderBy("name")
+    found = listed.select(window_name(name).alias("name"), path.alias("found"), "path")
+    return found.select("name", F.when(F.col("name").isNull(), F.col("path")).otherwise(F.col("found")).alias("path")).distinct().orderBy("name", "path")
