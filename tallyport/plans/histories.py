@@ -11,12 +11,12 @@ from tallyport.operators.cleaning import CleaningRules
 from tallyport.operators.stored import StoredHistory
 from tallyport.plans import checking, inputs, scans
 from tallyport.plans.inputs import CHANGES_SQL, CONTRACT, HISTORY_SQL, shown, table
-from tallyport.plans.load import load_changes
+from tallyport.plans.load import apply_folder, load_changes
 from tallyport.plans.registry import query
 from tallyport.session import scratch
 from tallyport.sources import delimited
 from tallyport.streaming.checks import check_landing
-from tallyport.streaming.mutations import apply_landing
+from tallyport.streaming.mutations import NO_WINDOW, apply_landing, quarantine
 
 KEY = ["cust_id"]
 BOTH_SQL = f"{HISTORY_SQL}, {CHANGES_SQL}"
@@ -134,18 +134,11 @@ CUSTOMER_CONTRACT = Contract.of(
     ContractColumn("balance", "numeric", "", "0:450000", precision=12, scale=2),
     source_code="CRM",
 )
-WHOLE_FILE_SQL = inputs.applied_sql("history", "changes", *FIRST_WINDOW)
 
 
-@query(
-    "load_changes",
-    f"""WITH {VERDICTS_SQL}, after AS ({WHOLE_FILE_SQL})
-    SELECT {HISTORY_OUT}, (SELECT count(*) FROM verdicts_changes WHERE reason IS NOT NULL) AS refused,
-      (SELECT count(*) FROM changes WHERE balance > 450000) AS failed FROM after""",
-)
-def load_changes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A delivered change file, checked and applied to a history with all generated columns."""
-    before, changes = both(spark, sf_dir)
+def customer_store(spark: SparkSession, sf_dir: str) -> StoredHistory:
+    """The customers' history with all generated columns, stored."""
+    before = inputs.customer_history(spark, sf_dir)
     earlier = F.col("valid_to") == F.to_date(F.lit("2023-12-31"))
     rows = before.withColumns(
         {
@@ -158,6 +151,22 @@ def load_changes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = CUSTOMER_CONTRACT.typed_schema()
     store = StoredHistory(spark, scratch(spark, "history"), schema, KEY)
     store.start(rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]))
+    return store
+
+
+WHOLE_FILE_SQL = inputs.applied_sql("history", "changes", *FIRST_WINDOW)
+
+
+@query(
+    "load_changes",
+    f"""WITH {VERDICTS_SQL}, after AS ({WHOLE_FILE_SQL})
+    SELECT {HISTORY_OUT}, (SELECT count(*) FROM verdicts_changes WHERE reason IS NOT NULL) AS refused,
+      (SELECT count(*) FROM changes WHERE balance > 450000) AS failed FROM after""",
+)
+def load_changes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delivered change file, checked and applied to a history with all generated columns."""
+    store = customer_store(spark, sf_dir)
+    changes = inputs.customer_changes(spark, sf_dir)
     landing = f"{scratch(spark, 'changes')}/{inputs.CHANGE_NAME}"
     ordered = changes.repartitionByRange("pos").sortWithinPartitions("pos")
     delimited.write_delimited(ordered.select("action", "cust_id", "name", "balance"), landing)
@@ -190,23 +199,89 @@ def stream_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return failed.drop("file", "batch")
 
 
-@query(
-    "stream_mutations",
-    f"""WITH {HISTORY_SQL}, {CHANGES_SQL.replace("changes AS", "all_changes AS")},
+STREAMED_SQL = f"""{HISTORY_SQL}, {CHANGES_SQL.replace("changes AS", "all_changes AS")},
       one AS (SELECT * FROM all_changes WHERE change = '{inputs.CHANGE_NAME}'),
       two AS (SELECT * FROM all_changes WHERE change = '{inputs.LATER_CHANGE_NAME}'),
       verdicts_one AS ({inputs.verdict_sql('history', 'one')}),
       after_one AS ({inputs.applied_sql('history', 'one', *FIRST_WINDOW)}),
       verdicts_two AS ({inputs.verdict_sql('after_one', 'two')}),
-      after_two AS ({inputs.applied_sql('after_one', 'two', *SECOND_WINDOW)})
-    SELECT {HISTORY_OUT} FROM after_two""",
-)
-def stream_mutations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two change files applied to a stored history, the second on the result of the first."""
+      after_two AS ({inputs.applied_sql('after_one', 'two', *SECOND_WINDOW)})"""
+
+
+def streamed(spark: SparkSession, sf_dir: str, landing: str) -> StoredHistory:
+    """The customers' history after all landed change files."""
     before = inputs.customer_history(spark, sf_dir)
     store = StoredHistory(spark, scratch(spark, "history"), before.schema, KEY)
     store.start(before)
     data = T.StructType([before.schema[c] for c in ("cust_id", "name", "balance")])
-    landing = scans.landed_changes(spark, sf_dir)
     apply_landing(store, landing, data, KEY, scratch(spark, "progress")).awaitTermination()
-    return shown(store.read())
+    return store
+
+
+@query("stream_mutations", f"WITH {STREAMED_SQL} SELECT {HISTORY_OUT} FROM after_two")
+def stream_mutations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two change files applied to a stored history, the second on the result of the first."""
+    return shown(streamed(spark, sf_dir, scans.landed_changes(spark, sf_dir)).read())
+
+
+BAD_NAME = "mutation_20240301-20240430"
+
+
+@query(
+    "stream_quarantine",
+    f"""WITH {STREAMED_SQL} SELECT change, lower(action) AS action, reason, count(*) AS changes FROM (
+      SELECT change, action, reason FROM verdicts_one WHERE reason IS NOT NULL
+      UNION ALL SELECT change, action, reason FROM verdicts_two WHERE reason IS NOT NULL
+      UNION ALL SELECT '{BAD_NAME}', 'insert', CASE WHEN s_acctbal < 0 THEN 'cell is not of its type' ELSE 'number of cells' END FROM supplier
+      UNION ALL SELECT '{BAD_NAME}', 'delete', 'no key' FROM region
+      UNION ALL SELECT 'corrections', 'update', 'no change window in the name' FROM nation) GROUP BY ALL""",
+)
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream does not apply: refused changes, bad cells, keys and lines, and a file without a window."""
+    landing = scans.landed_changes(spark, sf_dir)
+    key, name = F.col("s_suppkey").cast("string"), F.col("s_name")
+    suppliers = table(spark, sf_dir, "supplier").select("s_acctbal", F.lit("insert").alias("action"), key.alias("id"), name)
+    put = lambda df, folder: df.write.mode("append").csv(f"{landing}/{folder}")
+    put(suppliers.where("s_acctbal < 0").select("action", F.concat("id", F.lit("x")), "s_name", F.lit("1.00")), BAD_NAME)
+    put(suppliers.where("s_acctbal >= 0").select("action", "id", "s_name", F.lit("1.00"), F.lit("more")), BAD_NAME)
+    put(table(spark, sf_dir, "region").select(F.lit("delete"), F.lit(" "), "r_name", F.lit("")), BAD_NAME)
+    put(table(spark, sf_dir, "nation").select(F.lit("update"), "n_nationkey", "n_name", F.lit("1.00")), "corrections")
+    rows = quarantine(streamed(spark, sf_dir, landing))
+    unnamed = F.col("reason") == NO_WINDOW
+    change = F.when(unnamed, F.regexp_extract("file", r"([^/]*)/[^/]*$", 1)).otherwise(F.col("change"))
+    return rows.groupBy(change.alias("change"), F.lower("action").alias("action"), "reason").agg(F.count("*").alias("changes"))
+
+
+STORED_DAY = "2024-02-10"
+
+
+@query(
+    "stored_history",
+    f"""WITH {STREAMED_SQL} SELECT 'at' AS part, {HISTORY_OUT} FROM after_two
+      WHERE valid_from <= DATE '{STORED_DAY}' AND valid_to >= DATE '{STORED_DAY}'
+    UNION ALL SELECT 'of', {HISTORY_OUT} FROM after_two
+      WHERE cust_id = (SELECT min(c_custkey) FROM customer WHERE c_mktsegment = 'MACHINERY')""",
+)
+def stored_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day and a key of a stored history, each from the folders that the manifest names for it."""
+    store = streamed(spark, sf_dir, scans.landed_changes(spark, sf_dir))
+    first = table(spark, sf_dir, "customer").where("c_mktsegment = 'MACHINERY'").agg(F.min("c_custkey").alias("k")).first().k
+    day = store.asof(STORED_DAY).select(F.lit("at").alias("part"), "*")
+    return shown(day.unionByName(store.history_of(first).select(F.lit("of").alias("part"), "*")))
+
+
+@query(
+    "apply_folder",
+    f"""WITH {STREAMED_SQL} SELECT {HISTORY_OUT}, (SELECT count(*) FROM verdicts_one WHERE reason IS NOT NULL)
+      + (SELECT count(*) FROM verdicts_two WHERE reason IS NOT NULL) AS refused FROM after_two""",
+)
+def apply_folder_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of delivered change files, checked and applied one after the other in the order of their names."""
+    store = customer_store(spark, sf_dir)
+    folder, quality = scratch(spark, "changes"), scratch(spark, "quality")
+    ordered = inputs.customer_changes(spark, sf_dir).repartitionByRange("pos").sortWithinPartitions("pos")
+    for name in (inputs.LATER_CHANGE_NAME, inputs.CHANGE_NAME):
+        rows = ordered.where(F.col("change") == name).select("action", "cust_id", "name", "balance")
+        delimited.write_delimited(rows, f"{folder}/{name}")
+    done = apply_folder(spark, folder, CUSTOMER_CONTRACT, CleaningRules(strip=("*",)), "2024-M2", store, quality)
+    return shown(store.read().select(*inputs.HISTORY_COLUMNS)).withColumn("refused", done.select(F.sum("changes_refused")).scalar())

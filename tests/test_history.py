@@ -2,6 +2,7 @@
 
 import datetime
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -12,6 +13,7 @@ from tallyport.operators import compare, history
 from tallyport.operators.cleaning import CleaningRules
 from tallyport.operators.stored import StoredHistory
 from tallyport.plans.load import apply_folder, load_changes
+from tallyport.streaming import mutations
 from tallyport.streaming.mutations import apply_landing
 
 END = datetime.date(9999, 12, 31)
@@ -212,3 +214,72 @@ def test_load_changes(spark, tmp_path):
     assert keys == {7, 9, 51, 60, 61}
     failed = spark.read.parquet(str(tmp_path / "quality")).collect()
     assert sorted((r.change[-17:], r.row_number) for r in failed) == [("20240101-20240215", 2), ("20240321-20240331", 0)]
+
+
+def folders(store, pattern):
+    return {str(p.relative_to(store.root)) for p in Path(store.root).glob(pattern)}
+
+
+def test_one_key_rewrites_one_bucket(spark, tmp_path):
+    """Folders written and read by small change files, a day and a key."""
+    schema = spark.createDataFrame([], SCHEMA).schema
+    store = StoredHistory(spark, str(tmp_path / "history"), schema, ["id"], buckets=8)
+    begin, end = datetime.date(1970, 1, 1), datetime.date(9999, 12, 31)
+    table = [(k, f"v{k}", begin, end) for k in range(200)]
+    store.start(spark.createDataFrame(table, SCHEMA))
+    assert len(folders(store, "rows/000000000/_state=open/_bucket=*")) == 8
+    day = lambda text: F.to_date(F.lit(text))
+    change = lambda *rows: spark.createDataFrame(list(rows), CHANGES)
+    refused = store.apply("a_20240101-20240215", change(("update", 5, "new", 0), ("delete", 500, "x", 1)), day("2024-02-01"), day("2024-01-31"))
+    assert [(r.id, r.reason) for r in refused.collect()] == [(500, "key has no current row")]
+    assert len(folders(store, "rows/000000001/_state=*/_bucket=*")) == 2  # the open rows of a bucket, and what was closed
+    # a file that changes nothing writes nothing, and is known
+    store.apply("b_20240201-20240315", change(("insert", 5, "x", 0)), day("2024-03-01"), day("2024-02-29"))
+    assert not folders(store, "rows/000000002/_state=*/_bucket=*") and store.has("b_20240201-20240315")
+    # gone keys stay known
+    store.apply("c_20240301-20240415", change(*[("delete", k, "", k) for k in range(200)]), day("2024-04-01"), day("2024-03-31"))
+    refused = store.apply("d_20240401-20240515", change(("insert", 5, "x", 0), ("insert", 999, "y", 1)), day("2024-05-01"), day("2024-04-30"))
+    assert [r.id for r in refused.collect()] == [5]
+    rows = [tuple(r) for r in store.read().collect()]
+    assert len(rows) == 202 and [r for r in rows if r[3] == end] == [(999, "y", datetime.date(2024, 5, 1), end)]
+    assert sorted(map(tuple, store.read("000000001").collect())) == sorted(
+        [(5, "v5", begin, datetime.date(2024, 1, 31)), (5, "new", datetime.date(2024, 2, 1), end)] + [r for r in table if r[0] != 5]
+    )
+    # what a day reads does not grow with later versions; a key reads its bucket
+    early = store.asof("2024-01-15")
+    assert sorted(r.id for r in early.collect()) == list(range(200))
+    versions_read = {f.split("/rows/")[1][:9] for f in store.asof("2024-03-31").inputFiles()}
+    assert versions_read == {"000000003"}
+    assert len({f.split("_bucket=")[1][:2] for f in store.history_of(5).inputFiles()}) == 1
+    assert sorted((r.v, str(r.valid_to)) for r in store.history_of(5).collect()) == [("new", "2024-03-31"), ("v5", "2024-01-31")]
+    assert store.asof("1960-01-01").count() == 0 and store.history_of(12345).count() == 0
+
+
+def test_a_stream_loses_nothing(spark, tmp_path):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    store = StoredHistory(spark, str(tmp_path / "history"), schema, ["id"])
+    begin, end = datetime.date(1970, 1, 1), datetime.date(9999, 12, 31)
+    store.start(spark.createDataFrame([(1, "a", begin, end)], SCHEMA))
+    assert mutations.quarantine(store).count() == 0
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "loose.csv").write_text("insert,7,lost\ninsert,8,lost\n")
+    (landing / "odd_20241399-20249999.csv").write_text("insert,9,no such day\n")
+    (landing / "change_20240101-20240215.csv").write_text(
+        'insert,2,b\ninsert,3x,c\ninsert,4,d,e\ninsert,5\ndelete,99,\ninsert,,f\nupdate,1,"a, ""2"""\ninsert,2,again\n'
+    )
+    data = T.StructType.fromDDL("id long, v string")
+    for progress in ("progress", "lost progress"):
+        apply_landing(store, str(landing), data, ["id"], str(tmp_path / progress)).awaitTermination()
+        kept = {(r.change, r.raw, r.reason, r.columns) for r in mutations.quarantine(store).collect()}
+        name = "change_20240101-20240215"
+        assert kept == {
+            ("loose.csv", "insert,7,lost", mutations.NO_WINDOW, ""), ("loose.csv", "insert,8,lost", mutations.NO_WINDOW, ""),
+            ("odd_20241399-20249999.csv", "insert,9,no such day", mutations.NO_WINDOW, ""),
+            (name, "insert,3x,c", mutations.BAD_CELL, "id"), (name, "insert,4,d,e", mutations.CELL_COUNT, ""),
+            (name, "insert,5", mutations.CELL_COUNT, ""), (name, 'delete,99,""', "key has no current row", ""),
+            (name, 'insert,"",f', mutations.NO_KEY, ""), (name, "insert,2,again", "duplicate key in file", ""),
+        }
+        assert mutations.quarantine(store).count() == 9
+    rows = {(r.id, r.v) for r in store.read().where(history.is_current()).collect()}
+    assert rows == {(1, 'a, "2"'), (2, "b")} and len(store.versions()) == 2
