@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 # How many periods of each kind a year holds (half years, quarters,
@@ -19,6 +21,10 @@ def well_formed(period: Column) -> Column:
     return period.rlike(f"^(?:{NUMBERED_PERIOD})") | period.rlike(f"^(?:{OTHER_PERIOD})")
 
 
+def is_well_formed(period: str) -> bool:
+    return re.match(f"(?:{NUMBERED_PERIOD})|(?:{OTHER_PERIOD})", period) is not None
+
+
 def year_of(period: Column) -> Column:
     return F.substring(period, 1, 4).try_cast("int")
 

@@ -8,7 +8,8 @@ from tallyport.functions import periods
 from tallyport.operators import checks, compare, history, ledger
 from tallyport.plans import checking, inputs, scans
 from tallyport.plans.inputs import CONTRACT, HISTORY_SQL, QUARTER_SQL, shown, table
-from tallyport.plans.load import Delivery, load_delivery, run_deliveries
+from tallyport.plans import load as load_module
+from tallyport.plans.load import Delivery, load_delivery, load_seed, run_deliveries
 from tallyport.plans.registry import query
 from tallyport.session import scratch
 from tallyport.sources import delimited, files
@@ -321,31 +322,71 @@ def load_whole_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
-@query(
-    "delivery_pipeline",
-    f"""WITH {checking.FAILED_SQL}, n AS (SELECT (SELECT count(*) FROM orders) AS records, (SELECT count(*) FROM failed) AS errors)
-    SELECT CAST(place AS INTEGER) AS place, period, verdict, CASE WHEN verdict = 'refused' THEN 0 ELSE records END AS records,
-      CASE WHEN verdict = 'refused' OR place = 0 THEN 0 ELSE errors END AS errors, 0 AS repeated_keys
-    FROM n, (VALUES (0, '2023-I', 'loaded'), (1, '2024-Q1', 'loaded'), (2, '2024-Q1', 'skipped'), (3, '2024-M4', 'refused'),
-      (4, '2024-Q2', 'loaded'), (5, '2024-Q3', 'refused')) AS v(place, period, verdict)""",
-)
-def delivery_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Six deliveries in a row: from a table, from files of two kinds, one again, and two that are refused."""
-    code = inputs.SOURCE_CODE
+def note_reason(period: str, code: str) -> str:
+    text = "delivery is not processed: " + str({"supplier": "", "period": period, "source_code": code})
+    return "'" + text.replace("'", "''") + "'"
+
+
+PIPELINE_SQL = f"""WITH {checking.FAILED_SQL}, n AS (SELECT (SELECT count(*) FROM orders) AS records, (SELECT count(*) FROM failed) AS errors)
+    SELECT CAST(place AS INTEGER) AS place, period, verdict, reason, CASE WHEN verdict = 'refused' THEN 0 ELSE records END AS records,
+      CASE WHEN verdict = 'refused' OR place = 0 THEN 0 ELSE errors END AS errors,
+      CASE WHEN verdict = 'refused' OR place = 0 THEN 0 ELSE records END AS repeated_keys
+    FROM n, (VALUES (0, '2023-I', 'loaded', NULL), (1, '2024-Q1', 'loaded', NULL), (2, '2024-Q1', 'skipped', NULL),
+      (3, '2024-M4', 'refused', {note_reason("2024-M4", inputs.SOURCE_CODE)}),
+      (4, '2024-Q1', 'refused', 'headers not found in contract: [''unknown'']'),
+      (5, '2024-Q2', 'refused', 'PATH_NOT_FOUND'), (6, '2024-Q2', 'loaded', NULL),
+      (7, '2024-Q3', 'refused', {note_reason("2024-Q3", "OTHER")}),
+      (8, '2024-Q1', 'skipped', NULL)) AS v(place, period, verdict, reason)"""
+
+
+def order_rows(spark: SparkSession, sf_dir: str) -> str:
+    """The orders as a stored table with the contract's names."""
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"), F.col("o_orderstatus").alias("status"),
         F.col("o_totalprice").alias("total"), F.col("o_orderdate").alias("order_date"), F.col("o_orderpriority").alias("priority"),
     )
-    seed, comma = scratch(spark, "orders"), scratch(spark, "commas")
-    orders.write.parquet(seed)
-    delimited.write_delimited(inputs.raw_orders(spark, sf_dir).select(*inputs.NAMES), comma, sep=",", header=False)
+    path = scratch(spark, "orders")
+    orders.write.parquet(path)
+    return path
+
+
+@query("delivery_pipeline", PIPELINE_SQL)
+def delivery_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nine deliveries in a row: from a table, from files of two kinds with keys the table knows, some again, and four that are refused.
+
+    The forced reload under a wrong header leaves the delivery it was to replace, so the last note is skipped.
+    """
+    code = inputs.SOURCE_CODE
+    comma, wrong = scratch(spark, "commas"), scratch(spark, "wrong")
+    raw = inputs.raw_orders(spark, sf_dir).select(*inputs.NAMES)
+    delimited.write_delimited(raw, comma, sep=",", header=False)
+    delimited.write_delimited(raw.withColumnRenamed("status", "Unknown"), wrong)
     file = scans.delivered(spark, sf_dir, header=True)
     notes = [
-        Delivery(seed, "2023-I", code, first=True, table=True, options={"name": "orders"}),
+        Delivery(order_rows(spark, sf_dir), "2023-I", code, first=True, table=True, options={"name": "orders"}),
         Delivery(file, "2024-Q1", code, "2024-04-01"),
         Delivery(file, "2024-Q1", code, "2024-04-02"),
         Delivery(file, "2024-M4", code, "2024-05-01"),
+        Delivery(wrong, "2024-Q1", code, "2024-05-02", options={"force": True}),
+        Delivery(f"{comma}-missing", "2024-Q2", code, "2024-07-01"),
         Delivery(comma, "2024-Q2", code, "2024-07-01", options={"sep": ",", "header": False}),
         Delivery(file, "2024-Q3", "OTHER", "2024-10-01"),
+        Delivery(file, "2024-Q1", code, "2024-10-02"),
     ]
     return run_deliveries(spark, notes, CONTRACT, inputs.RULES, scratch(spark, "tables"))
+
+
+@query(
+    "remove_loaded_delivery",
+    f"""WITH {checking.FAILED_SQL}, n AS (SELECT (SELECT count(*) FROM orders) AS records, (SELECT count(*) FROM failed) AS errors)
+    SELECT 'ledger' AS "table", 1 AS removed, 1 AS kept UNION ALL SELECT 'data', records, records FROM n
+    UNION ALL SELECT 'quality', errors, 3 FROM n""",
+)
+def remove_loaded_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a removal takes from the tables of two loaded deliveries, and what is left of the other one."""
+    root = scratch(spark, "tables")
+    load_seed(spark, order_rows(spark, sf_dir), CONTRACT, "2023-I", root, "orders")
+    load_delivery(spark, scans.delivered(spark, sf_dir, header=True), CONTRACT, inputs.RULES, "2024-Q1", "2024-04-01", root)
+    removed = load_module.remove_delivery(spark, root, CONTRACT, "2024-Q1")
+    kept = [(name, rows.count()) for name, rows in load_module.stored_tables(spark, root, CONTRACT).items()]
+    return removed.join(spark.createDataFrame(kept, "table string, kept long"), "table")

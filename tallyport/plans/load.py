@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyport.contract import Contract, ContractError
 from tallyport.functions import periods
@@ -14,26 +13,14 @@ from tallyport.functions.periods import change_window
 from tallyport.operators import checks, loading
 from tallyport.operators.cleaning import CleaningRules, clean
 from tallyport.operators.history import ACTION, POSITION
-from tallyport.operators.ledger import next_sequence, note_verdicts, removed_counts, require_accepted
+from tallyport.operators.ledger import note_verdicts, removed_counts, require_accepted
+from tallyport.operators.published import DeliveryTables, new_load, replace_part
 from tallyport.operators.stored import StoredHistory
 from tallyport.session import settle
 from tallyport.sources import delimited, staging
 from tallyport.sources.files import change_files
 
 
-# The tables of a delivery below its root, in the order in which a removal takes them out.
-TABLES = ("ledger", "data", "quality")
-QUALITY = (
-    "record_no long, source_code string, row_number long, column_name string, "
-    "attribute_code string, quality_code int, period string, loaded_at timestamp"
-)
-LEDGER = (
-    "sequence int, period string, source_code string, created_by string, delivered_on date, "
-    "accepted boolean, reason string, processed_on date, records long, config_text string, "
-    "data_file string, loaded_at timestamp"
-)
-
-
 @dataclass
 class Loaded:
     data: DataFrame
@@ -42,37 +29,21 @@ class Loaded:
     new: bool
 
 
-def stored(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """A table kept at a path under its declared schema; empty if nothing was written there yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def stored_tables(spark: SparkSession, root: str, contract: Contract) -> dict[str, DataFrame]:
-    schemas = {"ledger": LEDGER, "data": contract.typed_schema(), "quality": QUALITY}
-    return {name: stored(spark, f"{root}/{name}", schemas[name]) for name in TABLES}
-
-
-def replace_part(df: DataFrame, path: str, **part: str) -> None:
-    """Writes rows in place of what a part of a table held before, also if there are none."""
-    folders = [f"{name}={quote(value, safe='-_.')}" for name, value in part.items()]
-    df.drop(*part).write.mode("overwrite").parquet("/".join([path, *folders]))
+    """The visible rows of `ledger`, `data` and `quality` below a folder."""
+    return DeliveryTables(spark, root, contract).tables()
 
 
 def remove_delivery(spark: SparkSession, root: str, contract: Contract, period: str) -> DataFrame:
     """Takes a loaded delivery out of its tables; rows (table, removed).
 
-    The ledger row goes first: a removal that is cut short leaves a delivery that is not
-    complete, which the next load or removal of the period replaces.
+    One row of the ledger's log takes all of it out at once, then its rows are emptied.
     """
-    held = stored_tables(spark, root, contract)
-    counts = removed_counts(held, period).collect()
-    for name, table in held.items():
-        replace_part(table.limit(0), f"{root}/{name}", period=period)
+    held = DeliveryTables(spark, root, contract)
+    counts = removed_counts(held.tables(), period).collect()
+    if period in held.visible:
+        row = held.ledger().where(F.col("period") == period)
+        held.publish(row, new_load(), period, None, removed=True)
     return spark.createDataFrame(counts, "table string, removed long")
 
 
@@ -97,20 +68,16 @@ def load_delivery(
     """Load a delivery into `data`, `quality` and `ledger` below `root`.
 
     The cleaned delivery is staged once; checks and load read the staged rows. A delivery
-    that the ledger names is complete and skipped, unless forced: then its ledger row is
-    taken out first. The period's part of each table is replaced as a whole, the ledger's
-    last, so a load that was cut short is simply repeated, and a forced one leaves one row with
-    the sequence number it had. Cells that pass the checks but do not load are reported too.
+    that the ledger names is complete and skipped, unless forced. Its rows become visible with its ledger row, which
+    is written last, so a load that is refused or cut short leaves what the period held before, and a forced one
+    keeps the sequence number. Cells that pass the checks but do not load are reported too.
     """
-    if spark.range(1).where(periods.well_formed(F.lit(period))).isEmpty():
+    if not periods.is_well_formed(period):
         raise ContractError(f"not a period: {period}")
-    held = stored_tables(spark, root, contract)
-    known = held["ledger"].where(F.col("period") == period).first()
-    if known is not None and not force:
-        return Loaded(held["data"], held["quality"], held["ledger"], new=False)
-    sequence = known.sequence if known is not None else next_sequence(held["ledger"]).first().next_sequence
-    first = next_record(held["data"], period)
-    replace_part(held["ledger"].limit(0), f"{root}/ledger", period=period)
+    held = DeliveryTables(spark, root, contract)
+    if period in held.visible and not force:
+        return Loaded(**held.tables(), new=False)
+    load, first = new_load(), held.next_record(period)
 
     raw = delimited.read_delivery(
         spark, path, contract, header=header, header_file=header_file, sep=sep, encoding=encoding,
@@ -123,7 +90,7 @@ def load_delivery(
     stamped = loading.stamp_delivery(
         typed.withColumn("record_no", F.col("row") + F.lit(first)), contract.source_code, period
     )
-    replace_part(loading.table_order(stamped, contract), f"{root}/data", period=period)
+    records, last = held.write_data(load, period, loading.table_order(stamped, contract))
 
     if data_check:
         report = checks.failures(numbered, contract, checks.LOAD_CHECKS)
@@ -132,36 +99,35 @@ def load_delivery(
             report, _, _ = checks.within_budget(settle(report), max_errors)
     else:
         report, _, _ = checks.check_all(numbered, contract, data_check=False)
-    replace_part(loading.quality_rows(report, contract.source_code, period), f"{root}/quality", period=period)
+    held.write(load, period, "quality", loading.quality_rows(report, contract.source_code, period))
+    return published(held, load, period, records, last, delivered_on, path)
 
-    loaded = stored_tables(spark, root, contract)
-    records = loaded["data"].where(F.col("period") == period).agg(F.count("*").alias("records"))
-    row = loading.ledger_row(
-        records, period, contract.source_code, delivered_on, path, sequence=F.lit(sequence)
-    )
-    replace_part(row, f"{root}/ledger", period=period)
-    loaded["ledger"] = stored(spark, f"{root}/ledger", LEDGER)
-    return Loaded(loaded["data"], loaded["quality"], loaded["ledger"], new=True)
+
+def published(
+    held: DeliveryTables, load: str, period: str, records: int, last: int | None, delivered_on: str, source: str
+) -> Loaded:
+    """A written load, made visible by its ledger row."""
+    counted = held.spark.createDataFrame([(records,)], "records long")
+    sequence = F.lit(held.next_sequence(period))
+    row = loading.ledger_row(counted, period, held.contract.source_code, delivered_on, source, sequence=sequence)
+    held.publish(row, load, period, last)
+    return Loaded(**DeliveryTables(held.spark, held.root, held.contract).tables(), new=True)
 
 
 def load_seed(spark: SparkSession, path: str, contract: Contract, period: str, root: str, name: str) -> Loaded:
     """A first delivery copied from a stored table, which is not checked; otherwise as `load_delivery`."""
-    held = stored_tables(spark, root, contract)
-    if not held["ledger"].where(F.col("period") == period).isEmpty():
-        return Loaded(held["data"], held["quality"], held["ledger"], new=False)
-    sequence, first = next_sequence(held["ledger"]).first().next_sequence, next_record(held["data"], period)
-    rows = staging.number_rows(staging.traced_parquet(spark, path), start=first)
+    held = DeliveryTables(spark, root, contract)
+    if period in held.visible:
+        return Loaded(**held.tables(), new=False)
+    load = new_load()
+    rows = staging.number_rows(staging.traced_parquet(spark, path), start=held.next_record(period))
     kinds = {f.name: f.dataType for f in contract.typed_schema()}
     typed = rows.select("record_no", *[F.col(c).try_cast(kinds[c]).alias(c) for c in contract.names])
     stamped = loading.stamp_delivery(typed, contract.source_code, period)
-    replace_part(loading.table_order(stamped, contract), f"{root}/data", period=period)
+    records, last = held.write_data(load, period, loading.table_order(stamped, contract))
     report = checks.seeded_report(spark, name)
-    replace_part(loading.quality_rows(report, contract.source_code, period), f"{root}/quality", period=period)
-    records = stored_tables(spark, root, contract)["data"].where(F.col("period") == period).agg(F.count("*").alias("records"))
-    row = loading.ledger_row(records, period, contract.source_code, "", name, sequence=F.lit(sequence))
-    replace_part(row, f"{root}/ledger", period=period)
-    done = stored_tables(spark, root, contract)
-    return Loaded(done["data"], done["quality"], done["ledger"], new=True)
+    held.write(load, period, "quality", loading.quality_rows(report, contract.source_code, period))
+    return published(held, load, period, records, last, "", name)
 
 
 @dataclass(frozen=True)
@@ -180,11 +146,12 @@ class Delivery:
 def run_deliveries(
     spark: SparkSession, deliveries: list[Delivery], contract: Contract, rules: CleaningRules, root: str
 ) -> DataFrame:
-    """Loads deliveries one after the other; a row (place, period, verdict, records, errors, repeated_keys) for each.
+    """Loads deliveries one after the other; a row (place, period, verdict, reason, records, errors, repeated_keys) for each.
 
     A note is judged first: its period, its letter against the declared frequency, its source code.
-    What fails there or at the load is `refused`, what the ledger names is `skipped`. Key values that
-    occur more than once in a delivery are counted.
+    What fails there or at the load is `refused` with the reason, a missing file or table too; the deliveries after it are
+    loaded all the same, and what its period held before stays. What the ledger names is `skipped`. Key values of
+    a delivery that occur more than once in the table, within it or in other periods, are counted.
     """
     declared = spark.createDataFrame(
         [("", contract.frequency, contract.source_code)], "supplier string, frequency string, source_code string"
@@ -192,7 +159,7 @@ def run_deliveries(
     schema = "supplier string, period string, source_code string, first boolean"
     out = []
     for place, note in enumerate(deliveries):
-        verdict, records, errors, repeated = "refused", 0, 0, 0
+        records, errors, repeated = 0, 0, 0
         try:
             said = spark.createDataFrame([("", note.period, note.source_code, note.first)], schema)
             require_accepted(note_verdicts(said, declared))
@@ -202,17 +169,42 @@ def run_deliveries(
                 loaded = load_delivery(
                     spark, note.path, contract, rules, note.period, note.delivered_on, root, **note.options
                 )
-        except ContractError:
-            out.append((place, note.period, verdict, records, errors, repeated))
+        except (ContractError, AnalysisException) as error:
+            reason = str(error) if isinstance(error, ContractError) else error.getCondition()
+            out.append((place, note.period, "refused", reason, records, errors, repeated))
             continue
         verdict = "loaded" if loaded.new else "skipped"
-        here = F.col("period") == note.period
-        records = loaded.ledger.where(here).first().records
-        errors = loaded.quality.where(here & (F.col("quality_code") >= 0)).count()
+        held = DeliveryTables(spark, root, contract)
+        records = held.visible[note.period].records
+        errors = held.rows("quality", note.period).where("quality_code >= 0").count()
         if contract.keys:
-            repeated = checks.duplicate_keys(loaded.data.where(here), list(contract.keys)).count()
-        out.append((place, note.period, verdict, records, errors, repeated))
-    return spark.createDataFrame(out, "place int, period string, verdict string, records long, errors long, repeated_keys long")
+            repeated = held.repeated_keys(note.period).count()
+        out.append((place, note.period, verdict, None, records, errors, repeated))
+    return spark.createDataFrame(
+        out, "place int, period string, verdict string, reason string, records long, errors long, repeated_keys long"
+    )
+
+
+@dataclass(frozen=True)
+class Supply:
+    """What a supplier delivers for a project: its contract and rules, where its tables are, and its deliveries."""
+
+    supplier: str
+    project: str
+    contract: Contract
+    rules: CleaningRules
+    root: str
+    deliveries: list[Delivery]
+
+
+def run_supplies(spark: SparkSession, supplies: list[Supply]) -> DataFrame:
+    """The deliveries of all suppliers and projects; the rows of `run_deliveries` with supplier and project."""
+    out = None
+    for one in supplies:
+        rows = run_deliveries(spark, one.deliveries, one.contract, one.rules, one.root)
+        rows = rows.select(F.lit(one.supplier).alias("supplier"), F.lit(one.project).alias("project"), "*")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def load_changes(
@@ -292,9 +284,3 @@ def apply_folder(
             else:
                 done.append((row.name, "applied", refused.count()))
     return spark.createDataFrame(done, "name string, verdict string, changes_refused long")
-
-
-def next_record(data: DataFrame, without: str | None = None) -> int:
-    """The first free record number, not counting the rows of a period to be replaced."""
-    others = data if without is None else data.where(F.col("period") != without)
-    return others.agg(F.coalesce(F.max("record_no"), F.lit(0)) + 1).first()[0]

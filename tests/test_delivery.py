@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from tallyport.contract import Contract, ContractColumn, ContractError
 from tallyport.operators import checks, cleaning, ledger
 from tallyport.operators.cleaning import CleaningRules, Replacement
-from tallyport.plans.load import load_delivery, remove_delivery
+from tallyport.operators.published import DeliveryTables
+from tallyport.plans.load import Delivery, Supply, load_delivery, remove_delivery, run_supplies, stored_tables
 from tallyport.sources import delimited, staging
 from tallyport.streaming.checks import check_landing
 
@@ -205,12 +206,14 @@ def test_clean_and_repeated_loads(spark, tmp_path):
     assert sorted((r.sequence, r.period) for r in forced.ledger.collect()) == [(1, "2024-Q1"), (2, "2024-Q2")]
     with pytest.raises(ContractError):
         load("rubbish")
-    # cut short at the end: no ledger row, so the next call loads again
+    # a forced load that is refused leaves the delivery that was there
     source.write_text("id;other\n")
     with pytest.raises(ContractError):
         load("2024-Q2", force=True)
     source.write_text("id;day\n6;\n")
-    assert load("2024-Q2").new
+    kept = load("2024-Q2")
+    assert not kept.new and sorted(r.id for r in kept.data.collect()) == [1, 5]
+    assert load("2024-Q2", force=True).new
     removed = {r.table: r.removed for r in remove_delivery(spark, root, contract, "2024-Q2").collect()}
     assert removed == {"ledger": 1, "data": 1, "quality": 0}
     assert load("2024-Q2").new and not load("2024-Q2").new
@@ -288,3 +291,58 @@ def test_many_columns(spark):
                 expected.append((row, i, 3, f"Value {cell} exceeds min 0 or max {i}"))
     found = checks.failures(frame, contract).collect()
     assert sorted((r["row"], r["column"], r.error_code, r.message) for r in found) == sorted(expected)
+
+
+def test_loads_become_visible_at_once(spark, tmp_path, monkeypatch):
+    """A forced load that is cut short at each of its writes leaves the old delivery complete."""
+    contract = Contract.of(ContractColumn("id", "integer", key="PRIMARY KEY"), ContractColumn("day", "date"), source_code="C")
+    source, root = tmp_path / "d.csv", str(tmp_path / "tables")
+    load = lambda period, **more: load_delivery(spark, str(source), contract, CleaningRules(), period, "", root, **more)
+    source.write_text("id;day\n1;2024-01-31\n1;x\n")
+    load("2024-Q1")
+    source.write_text("id;day\n7;\n8;\n9;\n")
+    state = lambda: {name: sorted(map(str, rows.collect())) for name, rows in stored_tables(spark, root, contract).items()}
+    before, calls = state(), 0
+
+    class Cut(Exception):
+        pass
+
+    for name in ("write_data", "write", "publish"):
+        def cut(self, *args, name=name, **more):
+            nonlocal calls
+            calls += 1
+            if name == "write_data":  # the rows are there, but nothing names them
+                DeliveryTables.write(self, args[0], args[1], "data", args[2])
+            raise Cut
+
+        with monkeypatch.context() as patch:
+            patch.setattr(DeliveryTables, name, cut)
+            with pytest.raises(Cut):
+                load("2024-Q1", force=True)
+        assert state() == before
+    assert calls == 3
+    # repeated, it takes the old one's place; keys are met across periods, of visible loads only
+    assert load("2024-Q1", force=True).data.count() == 3 and load("2024-Q1").ledger.first().sequence == 1
+    source.write_text("id;day\n1;\n8;\n9;\n9;\n")
+    assert sorted(r.record_no for r in load("2024-Q2").data.collect()) == [1, 2, 3, 4, 5, 6, 7]
+    found = {tuple(r) for r in DeliveryTables(spark, root, contract).repeated_keys("2024-Q2").collect()}
+    assert found == {(8, 2, 2), (9, 3, 2)}
+    remove_delivery(spark, root, contract, "2024-Q1")
+    assert [tuple(r) for r in DeliveryTables(spark, root, contract).repeated_keys("2024-Q2").collect()] == [(9, 2, 1)]
+
+
+def test_runs_go_on_after_a_refusal(spark, tmp_path):
+    contract = Contract.of(ContractColumn("id", "integer", key="PRIMARY KEY"), source_code="C", frequency="Q")
+    source = tmp_path / "d.csv"
+    source.write_text("id\n1\n2\n")
+    notes = [
+        Delivery(str(tmp_path / "missing.csv"), "2024-Q1", "C"), Delivery(str(source), "2024-Q1", "C"),
+        Delivery(str(tmp_path / "no table"), "2024-I", "C", first=True, table=True, options={"name": "t"}), Delivery(str(source), "2024-Q2", "C"),
+    ]
+    supplies = [Supply(name, "p", contract, CleaningRules(), str(tmp_path / name), notes) for name in ("one", "two")]
+    rows = [tuple(r) for r in run_supplies(spark, supplies).orderBy("supplier", "place").collect()]
+    for name in ("one", "two"):
+        assert [r[2:] for r in rows if r[0] == name] == [
+            (0, "2024-Q1", "refused", "PATH_NOT_FOUND", 0, 0, 0), (1, "2024-Q1", "loaded", None, 2, 0, 0),
+            (2, "2024-I", "refused", "PATH_NOT_FOUND", 0, 0, 0), (3, "2024-Q2", "loaded", None, 2, 0, 2),
+        ]
