@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyport.llm.registry import query
 from tallyport.llm.tables import table
+from tallyport.session import small_side
 
 # A rate is split into parts of at most PART; TERMS terms of the distribution leave out less than 1e-17.
 PART, TERMS = 16, 80
@@ -77,7 +78,8 @@ def mixed(
     count = F.aggregate(
         numbers, F.lit(0), lambda acc, u: acc + F.size(F.filter(F.col("__below"), lambda c: c <= u))
     )
-    counted = docs.join(rates, F.col(source_col).eqNullSafe(F.col("__source"))).withColumn("copies", count)
+    # a row for each source; broadcast if it is measured to be small, so that documents move once, at the end
+    counted = docs.join(small_side(rates), F.col(source_col).eqNullSafe(F.col("__source"))).withColumn("copies", count)
     copies = counted.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     key = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit("order"), F.col("copy")))
     out = copies.withColumn("shuffle_key", key).select(*docs.columns, "copy", "copies", "shuffle_key")
