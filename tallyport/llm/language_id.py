@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyport.llm.registry import query
@@ -90,8 +91,10 @@ class Model:
         sample = hashed.join(last, (F.col("lang") == F.col("l")) & (F.col("h") <= F.col("last"))).dropDuplicates(["lang", "h"])
         counts = sample.select("lang", "text").mapInArrow(_counted, "lang string, gram int, n long")
         tables = np.full((max(1, len(languages)), GRAMS), 0.5)
-        for r in counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")).collect():  # languages * GRAMS rows at most
-            tables[languages.index(r.lang), r.gram] += r.n
+        # languages * GRAMS rows at most, as columns of numbers
+        found = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
+        which = pc.index_in(found["lang"], pa.array(languages, pa.string())).to_numpy()
+        tables[which, found["gram"].to_numpy()] += found["n"].to_numpy()
         tables = np.log(tables / tables.sum(axis=1, keepdims=True))
         return cls(languages, tables.astype(np.float32))
 
