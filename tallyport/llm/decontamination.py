@@ -92,7 +92,8 @@ class Finder:
     def found(self, text: bytes) -> dict[int, tuple[int, int]]:
         """Number of each item within its budget: (edits, end of the place in the plain text)."""
         out: dict[int, tuple[int, int]] = {}
-        tried: dict[int, list[int]] = {}
+        # of each item, the windows around its hits; those that meet are one
+        windows: dict[int, list[list[int]]] = {}
         for last, (size, of) in self.automaton.iter(text.decode("latin-1")):
             for k, at in of:
                 _, item, edits = self.items[k]
@@ -101,14 +102,25 @@ class Finder:
                     if k not in out and not inside_word(text, start) and not inside_word(text, last + 1):
                         out[k] = (0, last + 1)
                     continue
-                # a window reaches one budget further on both sides, so that it covers starts near its own
-                if any(abs(start - s) <= edits for s in tried.get(k, ())):
-                    continue
-                tried.setdefault(k, []).append(start)
-                low = max(0, start - 2 * edits)
-                if k not in self.patterns:
-                    self.patterns[k] = Pattern(item)
-                best, end = self.patterns[k].nearest(text[low : max(0, start + len(item) + 2 * edits)])
+                low, high = max(0, start - 2 * edits), max(0, start + len(item) + 2 * edits)
+                near = windows.setdefault(k, [])
+                if near and low <= near[-1][1] and near[-1][0] <= high:
+                    near[-1] = [min(near[-1][0], low), max(near[-1][1], high)]
+                else:
+                    near.append([low, high])
+        for k, near in windows.items():
+            _, item, edits = self.items[k]
+            if k not in self.patterns:
+                self.patterns[k] = Pattern(item)
+            near.sort()
+            merged = near[:1]
+            for low, high in near[1:]:
+                if low <= merged[-1][1]:
+                    merged[-1][1] = max(merged[-1][1], high)
+                else:
+                    merged.append([low, high])
+            for low, high in merged:
+                best, end = self.patterns[k].nearest(text[low:high])
                 if best <= edits and (best, low + end) < out.get(k, (edits + 1, 0)):
                     out[k] = (best, low + end)
         return out
@@ -118,7 +130,7 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> list[list[tup
     """The items in blocks of a bounded size; one that is larger than a block stands alone."""
     items = benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t")).where(
         "t is not null"
-    )
+    ).distinct()  # rows that repeat would never part
     n = 1
     while True:
         sized = items.withColumn("block", F.pmod(F.xxhash64("i", "t"), F.lit(n)).cast("int"))

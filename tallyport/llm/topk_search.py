@@ -26,7 +26,9 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int, scale: int) -> Iterato
 
     def packed(dim: int) -> pa.RecordBatch:
         rows = held.pop(dim)
-        matrix = np.floor(np.array([v for _, v in rows], np.float64).reshape(len(rows), dim) * scale)
+        with np.errstate(over="ignore"):
+            matrix = np.floor(np.array([v for _, v in rows], np.float64).reshape(len(rows), dim) * scale)
+        matrix = np.clip(matrix, -LARGEST, LARGEST)
         return pa.record_batch(
             [
                 pa.array([dim], pa.int32()),
@@ -52,6 +54,9 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int, scale: int) -> Iterato
         yield packed(dim)
 
 
+LARGEST = np.finfo(np.float64).max
+
+
 def _statistics(x: np.ndarray, segments: int) -> np.ndarray:
     """Segment means and deviations, scaled so that their distance bounds that of the vectors from below."""
     parts = np.array_split(np.arange(x.shape[1]), min(segments, x.shape[1]))
@@ -79,19 +84,23 @@ def best_of(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k:
     first, and the rest are computed exactly.
     """
     dim = x.shape[1]
-    x_norm, q_norm = (x * x).sum(axis=1), (q * q).sum(axis=1)
-    levels = [(_statistics(q, s), _statistics(x, s)) for s in LEVELS] if dim else []
+    # bounds are taken of components of at most 1, so that no square overflows; scores are cut to the range of a long
+    unit = max(1.0, np.abs(x).max(initial=0), np.abs(q).max(initial=0))
+    small_x, small_q = x / unit, q / unit
+    x_norm, q_norm = (small_x * small_x).sum(axis=1), (small_q * small_q).sum(axis=1)
+    levels = [(_statistics(small_q, s), _statistics(small_x, s)) for s in LEVELS] if dim else []
     for at, own in enumerate(q_ids):
         alive = np.flatnonzero(ids != own)
         if dim and len(alive) > k:
-            slack = 1 + 1e-9 * (q_norm[at] + x_norm.max())
+            slack = 1 / unit / unit + 1e-9 * (q_norm[at] + x_norm.max())
             floor = None
             for of_q, of_x in levels:
                 gaps = of_x[alive] - of_q[at]
                 bound = (q_norm[at] + x_norm[alive] - (gaps * gaps).sum(axis=1)) / 2 + slack
                 if floor is None:
                     likely = alive[np.argpartition(-bound, k - 1)[:k]]
-                    floor = _exact(q[at], x[likely]).min()
+                    score = _exact(q[at], x[likely]).min()
+                    floor = -np.inf if score == -(2**63) else float(score) / unit / unit
                 alive = alive[bound >= floor]
         scores = _exact(q[at], x[alive])
         order = np.lexsort((ids[alive], -scores.astype(np.float64) if abs(scores).max(initial=0) < 2**53 else ~scores))[:k]
@@ -132,7 +141,8 @@ def top_k(
     once, with its least vector; a candidate that repeats counts each time. Other columns are not read.
     """
     vector = F.col(vector_col).cast("array<double>")
-    asked = queries.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min(vector).alias("vector"))
+    odd = F.exists(vector, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
+    asked = queries.where(vector.isNotNull() & ~F.coalesce(odd, F.lit(False))).groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min(vector).alias("vector"))
     q = written(asked.mapInArrow(lambda it: _blocks(it, QUERY_BLOCK, scale), BLOCK), "queries")
     q = written(numbered(q, F.col("first"), F.col("dim"), "number", cells=16), "queries")
     blocks = F.broadcast(q.groupBy("dim").agg(F.count("*").alias("n")))  # a row for each length of vector
