@@ -88,6 +88,25 @@ def headers_by_file(
     return [(parsed[0][0], path)] if len(parsed) == 1 else parsed
 
 
+def sorted_headers(
+    spark: SparkSession, paths: list[str], contract: Contract, sep: str = ";", encoding: str = "utf8"
+) -> tuple[list[tuple[list[str], str | list[str]]], list[tuple[str, str]]]:
+    """The headers of files that the contract accepts, and (file, reason) of the files under other ones or none."""
+    try:
+        found = headers_by_file(spark, paths, sep, encoding)
+    except ContractError as error:
+        return [], [(path, str(error)) for path in paths]
+    good, bad = [], []
+    for raw, files in found:
+        try:
+            accepted_names(raw, contract)
+        except ContractError as error:
+            bad += [(path, str(error)) for path in ([files] if isinstance(files, str) else files)]
+        else:
+            good.append((raw, files))
+    return good, bad
+
+
 def sidecar_header(
     spark: SparkSession, path: str, skip: int = 5, field: str = "FIELDNAME", encoding: str = "utf8"
 ) -> list[str]:
@@ -156,15 +175,18 @@ def read_delivery(
     traced: bool = False,
     multiline: bool = False,
     ragged: bool = False,
+    headers: list[tuple[list[str], str | list[str]]] | None = None,
 ) -> DataFrame:
     """A delivery under its normalised header names, checked against the contract.
 
     Works on any path Spark can read, `s3a://` included. Names come from the header file
     if there is one, else from the first line of each file, else from the contract in its order.
     Files with different headers are read under their own names; a column that only some of them
-    have is empty in the others.
+    have is empty in the others. `headers` gives headers with their files, where they are known.
     """
-    if header_file is not None:
+    if headers is not None:
+        parts = headers
+    elif header_file is not None:
         parts = [(sidecar_header(spark, header_file, encoding=encoding), path)]
     elif header:
         parts = headers_by_file(spark, path, sep, encoding)

@@ -240,6 +240,17 @@ def test_files_with_headers_of_their_own(spark, tmp_path):
     (landing / "three.csv").write_text("b\nz\n")
     check_landing(spark, str(landing), str(tmp_path / "out"), contract, CleaningRules(), row="b").awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out/failures")).count() == 3
+    # files under headers of their own kind, and an empty one, are failures; the file beside them is checked
+    (landing / "four.csv").write_text("a;other\n1;2\n")
+    (landing / "five.csv").write_text("a;b\nx;five\n")
+    (landing / "six.csv").write_text("a;A\n1;2\n")
+    check_landing(spark, str(landing), str(tmp_path / "out"), contract, CleaningRules(), row="b").awaitTermination()
+    (landing / "empty.csv").write_text("")
+    check_landing(spark, str(landing), str(tmp_path / "out"), contract, CleaningRules(), row="b").awaitTermination()
+    found = spark.read.parquet(str(tmp_path / "out/failures")).where("row is null or row = 'five'").collect()
+    assert sorted((r["row"] or "", r.file.split("/")[-1], r.error_code) for r in found) == [
+        ("", "empty.csv", 7), ("", "four.csv", 7), ("", "six.csv", 7), ("five", "five.csv", 6),
+    ]
 
 
 def test_unchecked_delivery(spark, files, contract, tmp_path):
