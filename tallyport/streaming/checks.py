@@ -43,7 +43,7 @@ def check_landing(
     """Failed cells of every landed file, each file once, below `out`/failures.
 
     `row` is the column that identifies a row of the delivery. Every file is read under its own
-    header; one whose header the contract does not accept, or that has none, becomes one failure (code 7, no row), and the
+    header; one whose header the contract does not accept, or that has blank lines only, becomes one failure (code 7, no row), and the
     others are checked. A batch's failures replace those of the same batch, so a restarted query neither
     loses nor repeats any.
     """

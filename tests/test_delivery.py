@@ -245,7 +245,7 @@ def test_files_with_headers_of_their_own(spark, tmp_path):
     (landing / "five.csv").write_text("a;b\nx;five\n")
     (landing / "six.csv").write_text("a;A\n1;2\n")
     check_landing(spark, str(landing), str(tmp_path / "out"), contract, CleaningRules(), row="b").awaitTermination()
-    (landing / "empty.csv").write_text("")
+    (landing / "empty.csv").write_text("\n")
     check_landing(spark, str(landing), str(tmp_path / "out"), contract, CleaningRules(), row="b").awaitTermination()
     found = spark.read.parquet(str(tmp_path / "out/failures")).where("row is null or row = 'five'").collect()
     assert sorted((r["row"] or "", r.file.split("/")[-1], r.error_code) for r in found) == [
