@@ -16,7 +16,7 @@ MANIFEST = (
     "version string, name string, state string, bucket int, rows long, first_from date, last_from date, "
     "first_to date, last_to date, last_record long"
 )
-BUCKETS = 16
+BUCKETS = 4
 
 
 class StoredHistory:
@@ -120,7 +120,7 @@ class StoredHistory:
         folder = f"{self.root}/rows/{version}"
         placed = rows.withColumn("_bucket", self.bucket())
         # large buckets are split into several files, small ones share a task
-        placed = placed.hint("rebalance", F.col("_state"), F.col("_bucket"))
+        placed = placed.hint("rebalance", F.col("_bucket"), F.col("_state"))
         placed.write.mode("overwrite").partitionBy("_state", "_bucket").parquet(folder)
         if before is not None:
             before()
