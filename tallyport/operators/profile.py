@@ -12,6 +12,8 @@ MAX_CATEGORIES = 50
 BUCKETS = 20
 # The middle of a column is looked for between estimates this share of its ranks away.
 BRACKET = 0.001
+# Values of a column that one task may rank, and pieces into which more of them are cut.
+RANKED, PIECES = 1_000_000, 1000
 MOMENTS = ["n", "missing", "min", "max", "mean", "median", "std"]
 
 
@@ -53,43 +55,96 @@ def basic_moments(numbers_: DataFrame, columns: list[str], count_missing: bool)
     return numbers_.agg(F.array(*per_column).alias("_all")).select(F.inline("_all"))
 
 
-def medians(numbers_: DataFrame, moments: dict[str, tuple[int, float, float]]) -> dict[str, float | None]:
-    """Exact medians of many columns, without ranking a column in one task.
+def medians(
+    numbers_: DataFrame, moments: dict[str, tuple], ranked: int = RANKED, pieces: int = PIECES
+) -> dict[str, float | None]:
+    """Exact medians of many columns; no task ranks more than about `ranked` values of one.
 
-    `moments` gives `(non-null count, low, high)` per column, low and high being estimates
-    that should enclose the middle. One aggregate counts the cells below and, by value, those
-    in between; a running total finds the middle ranks and proves that they lie there. A
-    column whose middle lies elsewhere is counted by value as a whole. There is no arithmetic
+    `moments` gives `(non-null count, low, high, min, max)` per column, low and high being
+    estimates that should enclose the middle. One aggregate counts the cells below and, by value, those
+    in between; a running total finds the middle ranks and proves that they lie there. Where
+    more than `ranked` cells may lie in between, they are first cut at their own quantiles, and the
+    few pieces around the middle are the new bounds, again and again. Where the middle
+    lies elsewhere, counts tell on which side, and that is cut. There is no arithmetic
     on values, so infinite ones and NaN (the largest) stand where Spark orders them.
     """
     result: dict[str, float | None] = {c: None for c in moments}
-    brackets = {c: (low, high) for c, (n, low, high) in moments.items() if n}
+    bounds = {c: (low, high) for c, (n, low, high, *_) in moments.items() if n}
     ranks = {c: ((n + 1) // 2, n // 2 + 1) for c, (n, *_) in moments.items() if n}
-    for bounds in (brackets, None):
-        if not ranks:
-            break
-        found: dict[str, dict[int, float]] = {}
-        for r in _at_ranks(numbers_, ranks, bounds).collect():
-            found.setdefault(r.column_name, {}).update({k: r.value for k in ranks[r.column_name] if r.before < k <= r.upto})
-        for column, (low, high) in list(ranks.items()):
-            values = found.get(column, {})
+    # the estimates are within half a bracket
+    between = {c: int(4 * BRACKET * moments[c][0]) for c in ranks}
+    while ranks:
+        narrow = {c: r for c, r in ranks.items() if between[c] <= ranked}
+        wide = {c: bounds[c] for c in ranks if c not in narrow}
+        found: dict[str, dict[int, float]] = {c: {} for c in narrow}
+        for r in _at_ranks(numbers_, narrow, bounds).collect() if narrow else []:
+            found[r.column_name].update({k: r.value for k in narrow[r.column_name] if r.before < k <= r.upto})
+        for column, (low, high) in narrow.items():
+            values = found[column]
             if low in values and high in values:
                 a, b = values[low], values[high]
                 result[column] = a if a == b else 0.5 * a + 0.5 * b
                 del ranks[column]
+            else:
+                # counted next, which says on which side the middle is
+                between[column] = ranked + 1
+        for r in _cut(numbers_, wide, pieces).collect() if wide else []:
+            bounds[r.column_name], between[r.column_name] = _around_middle(
+                r, ranks[r.column_name], moments[r.column_name], bounds[r.column_name], pieces
+            )
     return result
 
 
-def _at_ranks(numbers_: DataFrame, ranks: dict, bounds: dict | None) -> DataFrame:
+def _cut(numbers_: DataFrame, bounds: dict, pieces: int) -> DataFrame:
+    """Per column the cells below the bounds, on each and strictly inside, and cuts of those inside."""
+    per_column = []
+    for column, ends in bounds.items():
+        value = F.col(column)
+        low, high = (F.lit(b).cast("double") for b in ends)
+        inside = (value > low) & (value < high)
+        cuts = F.percentile_approx(F.when(inside, value), [k / pieces for k in range(pieces + 1)], 10 * pieces)
+        per_column.append(
+            F.struct(
+                F.lit(column).alias("column_name"), F.count_if(value < low).alias("below"),
+                F.count_if(value == low).alias("at_low"), F.count_if(inside).alias("inside"),
+                F.count_if((value == high) & (value != low)).alias("at_high"), cuts.alias("cuts"),
+            )
+        )
+    return numbers_.agg(F.array(*per_column).alias("_all")).select(F.inline("_all"))
+
+
+def _around_middle(cut, ranks: tuple[int, int], moments: tuple, bounds: tuple, pieces: int) -> tuple[tuple, int]:
+    """Closer bounds of the middle ranks, and how many cells may lie between them.
+
+    A quantile may be a tenth of a piece off, so two pieces are added on both sides.
+    """
+    (low, high), (first, last) = bounds, ranks
+    n, _, _, smallest, largest = moments
+    start = cut.below + cut.at_low
+    end = start + cut.inside
+    if first <= cut.below:
+        return (smallest, low), cut.below
+    if last > end + cut.at_high:
+        return (high, largest), n - end - cut.at_high
+    if last <= start:
+        return (low, low), 0
+    if first > end:
+        return (high, high), 0
+    if not cut.inside:
+        return (low, high), 0
+    i = (first - start - 1) * pieces // cut.inside - 2
+    j = -((start - last) * pieces // cut.inside) + 2
+    closer = (low if i < 0 else cut.cuts[i], high if j > pieces else cut.cuts[j])
+    return closer, (min(j, pieces) - max(i, 0) + 1) * cut.inside // pieces
+
+
+def _at_ranks(numbers_: DataFrame, ranks: dict, bounds: dict) -> DataFrame:
     """Per column the counted values that hold one of its two ranks."""
     cells = []
     for column in ranks:
         value = F.col(column)
-        inside = value.isNotNull()
-        below = F.lit(False)
-        if bounds is not None:
-            low, high = (F.lit(b).cast("double") for b in bounds[column])
-            below, inside = value < low, (value >= low) & (value <= high)
+        low, high = (F.lit(b).cast("double") for b in bounds[column])
+        below, inside = value < low, (value >= low) & (value <= high)
         cell = F.struct(F.lit(column).alias("column_name"), F.when(~below, value).alias("value"))
         cells.append(F.when(below | inside, cell))
     counted = (
@@ -116,7 +171,9 @@ def moments(df: DataFrame, columns: list[str], text: bool) -> DataFrame:
     """
     view = numeric_view(df, columns, text)
     rows = basic_moments(view, columns, count_missing=text).collect()
-    filled = {r.column_name: (r.n - r.missing if text else r.n, *(r.middle or (r.min, r.max))) for r in rows}
+    filled = {
+        r.column_name: (r.n - r.missing if text else r.n, *(r.middle or (r.min, r.max)), r.min, r.max) for r in rows
+    }
     middle = medians(view, filled)
     schema = (
         "column_name string, n long, missing long, min double, max double, "

@@ -49,6 +49,22 @@ def scan_header_sidecar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delimited.read_delivery(spark, path, CONTRACT, header=False, header_file=sidecar)
 
 
+NOTE_SQL = """o_orderpriority || chr(13) || chr(10) || 'said "' || o_orderstatus || '";' ||
+    CASE o_orderstatus WHEN 'F' THEN chr(10) || chr(10) WHEN 'O' THEN '"' ELSE '' END"""
+
+
+@query("scan_multiline", f"SELECT CAST(o_orderkey AS VARCHAR) AS order_id, {NOTE_SQL} AS priority, o_orderstatus AS status FROM orders")
+def scan_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells with line breaks, quotes and separators, from files that are split."""
+    orders = inputs.table(spark, sf_dir, "orders")
+    end = F.when(F.col("o_orderstatus") == "F", "\n\n").when(F.col("o_orderstatus") == "O", '"').otherwise("")
+    note = F.concat("o_orderpriority", F.lit('\r\nsaid "'), "o_orderstatus", F.lit('";'), end)
+    rows = orders.select(F.col("o_orderkey").alias("Order ID"), note.alias("Priority"), F.col("o_orderstatus").alias(" Status "))
+    path = scratch(spark, "delivery")
+    delimited.write_delimited(rows, path)
+    return delimited.read_delivery(spark, path, CONTRACT, multiline=True)
+
+
 @query("scan_object_store", RAW_ROWS)
 def scan_object_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A delivery named by URL; `s3a://` needs no other code than this `file:` URL."""

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import csv
+import io
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyport.contract import Contract, ContractError
 from tallyport.functions.text import header_names
+from tallyport.sources.records import Records, can_split
 
 # A null marker that cannot occur in text, so no cell is ever read as null.
 NO_NULL = "\x00"
@@ -44,7 +46,7 @@ def _options(sep: str, encoding: str, multiline: bool) -> dict:
         "mode": "PERMISSIVE",
         "ignoreLeadingWhiteSpace": False,
         "ignoreTrailingWhiteSpace": False,
-        # splitting a file is only possible when cells hold no line breaks
+        # Spark's own reader splits files only where cells hold no line breaks
         "multiLine": multiline,
     }
 
@@ -162,6 +164,31 @@ def text_frame(
     return rows.select(*cells)
 
 
+def record_frame(
+    rows: DataFrame, names: list[str], sep: str = ";", traced: bool = False, ragged: bool = False
+) -> DataFrame:
+    """The cells of records (`_file`, `_block`, `value`) as `text_frame` gives those of lines."""
+    fields = [f"c{i}" for i in range(len(names))]
+    schema = ", ".join(f"{f} string" for f in [*fields, *([RAGGED] if ragged else [])])
+    options = {k: str(v).lower() if isinstance(v, bool) else v for k, v in _options(sep, "utf8", True).items()}
+    parsed = F.from_csv("value", schema, options | {"columnNameOfCorruptRecord": RAGGED})
+    # as a generator, which parses a record once
+    cells = rows.select(*SPLIT, F.inline(F.array(parsed)))
+    return cells.select(
+        *([RAGGED] if ragged else []),
+        *[F.coalesce(F.col(f), F.lit("")).alias(n) for f, n in zip(fields, names, strict=True)],
+        *(SPLIT if traced else []),
+    )
+
+
+def record_parts(records: Records, path: str | list[str], sep: str) -> list[tuple[list[str], DataFrame]]:
+    """Each different header of files with line breaks inside cells, and the records below it."""
+    headers = records.headers()
+    if not headers:
+        raise ContractError(f"no header in {path}")
+    return [(next(csv.reader(io.StringIO(text, newline=""), delimiter=sep)), records.body(text)) for text in headers]
+
+
 def read_delivery(
     spark: SparkSession,
     path: str,
@@ -183,8 +210,18 @@ def read_delivery(
     if there is one, else from the first line of each file, else from the contract in its order.
     Files with different headers are read under their own names; a column that only some of them
     have is empty in the others. `headers` gives headers with their files, where they are known.
+    With `multiline` cells may hold line breaks; a file is read by many tasks all the same, unless
+    its encoding or a longer separator leaves that to Spark's reader of whole files.
     """
-    if headers is not None:
+    records = None
+    if multiline and headers is None and can_split(sep, charset(encoding)):
+        records = Records(spark, path, sep, charset(encoding))
+        if header_file is None and header:
+            parts = record_parts(records, path, sep)
+        else:
+            raw = list(instructions) + contract.names if header_file is None else sidecar_header(spark, header_file, encoding=encoding)
+            parts = [(raw, records.body())]
+    elif headers is not None:
         parts = headers
     elif header_file is not None:
         parts = [(sidecar_header(spark, header_file, encoding=encoding), path)]
@@ -192,10 +229,11 @@ def read_delivery(
         parts = headers_by_file(spark, path, sep, encoding)
     else:
         parts = [(list(instructions) + contract.names, path)]
-    frames = [
-        text_frame(spark, files, accepted_names(raw, contract, instructions), sep, encoding, header, multiline, traced, ragged)
-        for raw, files in parts
-    ]
+    named = [(accepted_names(raw, contract, instructions), part) for raw, part in parts]
+    if records is not None:
+        frames = [record_frame(part, names, sep, traced, ragged) for names, part in named]
+    else:
+        frames = [text_frame(spark, part, names, sep, encoding, header, multiline, traced, ragged) for names, part in named]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     if len(frames) > 1:
         rows = rows.fillna("", [c for c in rows.columns if c in contract.names or c in instructions])

@@ -186,6 +186,45 @@ def test_medians_of_odd_values(spark):
         assert str(got[c]) == str(want[c]), c
 
 
+@pytest.mark.parametrize("ranked, pieces", [(5, 20), (40, 100)])
+@pytest.mark.parametrize("missed", [None, "min", "max"])
+def test_medians_by_several_cuts(spark, monkeypatch, ranked, pieces, missed):
+    """No column has many more than `ranked` values ranked, wherever the estimates lie."""
+    rng = np.random.default_rng(ranked)
+    nan, inf = float("nan"), float("inf")
+    n = 3000
+    columns = {
+        "even": rng.normal(size=n),
+        "skewed": rng.pareto(0.3, n),
+        "hot": np.where(rng.random(n) < 0.49, 7.0, rng.normal(size=n) * 1e3),
+        "pair": np.array([1.0] * (n // 2) + [2.0] * (n // 2)),
+        "gap": np.concatenate([np.linspace(-1, 0, n // 2), np.linspace(1e9, 2e9, n // 2)]),
+        "ends": np.concatenate([[-inf] * (n // 2 - 1), [3.0], [nan] * (n // 2)]),
+        "one": np.array([5.0] * n),
+    }
+    frame = spark.createDataFrame(list(zip(*[c.tolist() for c in columns.values()])), ", ".join(f"{c} double" for c in columns))
+    frame = profile.numeric_view(frame.repartition(4), list(columns), text=False)
+    want = frame.agg(*[F.median(c).alias(c) for c in columns]).first().asDict()
+    ends = frame.agg(*[f(c).alias(f"{c}_{f.__name__}") for c in columns for f in (F.min, F.max)]).first()
+    sizes, at_ranks = [], profile._at_ranks
+
+    def watched(numbers_, ranks, bounds):
+        for c in ranks:
+            low, high = (F.lit(b).cast("double") for b in bounds[c])
+            sizes.append(numbers_.where((F.col(c) >= low) & (F.col(c) <= high)).select(c).distinct().count())
+        return at_ranks(numbers_, ranks, bounds)
+
+    monkeypatch.setattr(profile, "_at_ranks", watched)
+    monkeypatch.setattr(profile, "BRACKET", 1.0)
+    given = {}
+    for c in columns:
+        low, high = ends[f"{c}_min"], ends[f"{c}_max"]
+        given[c] = (n, *{None: (low, high), "min": (low, low), "max": (high, high)}[missed], low, high)
+    got = profile.medians(frame, given, ranked, pieces)
+    assert {c: str(v) for c, v in got.items()} == {c: str(v) for c, v in want.items()}
+    assert max(sizes) <= ranked + 4
+
+
 def test_moments_take_two_passes(spark):
     tracker, group = spark.sparkContext.statusTracker(), "moments"
     frame = spark.range(1000).selectExpr("cast(id as double) a", "cast(id % 7 as double) b").repartition(3)
