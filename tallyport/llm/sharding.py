@@ -13,6 +13,8 @@ ROUNDS = 4
 SLACK = 0.05
 # Moves are admitted by cells of a hash, so that quotas need few counts.
 CELLS = 128
+# Equal rows that weigh more than a shard's share divided by this are moved in parts of that weight.
+PARTS = 1000
 
 
 def _cell(unit: str) -> Column:
@@ -102,6 +104,28 @@ def _evened(state: DataFrame, units: DataFrame, shards: int) -> DataFrame:
     return ends.select("node", "size", out.cast("int").alias("shard"))
 
 
+def _parted(rows: DataFrame, narrow: DataFrame, id_col: str, total: int, shards: int) -> tuple[DataFrame, DataFrame]:
+    """`rows` and `narrow` with the copies of heavy nodes dealt evenly to nodes of at most a part's weight.
+
+    Each copy weighs the same, so dealing them in turn is even. The rows that are dealt are written
+    with their part, which therefore is the same wherever they are read.
+    """
+    part = total / (shards * PARTS)
+    nodes = narrow.groupBy("__node").agg(F.sum("size").alias("weight"), F.count("*").alias("n")).where(F.col("n") > 1)
+    parts = F.ceil(F.col("weight") / part)
+    # with a part for each copy, numbers are not taken twice
+    parts = F.when(parts < F.col("n"), parts).otherwise(F.lit(2**63 - 1))
+    heavy = written(nodes.where(F.col("weight") > part).select(F.col("__node").alias("__heavy"), parts.alias("__parts")), "heavy")
+    if not flagged(heavy):
+        return rows, narrow
+    few = F.broadcast(heavy)  # at most shards * PARTS rows
+    same = F.col("__node") == F.col("__heavy")
+    dealt = F.xxhash64("__node", F.pmod(F.monotonically_increasing_id(), F.col("__parts")))
+    copies = written(rows.join(few, same).withColumn("__node", dealt).drop("__heavy", "__parts"), "copies")
+    light = narrow.join(few, same, "left_anti").unionByName(copies.select(F.col(id_col).alias("id"), *narrow.columns[1:]))
+    return rows.join(few, same, "left_anti").unionByName(copies), written(light, "rows")
+
+
 def sharded(
     docs: DataFrame,
     links: DataFrame | None = None,
@@ -120,7 +144,8 @@ def sharded(
     are neighbours. At the end the sizes are evened out, unlinked documents moving first.
     A group larger than a shard is split. A slot is a row's number in its shard, from 0.
 
-    A null text has size 1 and no neighbours. Rows that repeat both id and text stay in one shard.
+    A null text has size 1 and no neighbours. Rows that repeat both id and text stay together, unless
+    they weigh more than a thousandth of a shard; then they are neighbours like other equal texts.
     A null id is an id like any other, but has no links in `links`. Columns of the added names are replaced.
     grown_shard is null under this law.
     """
@@ -136,6 +161,8 @@ def sharded(
         }
     ).withColumn("__node", F.xxhash64(F.col(id_col), "__same", "__blank"))
     narrow = written(rows.select(F.col(id_col).alias("id"), "size", "__node", "__same", "__blank"), "rows")
+    total = narrow.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("t")).first().t
+    rows, narrow = _parted(rows, narrow, id_col, total, shards)
     nodes = narrow.groupBy(F.col("__node").alias("node")).agg(F.sum("size").alias("size"))
     state = written(nodes.withColumn("shard", F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int")), "state")
     if links is None:
@@ -146,7 +173,6 @@ def sharded(
     lonely = members.groupBy("group").agg(F.count("*").alias("n")).where("n > 1").select("group")
     members = written(members.join(lonely, "group"), "members")
 
-    total = state.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("t")).first().t
     cap = (1 + SLACK) * total / shards
     for _ in range(rounds):
         state, moved = _round(state, _wishes(members, state, cap), cap, shards)

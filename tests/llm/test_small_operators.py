@@ -272,6 +272,22 @@ def test_shards(spark):
     assert sum(place[k] == place[k + 1] for k in range(0, 600, 2)) > 200
 
 
+def test_shards_of_repeated_rows(spark):
+    """Rows that repeat id and text, a third of all and more, are spread like other documents."""
+    rows = [(1, "equal row 012345")] * 400 + [(k, "y" * (k % 40)) for k in range(2, 102)] + [(None, None)] * 90
+    rows += [(200 + k % 5, f"pair {k % 5}") for k in range(10)]
+    for df in (spark.createDataFrame(rows, "doc_id long, text string"), clashing(spark.createDataFrame(rows, "doc_id long, text string"))):
+        out = sharding.sharded(df).collect()
+        assert sorted(map(repr, ((r.doc_id, r.text) for r in out))) == sorted(map(repr, rows))
+        sizes: dict[int, int] = {}
+        slots: dict[int, list[int]] = {}
+        for r in out:
+            sizes[r.shard] = sizes.get(r.shard, 0) + r["size"]
+            slots.setdefault(r.shard, []).append(r.slot)
+        assert set(sizes) == set(range(8)) and max(sizes.values()) - min(sizes.values()) <= 120
+        assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 # 8
 
 
