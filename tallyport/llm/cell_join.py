@@ -11,8 +11,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tallyport.llm.graph import components
 from tallyport.llm.tables import flagged, written
 
-# Members of a cell that are compared with all others of it at a time.
+# Members of a cell that are compared with all others of it at a time, once it is not divided any more.
 BLOCK = 1024
+# A cell with more pairs left than this is divided into finer ones, at most so many times.
+CROWD, LEVELS = 4096, 4
 
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -52,10 +54,21 @@ class CellJoin:
     `fetch` gets rows (name, n), name and size of sets, and returns rows (name, n, shingles) with
     their sorted 64-bit shingles; only sets that are to be compared are fetched. A link is a
     Jaccard similarity of `percent` % or more.
+
+    `split` gets the rows (cell, name, n, place) of crowded cells and the number of divisions before
+    and with this one, and returns the rows of finer cells, such that each pair that may be linked shares one
+    of them. A crowd that is still one after `LEVELS` divisions is compared whole, in blocks.
     """
 
-    def __init__(self, fetch: Callable[[DataFrame], DataFrame], percent: int, block: int = BLOCK):
-        self.fetch, self.percent, self.block = fetch, percent, block
+    def __init__(
+        self,
+        fetch: Callable[[DataFrame], DataFrame],
+        percent: int,
+        split: Callable[[DataFrame, int], DataFrame],
+        block: int = BLOCK,
+        crowd: int = CROWD,
+    ):
+        self.fetch, self.percent, self.split, self.block, self.crowd = fetch, percent, split, block, crowd
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """Pairs with the exact size of their intersection."""
@@ -83,36 +96,77 @@ class CellJoin:
         most = F.least(F.col("xn") - F.col("xp"), F.col("yn") - F.col("yp")).cast("long")
         return (100 + self.percent) * most >= self.percent * (F.col("xn") + F.col("yn")).cast("long")
 
+    def _with_partners(self, rows: DataFrame) -> DataFrame:
+        """Rows with the class of their size and the classes that linked sets can have; without those that have no partner in their cell.
+
+        The size and the place of a set bound its partners' sizes from both sides. The classes
+        are join keys, so pairs that the bounds exclude are not made.
+        """
+        p = self.percent
+        size_class = lambda n: F.floor(F.log(n.cast("double")) * 14).cast("int")  # noqa: E731 - steps of 7 %
+        n, place = F.col("n").cast("long"), F.col("place").cast("long")
+        least = F.greatest(F.expr(f"({p}L * n) div 100L"), F.lit(1).cast("long"))
+        most = (100 * n - (100 + p) * place) / p
+        sized = rows.withColumns({"size": size_class(n), "low": size_class(least), "most": F.floor(most)}).where("most >= 1")
+        sized = sized.withColumn("high", size_class(F.col("most"))).drop("most").where("low <= high")
+        offered = sized.select("cell", F.col("size").alias("theirs"), F.explode(F.sequence("low", "high")).alias("size")).distinct()
+        asked = offered.groupBy("cell", "size").agg(F.collect_set("theirs").alias("askers"))  # a handful of classes
+        met = sized.join(asked, ["cell", "size"])
+        return met.where(F.exists("askers", lambda c: c.between(F.col("low"), F.col("high")))).drop("askers")
+
+    def _pairs(self, chosen: DataFrame, rows: DataFrame) -> DataFrame:
+        """Pairs of a chosen member and another of its cell, in different components and of sizes that fit."""
+        a = chosen.select(
+            "cell", placed().alias("a"), F.col("component").alias("own"), F.col("size").alias("a_size"), F.explode(F.sequence("low", "high")).alias("size")
+        )
+        b = rows.select("cell", placed().alias("b"), "component", "size", "low", "high")
+        met = a.join(b, ["cell", "size"]).where((F.col("own") != F.col("component")) & F.col("a_size").between(F.col("low"), F.col("high")))
+        return met.select(*pair(F.col("a"), F.col("b")))
+
     def _with_components(self, rows: DataFrame, links: DataFrame) -> DataFrame:
+        self._label(links)
+        return rows.join(self.labels, ["name", "n"], "left").withColumn("component", F.coalesce("component", node()))
+
+    def _label(self, links: DataFrame) -> None:
         ends = links.select(node("x", "xn").alias("a"), node("y", "yn").alias("b"))
         self.labels = components(ends).select(F.col("node.name").alias("name"), F.col("node.n").alias("n"), "component")
-        return rows.join(self.labels, ["name", "n"], "left").withColumn("component", F.coalesce("component", node()))
+
+    @staticmethod
+    def _pivots(cells: DataFrame) -> DataFrame:
+        """The pivot of each cell of several members, and how many there are."""
+        order = F.struct(F.xxhash64("name", "n").alias("h"), "n", "name", "place")
+        of = cells.groupBy("cell").agg(F.count("*").alias("members"), F.min(order).alias("p")).where("members > 1")
+        return of.select("cell", "members", F.struct("p.n", "p.name", "p.place").alias("pivot"))
 
     @staticmethod
     def _open(rows: DataFrame) -> DataFrame:
-        """Cells that hold several components, with a pivot and the largest component.
+        """Cells that hold several components, with the largest one and a bound of the pairs between components.
 
         Of cells with the same members the one with the earliest places is kept: it belongs to the
         first shingle that they share.
         """
-        order = F.struct(F.xxhash64("name", "n").alias("h"), "n", "name", "place")
+        # sums of halves of the hashes: a sum of longs does not overflow
+        h = F.xxhash64("n", "name")
         parts = rows.groupBy("cell", "component").agg(
-            F.count("*").alias("k"), F.sum("place").alias("places"), F.min(order).alias("first"), F.sum(F.xxhash64("n", "name").cast("decimal(20,0)")).alias("h")
+            F.count("*").alias("k"),
+            F.sum("place").alias("places"),
+            F.sum(F.shiftright(h, 32)).alias("same"),
+            F.bit_xor(h).alias("mixed"),
         )
         return (
             parts.groupBy("cell")
             .agg(
                 F.count("*").alias("parts"),
                 F.sum("k").alias("members"),
-                F.sum("h").alias("same"),
+                F.sum("same").alias("same"),
+                F.bit_xor("mixed").alias("mixed"),
                 F.sum("places").alias("places"),
-                F.min("first").alias("p"),
                 F.max(F.struct("k", "component")).alias("largest"),
             )
             .where("parts > 1")
-            .groupBy("members", "same")
-            .agg(F.min(F.struct("places", "cell", "p", "largest")).alias("c"))
-            .select("c.cell", F.struct("c.p.n", "c.p.name", "c.p.place").alias("pivot"), F.col("c.largest.component").alias("main"))
+            .groupBy("members", "same", "mixed")
+            .agg(F.min(F.struct("places", "cell", "largest")).alias("c"))
+            .select("c.cell", F.col("c.largest.component").alias("main"), ((F.col("members") - F.col("c.largest.k")) * F.col("members")).alias("left"))
         )
 
     def _rings(self, rows: DataFrame, tested: DataFrame) -> DataFrame:
@@ -146,22 +200,37 @@ class CellJoin:
         Afterwards `labels` has rows (name, n, component) for all linked sets.
         """
         # every cell against its pivot
-        rows = cells.withColumn("component", node())
-        rows = written(rows.join(self._open(rows), "cell"), "rows")
+        rows = written(cells.join(self._pivots(cells), "cell"), "rows")
         tested = self._tested(rows.where(placed() != F.col("pivot")).select(*pair(placed(), F.col("pivot"))), None)
-        rows = written(self._rings(rows, tested).distinct(), "rings")
+        # a cell of two is settled
+        rows = written(self._rings(rows.where("members > 2"), tested).distinct(), "rings")
+        level = 0
         while True:
-            # cells in which components remain apart: members outside the largest one against all others, in blocks
+            # cells in which components remain apart: members outside the largest one against all others
             rows = self._with_components(rows.select("cell", "name", "n", "place"), self._linked(tested))
             rows = written(rows, "labelled")
             state = written(self._open(rows), "open")
             if not flagged(state):
                 return self._linked(tested)
             rows = rows.join(state, "cell")
-            turn = F.row_number().over(Window.partitionBy("cell").orderBy(F.xxhash64("name", "n"), "name", "n", "place"))
-            chosen = rows.where("component != main").withColumn("turn", turn).where(F.col("turn") <= self.block)
-            chosen = written(chosen.select("cell", placed().alias("a"), F.col("component").alias("own")), "chosen")
-            pairs = chosen.join(rows.select("cell", placed().alias("b"), "component"), "cell").where("own != component")
-            now = self._tested(pairs.select(*pair(F.col("a"), F.col("b"))), tested)
-            tested = tested.unionByName(now)
-            rows = rows.withColumn("a", placed()).join(chosen, ["cell", "a"], "left_anti")
+            level += 1
+            if level <= LEVELS:
+                crowded = F.col("left") > self.crowd
+                some = written(self._with_partners(rows.where(~crowded)), "some")
+                pairs = self._pairs(some.where("component != main"), some)
+                crowds = rows.where(crowded)
+                more = flagged(state.where(crowded))
+                if more:
+                    rows = written(self.split(written(self._with_partners(crowds).select("cell", "name", "n", "place"), "crowds"), level), "finer")
+            else:
+                likely = written(self._with_partners(rows), "likely")
+                turn = F.row_number().over(Window.partitionBy("cell").orderBy(F.xxhash64("name", "n"), "name", "n", "place"))
+                chosen = likely.where("component != main").withColumn("turn", turn).where(F.col("turn") <= self.block)
+                chosen = written(chosen, "chosen")
+                pairs = self._pairs(chosen, likely)
+                rows = likely.join(chosen.select("cell", "name", "n", "place"), ["cell", "name", "n", "place"], "left_anti")
+                more = True
+            tested = tested.unionByName(self._tested(pairs, tested))
+            if not more:
+                self._label(self._linked(tested))
+                return self._linked(tested)

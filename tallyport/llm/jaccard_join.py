@@ -15,7 +15,8 @@ be compared again with one another. Where a cell still holds several components,
 are dealt to rings of the pivot's distance; two texts can only be linked if their distances to
 the pivot differ by no more than the radius (triangle inequality), so each member goes to the
 two cells made of its ring and the next or the one before. There the members outside the largest
-component are pivots in turn, a block of them against all others, until no cell holds two
+component are pivots in turn, against all others whose size fits. A cell in which that would be many pairs
+is divided by the next shingle that linked members must share, and so on, until no cell holds two
 components. Every pair of a cell is thus settled: by a test, by its components being joined
 already, or by a bound (triangle inequality, sizes, or the place of the region's shingle).
 """
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyport.llm import shingles
 from tallyport.llm.bloom import BlockedBloom
-from tallyport.llm.cell_join import BLOCK, CellJoin, node
+from tallyport.llm.cell_join import BLOCK, CROWD, CellJoin, node
 from tallyport.llm.registry import query
 from tallyport.llm.tables import table, written
 
@@ -133,6 +134,25 @@ def _regions(batches: Iterator[pa.RecordBatch], words: int, percent: int, sketch
             )
 
 
+def _next_shingles(batches: Iterator[pa.RecordBatch], percent: int, level: int, sketch) -> Iterator[pa.RecordBatch]:
+    """For each member of a cell the finer cells of its next shingles; the place leaves out the `level` shared ones before."""
+    counts = sketch.value
+    for batch in _parts(batches):
+        cells, names, sizes, places = [], [], [], []
+        for cell, name, n, place, packed in zip(
+            *(batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)), batch.column(4), strict=True
+        ):
+            found = np.frombuffer(packed.as_buffer(), np.uint64)
+            order = np.lexsort((found, counts[(found & np.uint64(SKETCH - 1)).astype(np.int64)]))
+            at = np.arange(int(place) + level, min(int(n) - (percent * int(n) + 99) // 100 + 1 + level, int(n)))
+            cells.append(shingles.mixed(found[order[at]] + shingles.mixed(np.full(len(at), cell, np.int64).view(np.uint64))).view(np.int64))
+            names.append(np.full(len(at), name, np.int64))
+            sizes.append(np.full(len(at), n, np.int32))
+            places.append((at - level).astype(np.int32))
+        if cells:
+            yield pa.record_batch([pa.array(np.concatenate(c)) for c in (cells, names, sizes, places)], names=["cell", "name", "n", "place"])
+
+
 def _packed(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for batch in _parts(batches):
         held = list(shingles.sets((t.as_buffer() if t.is_valid else None for t in batch.column(0)), words))
@@ -166,6 +186,7 @@ class JaccardJoin:
         words: int = shingles.WORDS,
         percent: int = PERCENT,
         block: int = BLOCK,
+        crowd: int = CROWD,
     ):
         self.percent, self.words = percent, words
         self.input = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -175,8 +196,9 @@ class JaccardJoin:
         )
         self.documents = described.where("chunk is null").select("id", "n", "name")
         self.nodes = self.documents.where("n > 0").groupBy("n", "name").agg(F.min("id").alias("least"))
-        cells = self._first_cells(self._sketch(described))
-        found = CellJoin(self._packed_sets, percent, block)
+        self.sketch = self._sketch(described)
+        cells = self._first_cells(self.sketch)
+        found = CellJoin(self._packed_sets, percent, self._finer, block, crowd)
         self.links = found.join(cells)
         self.labels = found.labels
 
@@ -199,15 +221,41 @@ class JaccardJoin:
         rows = self.input.select("text").mapInArrow(
             lambda it: _regions(it, words, percent, sketch), "region long, name long, packed long"
         )
-        part, n = F.col("packed").bitwiseAND(MOST_PARTS), F.shiftrightunsigned("packed", 32).cast("int")
-        within = Window.partitionBy("region", part)
-        whole = F.struct("name", n)
-        seen = rows.withColumns({"low": F.min(whole).over(within), "high": F.max(whole).over(within)})
-        place = F.shiftrightunsigned("packed", 12).bitwiseAND(MOST_PLACES).cast("int")
-        kept = seen.where((F.col("low") != F.col("high")) | (part > 0)).select(
-            F.col("region").alias("cell"), "name", n.alias("n"), place.alias("place")
+        part = F.col("packed").bitwiseAND(MOST_PARTS)
+        # dealt out first, so that what is computed from a row is not moved with it
+        dealt = rows.repartition("region", part).select(
+            "region",
+            "name",
+            F.shiftrightunsigned("packed", 32).cast("int").alias("n"),
+            F.shiftrightunsigned("packed", 12).bitwiseAND(MOST_PLACES).cast("int").alias("place"),
+            part.alias("part"),
         )
-        return written(kept, "cells").distinct()
+        within = Window.partitionBy("region", "part")
+        h = F.xxhash64("n", "name")
+        seen = dealt.withColumns(
+            {
+                "low": F.min(h).over(within),
+                "high": F.max(h).over(within),
+                "same": F.sum(F.shiftright(h, 32)).over(within),
+                "mixed": F.bit_xor(h).over(within),
+                "k": F.count("*").over(within),
+            }
+        )
+        # regions with the same members become one cell, with each member's first place; a region in parts stays one
+        cell = F.when(F.col("part") == 0, F.xxhash64("low", "high", "same", "mixed", "k")).otherwise(F.col("region"))
+        kept = seen.where((F.col("low") != F.col("high")) | (F.col("part") > 0)).select(cell.alias("cell"), "name", "n", "place")
+        return written(kept.groupBy("cell", "name", "n").agg(F.min("place").alias("place")), "cells")
+
+    def _finer(self, rows: DataFrame, level: int) -> DataFrame:
+        """Crowded cells divided by the next shingle that two members may share.
+
+        Linked sets share ceil(t n) shingles or more, so the one after the `level` first that they share is
+        among the n - ceil(t n) + 1 + level first of each set, and behind the cell's own.
+        """
+        percent, sketch = self.percent, self.sketch
+        sets = self._packed_sets(rows.select("n", "name").distinct())
+        both = rows.join(sets, ["n", "name"]).select("cell", "name", "n", "place", "shingles")
+        return both.mapInArrow(lambda it: _next_shingles(it, percent, level, sketch), "cell long, name long, n int, place int").distinct()
 
     def _packed_sets(self, nodes: DataFrame) -> DataFrame:
         """The sets of these names, made again from one text of each."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -120,6 +120,35 @@ def _sets(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.Reco
         )
 
 
+def _banded(batches: Iterator[pa.RecordBatch], bands: int, rows: int, level: int) -> Iterator[pa.RecordBatch]:
+    """The finer cells of each member of a cell: bands of values that no level before has used."""
+    factors = _multipliers(bands * rows * (level + 1))[bands * rows * level :]
+    for batch in _pieces(batches):
+        held = [np.frombuffer(packed.as_buffer(), np.uint64) for packed in batch.column(3)]
+        if not held:
+            continue
+        starts = np.concatenate([[0], np.cumsum([len(h) for h in held])[:-1]]).astype(np.int64)
+        found, cell = np.concatenate(held), batch.column(0).to_numpy().view(np.uint64)
+        keys = []
+        for band in range(bands):
+            key = shingles.mixed(cell + np.uint64(band))
+            for k in range(rows):
+                least = np.minimum.reduceat(shingles.mixed(found * factors[band * rows + k]), starts)
+                key = shingles.mixed(key + least * np.uint64(2 * k + 3))
+            keys.append(key.view(np.int64))
+        yield pa.record_batch(
+            [pa.array(np.concatenate(keys)), *(pa.concat_arrays([batch.column(c)] * bands) for c in (1, 2))], names=["cell", "name", "n"]
+        )
+
+
+def _rebanded(crowds: DataFrame, fetch: Callable[[DataFrame], DataFrame], bands: int, rows: int, level: int) -> DataFrame:
+    """Crowded cells divided by as many bands again, so a pair stays together with the same recall."""
+    sets = fetch(crowds.select("n", "name").distinct())
+    both = crowds.join(sets, ["n", "name"]).select("cell", "name", "n", "shingles")
+    finer = both.mapInArrow(lambda it: _banded(it, bands, rows, level), "cell long, name long, n int")
+    return finer.distinct().withColumn("place", F.lit(0))
+
+
 class ParagraphDedup:
     """Paragraphs that repeat, exactly or nearly, in a table of documents.
 
@@ -157,7 +186,8 @@ class ParagraphDedup:
         place = F.struct("doc", "paragraph")
         self.nodes = written(self.places.groupBy("n", "name").agg(F.min(place).alias("first"), F.count("*").alias("times")), "nodes")
         cells = self._cells()
-        found = CellJoin(lambda nodes: self._wanted_sets(nodes, min_words), percent)
+        fetch = lambda nodes: self._wanted_sets(nodes, min_words)
+        found = CellJoin(fetch, percent, lambda crowds, level: _rebanded(crowds, fetch, bands, rows, level))
         self.links = found.join(cells)
         self.removals = self._removals(found.labels)
         self.passages = passages.passages(self.input, self.removals, percent)

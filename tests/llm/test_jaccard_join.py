@@ -36,8 +36,8 @@ def test_defined_cases(spark):
     )
 
 
-@pytest.mark.parametrize(("block", "percent"), [(2, 75), (1024, 50)])
-def test_chains_and_crowded_regions(spark, block, percent):
+@pytest.mark.parametrize(("block", "percent", "crowd"), [(2, 75, 3), (1024, 50, 4096), (1024, 60, 30)])
+def test_chains_and_crowded_regions(spark, block, percent, crowd):
     # variants of a few texts at all distances: links that only a middle text makes, cells of several components
     rng = random.Random(5)
     base = [[f"w{rng.randrange(400)}" for _ in range(60)] for _ in range(4)]
@@ -49,7 +49,16 @@ def test_chains_and_crowded_regions(spark, block, percent):
         if rng.random() < 0.3:
             words = words[: rng.randrange(8, 60)]
         rows.append((k, " ".join(words)))
-    compare(spark, rows, percent=percent, block=block)
+    compare(spark, rows, percent=percent, block=block, crowd=crowd)
+
+
+def test_crowd_around_a_shared_passage(spark):
+    # all share most shingles and none is linked to all others; a few are linked
+    rng = random.Random(11)
+    passage = [f"p{k}" for k in range(60)]
+    rows = [(k, " ".join([f"u{rng.randrange(10**6)}" for _ in range(12)] + passage)) for k in range(60)]
+    rows += [(100 + k, rows[k][1] + " end") for k in range(3)] + [(200 + k, "start " + rows[k][1]) for k in range(2, 5)]
+    compare(spark, rows, percent=75, crowd=50)
 
 
 def test_empty_table(spark):
