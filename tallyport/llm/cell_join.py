@@ -13,8 +13,8 @@ from tallyport.llm.tables import flagged, written
 
 # Members of a cell that are compared with all others of it at a time, once it is not divided any more.
 BLOCK = 1024
-# A cell with more pairs left than this is divided into finer ones, at most so many times.
-CROWD, LEVELS = 4096, 4
+# A cell with more members than this outside its largest component is divided into finer ones, at most so many times.
+CROWD, LEVELS = 1024, 4
 
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,7 +140,7 @@ class CellJoin:
 
     @staticmethod
     def _open(rows: DataFrame) -> DataFrame:
-        """Cells that hold several components, with the largest one and a bound of the pairs between components.
+        """Cells that hold several components, with the largest one and the number of members outside it.
 
         Of cells with the same members the one with the earliest places is kept: it belongs to the
         first shingle that they share.
@@ -166,7 +166,7 @@ class CellJoin:
             .where("parts > 1")
             .groupBy("members", "same", "mixed")
             .agg(F.min(F.struct("places", "cell", "largest")).alias("c"))
-            .select("c.cell", F.col("c.largest.component").alias("main"), ((F.col("members") - F.col("c.largest.k")) * F.col("members")).alias("left"))
+            .select("c.cell", F.col("c.largest.component").alias("main"), (F.col("members") - F.col("c.largest.k")).alias("apart"))
         )
 
     def _rings(self, rows: DataFrame, tested: DataFrame) -> DataFrame:
@@ -215,7 +215,7 @@ class CellJoin:
             rows = rows.join(state, "cell")
             level += 1
             if level <= LEVELS:
-                crowded = F.col("left") > self.crowd
+                crowded = F.col("apart") > self.crowd
                 some = written(self._with_partners(rows.where(~crowded)), "some")
                 pairs = self._pairs(some.where("component != main"), some)
                 crowds = rows.where(crowded)

@@ -20,6 +20,8 @@ MIN_WORDS = 8
 # Share of the pairs at the threshold that the bands must bring together.
 RECALL = 0.999
 ROWS = 2
+# Paragraphs of a cell outside its largest component; more of them are banded again.
+CROWD = 64
 
 
 def tuned(threshold: float, recall: float = RECALL, rows: int = ROWS) -> int:
@@ -187,7 +189,7 @@ class ParagraphDedup:
         self.nodes = written(self.places.groupBy("n", "name").agg(F.min(place).alias("first"), F.count("*").alias("times")), "nodes")
         cells = self._cells()
         fetch = lambda nodes: self._wanted_sets(nodes, min_words)
-        found = CellJoin(fetch, percent, lambda crowds, level: _rebanded(crowds, fetch, bands, rows, level))
+        found = CellJoin(fetch, percent, lambda crowds, level: _rebanded(crowds, fetch, bands, rows, level), crowd=CROWD)
         self.links = found.join(cells)
         self.removals = self._removals(found.labels)
         self.passages = passages.passages(self.input, self.removals, percent)
