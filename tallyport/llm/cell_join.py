@@ -13,8 +13,9 @@ from tallyport.llm.tables import flagged, written
 
 # Members of a cell that are compared with all others of it at a time, once it is not divided any more.
 BLOCK = 1024
-# A cell with more members than this outside its largest component is divided into finer ones, at most so many times.
-CROWD, LEVELS = 1024, 4
+# A cell with more members than this outside its largest component is crowded. A few of them are pivots
+# for all others, so many times; what is crowded then is divided into finer cells, at most so many times.
+CROWD, PIVOTS, TURNS, LEVELS = 128, 32, 2, 4
 
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,6 +193,14 @@ class CellJoin:
             fresh = fresh.join(before, PAIR, "left_anti")
         return written(self._verified(written(fresh, "pairs")).distinct(), "tested")
 
+    @staticmethod
+    def _turn(rows: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+        """Members outside the largest component that are compared now, and the other members."""
+        turn = F.row_number().over(Window.partitionBy("cell").orderBy(F.xxhash64("name", "n"), "name", "n", "place"))
+        chosen = written(rows.where("component != main").withColumn("turn", turn).where(F.col("turn") <= block), "chosen")
+        keys = ["cell", "name", "n", "place"]
+        return chosen, rows.join(chosen.select(keys), keys, "left_anti")
+
     def join(self, cells: DataFrame) -> DataFrame:
         """Verified links (x, xn, y, yn, shared) of rows (cell, name, n, place).
 
@@ -214,21 +223,21 @@ class CellJoin:
                 return self._linked(tested)
             rows = rows.join(state, "cell")
             level += 1
-            if level <= LEVELS:
+            if level <= TURNS + LEVELS:
                 crowded = F.col("apart") > self.crowd
-                some = written(self._with_partners(rows.where(~crowded)), "some")
+                likely = written(self._with_partners(rows), "likely")
+                some, crowds = likely.where(~crowded), likely.where(crowded)
+                more = flagged(crowds)
                 pairs = self._pairs(some.where("component != main"), some)
-                crowds = rows.where(crowded)
-                more = flagged(state.where(crowded))
-                if more:
-                    rows = written(self.split(written(self._with_partners(crowds).select("cell", "name", "n", "place"), "crowds"), level), "finer")
+                if more and level <= TURNS:
+                    pivots, rows = self._turn(crowds, PIVOTS)
+                    pairs = pairs.unionByName(self._pairs(pivots, crowds))
+                elif more:
+                    rows = written(self.split(crowds.select("cell", "name", "n", "place"), level - TURNS), "finer")
             else:
                 likely = written(self._with_partners(rows), "likely")
-                turn = F.row_number().over(Window.partitionBy("cell").orderBy(F.xxhash64("name", "n"), "name", "n", "place"))
-                chosen = likely.where("component != main").withColumn("turn", turn).where(F.col("turn") <= self.block)
-                chosen = written(chosen, "chosen")
+                chosen, rows = self._turn(likely, self.block)
                 pairs = self._pairs(chosen, likely)
-                rows = likely.join(chosen.select("cell", "name", "n", "place"), ["cell", "name", "n", "place"], "left_anti")
                 more = True
             tested = tested.unionByName(self._tested(pairs, tested))
             if not more:

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tallyport.llm import cell_join
 from tallyport.llm.jaccard_join import JaccardJoin
 
 from .brute import jaccard_classes
@@ -37,7 +38,8 @@ def test_defined_cases(spark):
 
 
 @pytest.mark.parametrize(("block", "percent", "crowd"), [(2, 75, 3), (1024, 50, 4096), (1024, 60, 5)])
-def test_chains_and_crowded_regions(spark, block, percent, crowd):
+def test_chains_and_crowded_regions(spark, monkeypatch, block, percent, crowd):
+    monkeypatch.setattr(cell_join, "PIVOTS", 1)  # so that few rows are a crowd
     # variants of a few texts at all distances: links that only a middle text makes, cells of several components
     rng = random.Random(5)
     base = [[f"w{rng.randrange(400)}" for _ in range(60)] for _ in range(4)]
@@ -52,7 +54,8 @@ def test_chains_and_crowded_regions(spark, block, percent, crowd):
     compare(spark, rows, percent=percent, block=block, crowd=crowd)
 
 
-def test_crowd_around_a_shared_passage(spark):
+def test_crowd_around_a_shared_passage(spark, monkeypatch):
+    monkeypatch.setattr(cell_join, "PIVOTS", 1)
     # all share most shingles and none is linked to all others; a few are linked
     rng = random.Random(11)
     passage = [f"p{k}" for k in range(60)]
