@@ -13,9 +13,9 @@ from tallyport.llm.tables import flagged, written
 
 # Members of a cell that are compared with all others of it at a time, once it is not divided any more.
 BLOCK = 1024
-# A cell with more members than this outside its largest component is crowded. A few of them are pivots
-# for all others, so many times; what is crowded then is divided into finer cells, at most so many times.
-CROWD, PIVOTS, TURNS, LEVELS = 128, 32, 2, 4
+# A cell with more members than this outside its largest component is crowded. So many of them are compared
+# with all others first; what is crowded then is divided into finer cells, at most so many times.
+CROWD, TURNS, LEVELS = 1024, 1, 4
 
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,7 +230,7 @@ class CellJoin:
                 more = flagged(crowds)
                 pairs = self._pairs(some.where("component != main"), some)
                 if more and level <= TURNS:
-                    pivots, rows = self._turn(crowds, PIVOTS)
+                    pivots, rows = self._turn(crowds, self.crowd)
                     pairs = pairs.unionByName(self._pairs(pivots, crowds))
                 elif more:
                     rows = written(self.split(crowds.select("cell", "name", "n", "place"), level - TURNS), "finer")
