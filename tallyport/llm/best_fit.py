@@ -12,11 +12,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyport.llm.registry import query
 from tallyport.llm.tables import small_batches, table, written
-from tallyport.llm.word_ids import WordIds
+from tallyport.llm.word_ids import WordIds, encoded_texts
 
 CAPACITY, END = 2048, 0
-# Bytes of text a task tokenizes at once.
-TEXT_BYTES = 4 << 20
 RANK_BITS = 48
 PIECES = "part int, doc_id long, piece int, start long, length int, rank long, ids array<int>"
 
@@ -104,8 +102,7 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, end: int, capacity: int)
     part = TaskContext.get().partitionId()
     seen = np.zeros(capacity + 1, np.int64)
 
-    def pieces(docs: pa.Array, texts: pa.Array) -> pa.RecordBatch:
-        ids, sizes = words.ids(texts)
+    def pieces(docs: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
         per_doc = -(-sizes // capacity)
         doc = np.repeat(np.arange(len(sizes)), per_doc)
         piece = np.arange(len(doc)) - np.repeat(np.cumsum(per_doc) - per_doc, per_doc)
@@ -124,18 +121,8 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, end: int, capacity: int)
             names=["part", "doc_id", "piece", "start", "length", "rank", "ids"],
         )
 
-    docs: list[pa.Array] = []
-    texts: list[pa.Array] = []
-    size = 0
-    for batch in batches:
-        docs.append(batch.column(0).cast(pa.int64()))
-        texts.append(batch.column(1).cast(pa.large_string()))
-        size += texts[-1].nbytes
-        if size >= TEXT_BYTES:
-            yield pieces(pa.concat_arrays(docs), pa.concat_arrays(texts))
-            docs, texts, size = [], [], 0
-    if docs:
-        yield pieces(pa.concat_arrays(docs), pa.concat_arrays(texts))
+    for docs, ids, sizes in encoded_texts(batches, words):
+        yield pieces(docs, ids, sizes)
 
 
 def _placed(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBatch]:
