@@ -39,8 +39,15 @@ def null_or_empty(cell: Column) -> Column:
 
 def header_name(raw: Column, position: Column) -> Column:
     """Snake-case column name of a raw header; `col_<position>` when it has no letter."""
-    name = F.regexp_replace(F.lower(strip(raw)), "[^0-9a-z_]+", "_")
-    name = F.regexp_replace(F.trim(name, F.lit("_")), "^[^a-z]+", "")
+    name = F.regexp_replace(F.lower(raw), "[^0-9a-z_]+", "_")
+    # Spark evaluates a column again that stands in branches only; both ends are looked at
+    # first, so the replacement is made once, and most names are spared the work on their ends
+    name = F.when(F.substring(name, 1, 1).between("a", "z"), name).otherwise(F.regexp_replace(name, "^[^a-z]+", ""))
+    name = (
+        F.when(name.endswith("__"), F.rtrim(name, F.lit("_")))
+        .when(name.endswith("_"), F.substring(name, F.lit(1), F.length(name) - 1))
+        .otherwise(name)
+    )
     return F.when(name != "", name).otherwise(
         F.concat(F.lit("col_"), position.cast("string"))
     )
