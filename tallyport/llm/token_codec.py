@@ -17,8 +17,9 @@ import zlib
 
 import numpy as np
 
-MAGIC = b"TKB1"
-LANES, MIN_STEPS = 1024, 64
+# Lanes of a block at most, by the sign that it begins with; blocks are written with the last one's.
+LANES = {b"TKB1": 1024, b"TKB2": 4096}
+MAGIC, MIN_STEPS = b"TKB2", 64
 # Weights are 256ths; the frequency model keeps at least some of them.
 WHOLE, MOST = 256, 252
 CONFIDENCE = 8
@@ -27,6 +28,9 @@ REFRESH = 8
 GAIN = 8
 SLOTS = 1 << 18
 
+# A confidence after a miss and after a hit; after a miss with little of it the guess changes.
+NEXT = np.array([1, 1, *(c // 2 for c in range(2, CONFIDENCE)), *range(1, CONFIDENCE), CONFIDENCE - 1])
+
 U = np.uint64
 _LOW_16, _TOP, _BOTTOM = U(48), U(1 << 48), U(1 << 40)
 
@@ -70,16 +74,16 @@ class Models:
             self.hits[order] += np.bincount(trust[hit], minlength=CONFIDENCE)
             change = ~hit & (trust <= 1)
             after[at[change]] = ids[change]
-            sure[at] = np.where(hit, np.minimum(trust + 1, CONFIDENCE - 1), np.where(change, 1, trust // 2))
+            sure[at] = NEXT.take(trust + hit * CONFIDENCE)
         np.add.at(self.counts, ids, GAIN)
         self.two[:active] = one
         self.one[:active] = ids
         self.step += 1
 
 
-def _layout(n: int) -> tuple[int, int]:
+def _layout(n: int, magic: bytes) -> tuple[int, int]:
     """Number of lanes and steps for `n` ids."""
-    lanes = max(1, min(LANES, n // MIN_STEPS))
+    lanes = max(1, min(LANES[magic], n // MIN_STEPS))
     return lanes, -(-n // lanes)
 
 
@@ -93,7 +97,7 @@ def encode(ids: np.ndarray, vocabulary: int) -> bytes:
     n = len(ids)
     if not n:
         return b""
-    lanes, steps = _layout(n)
+    lanes, steps = _layout(n, MAGIC)
     shares = _shares(n, lanes)
     begins = np.cumsum(shares) - shares
     models = Models(vocabulary, lanes)
@@ -121,29 +125,33 @@ def encode(ids: np.ndarray, vocabulary: int) -> bytes:
 
 
 def _shift_out(low: np.ndarray, width: np.ndarray, words: np.ndarray, used: np.ndarray, active: int) -> None:
-    at = np.arange(active)
-    while True:
-        same = (low[at] ^ (low[at] + width[at])) < _TOP
-        short = ~same & (width[at] < _BOTTOM)
-        if short.any():
-            # the interval straddles a boundary: it is cut down to this side of it
-            cut = at[short]
-            width[cut] = (~low[cut] + U(1)) & (_BOTTOM - U(1))
-        at = at[same | short]
-        if not len(at):
-            return
+    at = _settled(low[:active], width[:active])
+    while len(at):
         words[at, used[at]] = (low[at] >> _LOW_16).astype(np.uint16)
         used[at] += 1
         low[at] <<= U(16)
         width[at] <<= U(16)
+        at = at[_settled(low, width, at)]
+
+
+def _settled(low: np.ndarray, width: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+    """Which lanes (of those at `at`) have 16 bits to shift out."""
+    a, w = (low, width) if at is None else (low[at], width[at])
+    same = (a ^ (a + w)) < _TOP
+    short = ~same & (w < _BOTTOM)
+    cut = np.flatnonzero(short)
+    if len(cut):
+        # the interval straddles a boundary: it is cut down to this side of it
+        width[cut if at is None else at[cut]] = (~a[cut] + U(1)) & (_BOTTOM - U(1))
+    return np.flatnonzero(same | short)
 
 
-def decode(data: bytes, n: int, vocabulary: int) -> np.ndarray:
+def decode(data: bytes, n: int, vocabulary: int, magic: bytes = MAGIC) -> np.ndarray:
     """The `n` ids of a coded form."""
     out = np.empty(n, np.int64)
     if not n:
         return out
-    lanes, steps = _layout(n)
+    lanes, steps = _layout(n, magic)
     shares = _shares(n, lanes)
     begins = np.cumsum(shares) - shares
     used = np.frombuffer(data, "<u4", lanes).astype(np.int64)
@@ -161,29 +169,22 @@ def decode(data: bytes, n: int, vocabulary: int) -> np.ndarray:
         part = width[:active] // U(total * WHOLE)
         value = np.minimum((code[:active] - low[:active]) // part, U(total * WHOLE - 1)).astype(np.int64)
         # the two predicted ids in order, with their masses; behind each its mass is taken off
-        swap = g1 > g2
-        a, b = np.where(swap, g2, g1), np.where(swap, g1, g2)
-        ka, kb = np.where(swap, k2, k1), np.where(swap, k1, k2)
+        a, b = np.minimum(g1, g2), np.maximum(g1, g2)
+        # of equal ones the first has both masses
+        ka = np.where(g1 < g2, k1, np.where(g1 > g2, k2, k1 + k2)) * total
+        kb = np.where(g1 < g2, k2, np.where(g1 > g2, k1, 0)) * total
         from_a = models.sums[a] * k0
-        to_a = models.sums[a + 1] * k0 + total * ka
-        past_a = value >= to_a
-        rest = np.where(past_a, value - total * ka, value)
+        past_a = value >= models.sums[a + 1] * k0 + ka
+        rest = value - ka * past_a
         from_b = models.sums[b] * k0
-        to_b = models.sums[b + 1] * k0 + total * kb
-        past_b = rest >= to_b
-        rest = np.where(past_b & (past_a | (a == b)), rest - total * kb, rest)
-        x = np.searchsorted(models.sums, rest // k0, side="right") - 1
-        in_a = (value >= from_a) & ~past_a
-        in_b = past_a & (rest >= from_b) & ~past_b
-        same = a == b
-        x = np.where(in_a, a, np.where(in_b, b, x))
-        if same.any():
-            lane = np.flatnonzero(same)
-            both = total * (k1[lane] + k2[lane])
-            end = models.sums[a[lane] + 1] * k0[lane] + both
-            own = value[lane]
-            alone = np.searchsorted(models.sums, np.where(own >= end, own - both, own) // k0[lane], side="right") - 1
-            x[lane] = np.where((own >= from_a[lane]) & (own < end), a[lane], alone)
+        past_b = past_a & (rest >= models.sums[b + 1] * k0 + kb)
+        in_a, in_b = ~past_a & (value >= from_a), past_a & ~past_b & (rest >= from_b)
+        x = np.where(in_a, a, b)
+        # what no prediction holds is looked up, in order, which keeps to the same part of the table
+        other = np.flatnonzero(~(in_a | in_b))
+        own = (rest[other] - kb[other] * past_b[other]) // k0[other]
+        order = np.argsort(own)
+        x[other[order]] = np.searchsorted(models.sums, own[order], side="right") - 1
         x = np.minimum(x, vocabulary - 1)
         start = models.sums[x] * k0 + total * (k1 * (g1 < x) + k2 * (g2 < x))
         size = models.held[x] * k0 + total * (k1 * (g1 == x) + k2 * (g2 == x))
@@ -196,20 +197,13 @@ def decode(data: bytes, n: int, vocabulary: int) -> np.ndarray:
 
 
 def _shift_in(low: np.ndarray, width: np.ndarray, code: np.ndarray, words: np.ndarray, at: np.ndarray, active: int) -> None:
-    lane = np.arange(active)
-    while True:
-        same = (low[lane] ^ (low[lane] + width[lane])) < _TOP
-        short = ~same & (width[lane] < _BOTTOM)
-        if short.any():
-            cut = lane[short]
-            width[cut] = (~low[cut] + U(1)) & (_BOTTOM - U(1))
-        lane = lane[same | short]
-        if not len(lane):
-            return
+    lane = _settled(low[:active], width[:active])
+    while len(lane):
         code[lane] = code[lane] << U(16) | words[np.minimum(at[lane], len(words) - 1)]
         at[lane] += 1
         low[lane] <<= U(16)
         width[lane] <<= U(16)
+        lane = lane[_settled(low, width, lane)]
 
 
 def pack(doc_ids: list[int | None], counts: np.ndarray, ids: np.ndarray, vocabulary: int) -> bytes:
@@ -225,14 +219,14 @@ def pack(doc_ids: list[int | None], counts: np.ndarray, ids: np.ndarray, vocabul
 
 def unpack(block: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     """Document ids, numbers of ids and all ids of a block; ValueError if it is damaged."""
-    if block[:4] != MAGIC or zlib.crc32(block[:-4]) != struct.unpack("<I", block[-4:])[0]:
+    if block[:4] not in LANES or zlib.crc32(block[:-4]) != struct.unpack("<I", block[-4:])[0]:
         raise ValueError("damaged block")
     docs, n, vocabulary, head_size, body_size, check = struct.unpack("<IIIIII", block[4:28])
     head = zlib.decompress(block[28 : 28 + head_size])
     known = np.frombuffer(head, np.uint8, docs)
     names = np.frombuffer(head, "<i8", docs, docs)
     counts = np.frombuffer(head, "<u4", docs, 9 * docs).astype(np.int64)
-    ids = decode(block[28 + head_size : 28 + head_size + body_size], n, vocabulary)
+    ids = decode(block[28 + head_size : 28 + head_size + body_size], n, vocabulary, block[:4])
     if zlib.crc32(ids.astype("<u4").tobytes()) != check:
         raise ValueError("damaged ids")
     return [int(i) if k else None for i, k in zip(names, known, strict=True)], counts, ids

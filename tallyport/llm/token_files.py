@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -15,86 +13,58 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyport.llm import token_codec
 from tallyport.llm.registry import query
 from tallyport.llm.tables import small_batches, table
+from tallyport.llm.word_ids import WordIds, encoded_texts
 from tallyport.session import scratch
 
 # Ids of a block; one holds whole documents, and more ids only if a single document has them.
 BLOCK_IDS = 1 << 20
-# Words whose ids a task remembers.
-REMEMBERED = 300_000
 END = 2
 
 
-def letters(stem: str) -> bool:
-    """Whether a stem is all letters, before and after the tokenizer's NFC and lower case."""
-    return stem.isalpha() and (stem.isascii() or unicodedata.normalize("NFC", stem).lower().isalpha())
-
-
 class Words:
-    """Ids of texts by the tokenizer, which is asked once for each word.
-
-    The tokenizers that this fits drop white space and never join what it parts, so the ids of
-    a text are those of its words in a row.
-    """
+    """Ids of single texts by the tokenizer."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.known: dict[str, np.ndarray] = {}
-
-    def learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > REMEMBERED:
-            self.known = {}
-        # a word of letters with a full stop or comma is two pieces for the tokenizer, if they still are letters after its normalisation
-        split = {w for w in words if w[-1] in ".," and letters(w[:-1])}
-        asked = sorted(w for w in words - split | {w[:-1] for w in split} | {w[-1] for w in split} if w not in self.known)
-        for word, found in zip(asked, self.tokenizer.encode_batch(asked, add_special_tokens=False), strict=True):
-            self.known[word] = np.array(found.ids, np.int64)
-        for word in split:
-            self.known[word] = np.concatenate((self.known[word[:-1]], self.known[word[-1]]))
+        self.bulk = WordIds(path, END)
 
     def ids(self, text: str) -> np.ndarray:
-        words = [w for w in text.replace("\n", " ").split(" ") if w]
-        new = {w for w in words if w not in self.known}
-        if len(new) > REMEMBERED:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int64)
-        if new:
-            before = len(self.known)
-            self.learn(new)
-            if len(self.known) < before:  # forgotten what the text needs too
-                self.learn({w for w in words if w not in self.known})
-        known = self.known
-        return np.concatenate([known[w] for w in words]) if words else np.empty(0, np.int64)
+        return self.bulk.ids(pa.array([text], pa.string()))[0][:-1]
 
 
 def _coded(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[pa.RecordBatch]:
-    words = Words(path)
+    words = WordIds(path, end)
     vocabulary = max(words.vocabulary, end + 1)
     part = TaskContext.get().partitionId()
     docs: list[int | None] = []
     held: list[np.ndarray] = []
+    counts: list[np.ndarray] = []
     size = block = before = 0
 
     def flushed() -> pa.RecordBatch:
-        ids = np.concatenate(held)
-        payload = token_codec.pack(docs, np.array([len(h) for h in held]), ids, vocabulary)
-        row = [[part], [block], [before], [len(docs)], [len(ids)], [payload]]
+        payload = token_codec.pack(docs, np.concatenate(counts), np.concatenate(held).astype(np.int64), vocabulary)
+        row = [[part], [block], [before], [len(docs)], [size], [payload]]
         kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
         return pa.record_batch([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], names=BLOCK_NAMES)
 
-    for batch in batches:
-        for i, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            ids = np.append(words.ids(text.as_py() or ""), end)
-            if held and size + len(ids) > BLOCK_IDS:
+    for names, ids, sizes in encoded_texts(batches, words):
+        ends = np.append(0, np.cumsum(sizes))
+        at = 0
+        while at < len(sizes):
+            # so many documents fit the block; an empty one takes one whatever its size
+            upto = int(np.searchsorted(ends, ends[at] + BLOCK_IDS - size, "right")) - 1
+            if not docs:
+                upto = max(upto, at + 1)
+            elif upto <= at:
                 yield flushed()
                 before, block = before + size, block + 1
-                docs, held, size = [], [], 0
-            docs.append(i)
-            held.append(ids)
-            size += len(ids)
-    if held:
+                docs, held, counts, size = [], [], [], 0
+                continue
+            docs += names[at:upto].to_pylist()
+            held.append(ids[ends[at] : ends[upto]])
+            counts.append(sizes[at:upto])
+            size += int(ends[upto] - ends[at])
+            at = upto
+    if docs:
         yield flushed()
 
 
