@@ -18,7 +18,7 @@ import zlib
 import numpy as np
 
 # Lanes of a block at most, by the sign that it begins with; blocks are written with the last one's.
-LANES = {b"TKB1": 1024, b"TKB2": 4096}
+LANES = {b"TKB1": 1024, b"TKB2": 8192}
 MAGIC, MIN_STEPS = b"TKB2", 64
 # Weights are 256ths; the frequency model keeps at least some of them.
 WHOLE, MOST = 256, 252

@@ -23,7 +23,7 @@ SPACE[[9, 10, 13, 32]] = True
 LETTER = np.zeros(256, bool)
 LETTER[[*range(65, 91), *range(97, 123)]] = True
 STOP = np.zeros(256, bool)
-STOP[[44, 46]] = True
+STOP[list(b"!#$%&*,./:;=?@")] = True
 # The second byte of the letters from U+00C0 to U+00FF, whose first is C3.
 ACCENTED = np.zeros(256, bool)
 ACCENTED[128:192] = True
@@ -55,14 +55,15 @@ def lowered(data: np.ndarray) -> np.ndarray:
 def words_of(data: np.ndarray, bounds: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     """All words of the texts in a row, and how many each text has.
 
-    White space parts words; a full stop or comma right behind a letter of ASCII or Latin-1 begins a new one,
-    since no tokenizer of words joins the two.
+    White space parts words; a stop or another such sign right behind a letter of ASCII or Latin-1 begins a new
+    one, since no tokenizer of words joins the two.
     """
     inside = ~SPACE[data]
     begins = inside.copy()
-    letter = LETTER[data]
-    letter[1:] |= ACCENTED[data[1:]] & (data[:-1] == 0xC3)
-    begins[1:] &= ~inside[:-1] | (STOP[data[1:]] & letter[:-1])
+    begins[1:] &= ~inside[:-1]
+    stops = np.flatnonzero(STOP[data[1:]]) + 1
+    before = data[stops - 1]
+    begins[stops[LETTER[before] | (ACCENTED[before] & (data[stops - 2] == 0xC3))]] = True
     first = bounds[:-1][bounds[:-1] < len(data)]
     begins[first] = inside[first]
     starts = np.flatnonzero(begins)
