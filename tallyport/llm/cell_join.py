@@ -134,8 +134,11 @@ class CellJoin:
 
     @staticmethod
     def _pivots(cells: DataFrame) -> DataFrame:
-        """The pivot of each cell of several members, and how many there are."""
-        order = F.struct(F.xxhash64("name", "n").alias("h"), "n", "name", "place")
+        """The pivot of each cell of several members, and how many there are.
+
+        It is the member of the least place: the fewer shingles of its own a set has, the closer it is to the others.
+        """
+        order = F.struct("place", F.xxhash64("name", "n").alias("h"), "n", "name")
         of = cells.groupBy("cell").agg(F.count("*").alias("members"), F.min(order).alias("p")).where("members > 1")
         return of.select("cell", "members", F.struct("p.n", "p.name", "p.place").alias("pivot"))
 

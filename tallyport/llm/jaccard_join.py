@@ -99,9 +99,10 @@ def _regions(batches: Iterator[pa.RecordBatch], words: int, percent: int, sketch
     A set met again in the task is left out.
 
     The sketch bounds the texts of a region from above; `part` splits a region that may have
-    more than `CELL` of them and is 0 in all others.
+    more than `CELL` of them besides what any counter holds by chance, and is 0 in all others.
     """
     counts = sketch.value
+    chance = int(np.median(counts))
     met: set[tuple[int, int]] = set()
     for batch in _parts(batches):
         regions, names, packed = [], [], []
@@ -115,7 +116,7 @@ def _regions(batches: Iterator[pa.RecordBatch], words: int, percent: int, sketch
             width = n - (percent * n + 99) // 100 + 1
             often = counts[(found & np.uint64(SKETCH - 1)).astype(np.int64)]
             order = np.lexsort((found, often))[:width]
-            split = -(-often[order] // CELL)
+            split = -(-(often[order] - chance) // CELL)
             regions.append(found[order].view(np.int64))
             part = np.where(split > 1, 1 + name % np.clip(split, 1, MOST_PARTS), 0)
             # a place beyond its bits counts as an earlier one, which only leaves more to compare

@@ -1,9 +1,12 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tallyport.llm.jaccard_join import JaccardJoin
+from tallyport.llm.cell_join import CellJoin
+from tallyport.llm.jaccard_join import MOST_PARTS, SKETCH, JaccardJoin, _regions
 
 from .brute import jaccard_classes
 
@@ -64,3 +67,41 @@ def test_crowd_around_a_shared_passage(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert JaccardJoin(df).classes().count() == 0
+
+
+def test_pivot_is_the_member_of_least_place(spark):
+    rows = [(1, k, 50, 0 if k == 17 else 3 + k % 5) for k in range(40)] + [(2, k, 50, 4) for k in range(9)]
+    pivots = CellJoin._pivots(spark.createDataFrame(rows, "cell long, name long, n int, place int"))
+    got = {r.cell: (r.pivot.name, r.pivot.place) for r in pivots.collect()}
+    assert got[1] == (17, 0) and got[2][1] == 4
+
+
+def test_edited_copies_need_few_comparisons(spark, monkeypatch):
+    # copies with one to 30 changed words in 200, the plain text among them
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(200)]
+    rows = [(0, " ".join(words))]
+    for k in range(1, 300):
+        changed = list(words)
+        for at in rng.sample(range(200), rng.randint(1, 30)):
+            changed[at] = f"x{rng.randrange(10**6)}"
+        rows.append((k, " ".join(changed)))
+    made, tested = [], CellJoin._tested
+
+    def counted(self, pairs, before):
+        made.append(pairs.where(self._sizes_fit() & self._within_reach()).count())
+        return tested(self, pairs, before)
+
+    monkeypatch.setattr(CellJoin, "_tested", counted)
+    compare(spark, rows)
+    assert sum(made[1:]) < 1000
+
+
+def test_chance_does_not_part_regions():
+    class Sketch:
+        value = np.full(SKETCH, 5000)
+
+    text = " ".join(f"w{k}" for k in range(40))
+    batch = pa.record_batch([pa.array([text])], names=["text"])
+    packed = np.concatenate([b.column(2).to_numpy() for b in _regions([batch], 5, 75, Sketch)])
+    assert len(packed) and not (packed & MOST_PARTS).any()
