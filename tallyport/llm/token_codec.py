@@ -58,8 +58,10 @@ class Models:
         self.guess_one, self.guess_two = self.after_one[one], self.after_two[self.slot]
         self.trust_one, self.trust_two = self.sure_one[one], self.sure_two[self.slot]
         odds = self.hits * MOST // self.tries
-        k_two = odds[1][self.trust_two]
-        k_one = odds[0][self.trust_one] * (MOST - k_two) // MOST
+        k_two = odds[1].take(self.trust_two)
+        # by both confidences
+        rest = odds[0][:, None] * (MOST - odds[1]) // MOST
+        k_one = rest.reshape(-1).take(self.trust_one * CONFIDENCE + self.trust_two)
         return self.guess_one, self.guess_two, k_one, k_two, WHOLE - k_one - k_two
 
     def update(self, ids: np.ndarray) -> None:
@@ -69,12 +71,14 @@ class Models:
             (0, self.guess_one, self.trust_one, one, self.after_one, self.sure_one),
             (1, self.guess_two, self.trust_two, self.slot, self.after_two, self.sure_two),
         ):
-            hit = guess == ids
-            self.tries[order] += np.bincount(trust, minlength=CONFIDENCE)
-            self.hits[order] += np.bincount(trust[hit], minlength=CONFIDENCE)
-            change = ~hit & (trust <= 1)
+            # the place in NEXT: the confidence, and behind all of them that with a hit
+            place = trust + (guess == ids) * CONFIDENCE
+            missed, hit = np.bincount(place, minlength=2 * CONFIDENCE).reshape(2, CONFIDENCE)
+            self.tries[order] += missed + hit
+            self.hits[order] += hit
+            change = np.flatnonzero(place <= 1)
             after[at[change]] = ids[change]
-            sure[at] = NEXT.take(trust + hit * CONFIDENCE)
+            sure[at] = NEXT.take(place)
         np.add.at(self.counts, ids, GAIN)
         self.two[:active] = one
         self.one[:active] = ids
@@ -180,11 +184,10 @@ def decode(data: bytes, n: int, vocabulary: int, magic: bytes = MAGIC) -> np.nda
         past_b = past_a & (rest >= models.sums[b + 1] * k0 + kb)
         in_a, in_b = ~past_a & (value >= from_a), past_a & ~past_b & (rest >= from_b)
         x = np.where(in_a, a, b)
-        # what no prediction holds is looked up, in order, which keeps to the same part of the table
         other = np.flatnonzero(~(in_a | in_b))
-        own = (rest[other] - kb[other] * past_b[other]) // k0[other]
-        order = np.argsort(own)
-        x[other[order]] = np.searchsorted(models.sums, own[order], side="right") - 1
+        # whole numbers below 2^44 over weights up to 256: the quotient's floor is exact as a double
+        own = ((rest[other] - kb[other] * past_b[other]) / k0[other]).astype(np.int64)
+        x[other] = _looked_up(models.sums, own)
         x = np.minimum(x, vocabulary - 1)
         start = models.sums[x] * k0 + total * (k1 * (g1 < x) + k2 * (g2 < x))
         size = models.held[x] * k0 + total * (k1 * (g1 == x) + k2 * (g2 == x))
@@ -196,6 +199,16 @@ def decode(data: bytes, n: int, vocabulary: int, magic: bytes = MAGIC) -> np.nda
     return out
 
 
+def _looked_up(sums: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The ids in whose share of the sums the values lie; asked nearly in order, which keeps to the same part of the table."""
+    # 16 bits are ordered by their digits, faster than whole values
+    shift = max(0, int(sums[-1]).bit_length() - 16)
+    order = np.argsort((values >> shift).astype(np.uint16), kind="stable")
+    found = np.empty(len(values), np.int64)
+    found[order] = np.searchsorted(sums, values[order], side="right") - 1
+    return found
+
+
 def _shift_in(low: np.ndarray, width: np.ndarray, code: np.ndarray, words: np.ndarray, at: np.ndarray, active: int) -> None:
     lane = _settled(low[:active], width[:active])
     while len(lane):
