@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tallyport.llm.bloom import BlockedBloom
 from tallyport.llm.graph import components
 from tallyport.llm.tables import flagged, written
 
@@ -18,13 +19,13 @@ BLOCK = 1024
 CROWD, TURNS, LEVELS = 1024, 1, 4
 
 
-def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The size of the intersection of each pair."""
+def _overlaps(batches: Iterator[pa.RecordBatch], kind: type = np.uint64) -> Iterator[pa.RecordBatch]:
+    """The size of the intersection of each pair; of shortened sets a bound from above."""
     for batch in batches:
         left, right = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
         shared = np.zeros(batch.num_rows, np.int32)
         for k in range(batch.num_rows):
-            x, y = (np.frombuffer(side[k].as_buffer(), np.uint64) for side in (left, right))
+            x, y = (np.frombuffer(side[k].as_buffer(), kind) for side in (left, right))
             if len(x) > len(y):
                 x, y = y, x
             at = np.searchsorted(y, x)
@@ -32,6 +33,13 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([*batch.columns[:-2], pa.array(shared)], names=["x", "xn", "y", "yn", "shared"])
 
 
+def _shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sets with 16 bits of each shingle. Shared shingles agree in them, others by chance."""
+    for batch in batches:
+        short = [np.sort(np.frombuffer(s.as_buffer(), np.uint64).astype(np.uint16)).tobytes() for s in batch.column(2)]
+        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(short, pa.binary())], names=["name", "n", "shingles"])
+
+
 def node(name: str = "name", n: str = "n") -> Column:
     return F.struct(F.col(n).alias("n"), F.col(name).alias("name"))
 
@@ -58,7 +66,7 @@ class CellJoin:
 
     `split` gets the rows (cell, name, n, place) of crowded cells and the number of divisions before
     and with this one, and returns the rows of finer cells, such that each pair that may be linked shares one
-    of them. A crowd that is still one after `LEVELS` divisions is compared whole, in blocks.
+    of them. A crowd that is still one after `levels` divisions is compared whole, in blocks.
     """
 
     def __init__(
@@ -68,21 +76,44 @@ class CellJoin:
         split: Callable[[DataFrame, int], DataFrame],
         block: int = BLOCK,
         crowd: int = CROWD,
+        turns: int = TURNS,
+        levels: int = LEVELS,
     ):
         self.fetch, self.percent, self.split, self.block, self.crowd = fetch, percent, split, block, crowd
+        self.turns, self.levels = turns, levels
 
-    def _verified(self, pairs: DataFrame) -> DataFrame:
-        """Pairs with the exact size of their intersection."""
-        ends = pairs.select(F.explode(F.array(node("x", "xn"), node("y", "yn"))).alias("end")).select("end.n", "end.name")
-        sets = self.fetch(ends.distinct())
+    @staticmethod
+    def _compared(pairs: DataFrame, sets: DataFrame, kind: type = np.uint64) -> DataFrame:
         x = sets.select(F.col("name").alias("x"), F.col("n").alias("xn"), F.col("shingles").alias("xs"))
         y = sets.select(F.col("name").alias("y"), F.col("n").alias("yn"), F.col("shingles").alias("ys"))
         both = pairs.join(x, ["x", "xn"]).join(y, ["y", "yn"]).select(*PAIR, "xs", "ys")
-        return both.mapInArrow(_overlaps, "x long, xn int, y long, yn int, shared int")
+        return both.mapInArrow(lambda it: _overlaps(it, kind), "x long, xn int, y long, yn int, shared int")
 
-    def _linked(self, tested: DataFrame) -> DataFrame:
+    @staticmethod
+    def _ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.explode(F.array(node("x", "xn"), node("y", "yn"))).alias("end")).select("end.n", "end.name").distinct()
+
+    def _verified(self, pairs: DataFrame, bounded: bool) -> DataFrame:
+        """Pairs with the exact size of their intersection; `bounded`: of pairs that cannot be linked a bound of it.
+
+        The bound comes from shortened sets, so whole sets are moved for few pairs besides the links.
+        """
+        sets = self.fetch(self._ends(pairs))
+        if not bounded:
+            return self._compared(pairs, sets)
+        short = sets.select("name", "n", "shingles").mapInArrow(_shortened, "name long, n int, shingles binary")
+        bounds = written(self._compared(pairs, short, np.uint16), "bounds")
+        likely = self._linked(bounds).select(*PAIR)
+        key = F.xxhash64("n", "name")
+        whole = BlockedBloom(written(self._ends(likely), "ends"), key).pass_through(sets, key)
+        return bounds.where(~self._similar()).unionByName(self._compared(likely, whole))
+
+    def _similar(self) -> Column:
         union = F.col("xn") + F.col("yn") - F.col("shared")
-        return tested.where(F.lit(100).cast("long") * F.col("shared") >= F.lit(self.percent).cast("long") * union)
+        return F.lit(100).cast("long") * F.col("shared") >= F.lit(self.percent).cast("long") * union
+
+    def _linked(self, tested: DataFrame) -> DataFrame:
+        return tested.where(self._similar())
 
     def _sizes_fit(self) -> Column:
         small, large = F.least("xn", "yn").cast("long"), F.greatest("xn", "yn").cast("long")
@@ -110,18 +141,25 @@ class CellJoin:
         most = (100 * n - (100 + p) * place) / p
         sized = rows.withColumns({"size": size_class(n), "low": size_class(least), "most": F.floor(most)}).where("most >= 1")
         sized = sized.withColumn("high", size_class(F.col("most"))).drop("most").where("low <= high")
-        offered = sized.select("cell", F.col("size").alias("theirs"), F.explode(F.sequence("low", "high")).alias("size")).distinct()
-        asked = offered.groupBy("cell", "size").agg(F.collect_set("theirs").alias("askers"))  # a handful of classes
+        # a handful of classes for each cell, however many members it has
+        classes = sized.select("cell", F.col("size").alias("theirs"), "low", "high").distinct()
+        offered = classes.select("cell", "theirs", F.explode(F.sequence("low", "high")).alias("size")).distinct()
+        asked = offered.groupBy("cell", "size").agg(F.collect_set("theirs").alias("askers"))
         met = sized.join(asked, ["cell", "size"])
         return met.where(F.exists("askers", lambda c: c.between(F.col("low"), F.col("high")))).drop("askers")
 
-    def _pairs(self, chosen: DataFrame, rows: DataFrame) -> DataFrame:
-        """Pairs of a chosen member and another of its cell, in different components and of sizes that fit."""
+    def _pairs(self, chosen: DataFrame, rows: DataFrame, all_apart: bool = False) -> DataFrame:
+        """Pairs of a chosen member and another of its cell, in different components and of sizes that fit.
+
+        `all_apart`: chosen are all members outside the largest component, so two of them are met once.
+        """
         a = chosen.select(
             "cell", placed().alias("a"), F.col("component").alias("own"), F.col("size").alias("a_size"), F.explode(F.sequence("low", "high")).alias("size")
         )
-        b = rows.select("cell", placed().alias("b"), "component", "size", "low", "high")
+        b = rows.select("cell", placed().alias("b"), "component", "main", "size", "low", "high")
         met = a.join(b, ["cell", "size"]).where((F.col("own") != F.col("component")) & F.col("a_size").between(F.col("low"), F.col("high")))
+        if all_apart:
+            met = met.where((F.col("component") == F.col("main")) | (F.col("a") < F.col("b")))
         return met.select(*pair(F.col("a"), F.col("b")))
 
     def _with_components(self, rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -190,11 +228,11 @@ class CellJoin:
         ).select(F.xxhash64("cell", "ring").alias("cell"), "name", "n", "place")
 
     def _tested(self, pairs: DataFrame, before: DataFrame | None) -> DataFrame:
-        """The exact overlaps of pairs that may be linked and were not tested before."""
+        """The overlaps of pairs that may be linked and were not tested before."""
         fresh = pairs.where(self._sizes_fit() & self._within_reach()).select(*PAIR).distinct()
         if before is not None:
             fresh = fresh.join(before, PAIR, "left_anti")
-        return written(self._verified(written(fresh, "pairs")).distinct(), "tested")
+        return written(self._verified(written(fresh, "pairs"), before is not None).distinct(), "tested")
 
     @staticmethod
     def _turn(rows: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
@@ -226,17 +264,17 @@ class CellJoin:
                 return self._linked(tested)
             rows = rows.join(state, "cell")
             level += 1
-            if level <= TURNS + LEVELS:
+            if level <= self.turns + self.levels:
                 crowded = F.col("apart") > self.crowd
                 likely = written(self._with_partners(rows), "likely")
                 some, crowds = likely.where(~crowded), likely.where(crowded)
                 more = flagged(crowds)
-                pairs = self._pairs(some.where("component != main"), some)
-                if more and level <= TURNS:
+                pairs = self._pairs(some.where("component != main"), some, all_apart=True)
+                if more and level <= self.turns:
                     pivots, rows = self._turn(crowds, self.crowd)
                     pairs = pairs.unionByName(self._pairs(pivots, crowds))
                 elif more:
-                    rows = written(self.split(crowds.select("cell", "name", "n", "place"), level - TURNS), "finer")
+                    rows = written(self.split(crowds.select("cell", "name", "n", "place"), level - self.turns), "finer")
             else:
                 likely = written(self._with_partners(rows), "likely")
                 chosen, rows = self._turn(likely, self.block)

@@ -97,6 +97,32 @@ def test_edited_copies_need_few_comparisons(spark, monkeypatch):
     assert sum(made[1:]) < 1000
 
 
+def test_whole_sets_are_compared_for_likely_pairs_only(spark, monkeypatch):
+    # 40 sets of 400 to 447 shingles: neighbours by number are linked, all others share fewer
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**63, 400 + 40 * 40, dtype=np.uint64)
+    sets = {k: np.sort(base[40 * k : 40 * k + 400 + k]) for k in range(40)}
+    held = spark.createDataFrame([(k, len(s), bytearray(s.tobytes())) for k, s in sets.items()], "name long, n int, shingles binary")
+    pairs = [(a, len(sets[a]), b, len(sets[b])) for a in sets for b in sets if a < b]
+    whole, compared = [], CellJoin._compared
+
+    def counted(pairs, sets, kind=np.uint64):
+        whole.append(pairs.count() if kind is np.uint64 else 0)
+        return compared(pairs, sets, kind)
+
+    monkeypatch.setattr(CellJoin, "_compared", staticmethod(counted))
+    join = CellJoin(lambda nodes: held, 75, None)
+    found = join._verified(spark.createDataFrame(pairs, "x long, xn int, y long, yn int"), True).collect()
+    assert len(found) == len(pairs) and sum(whole) < 60
+    links = 0
+    for r in found:
+        shared = len(np.intersect1d(sets[r.x], sets[r.y]))
+        linked = 100 * shared >= 75 * (r.xn + r.yn - shared)
+        links += linked
+        assert r.shared == shared if linked else shared <= r.shared and 100 * r.shared < 75 * (r.xn + r.yn - r.shared)
+    assert links == 39
+
+
 def test_chance_does_not_part_regions():
     class Sketch:
         value = np.full(SKETCH, 5000)
