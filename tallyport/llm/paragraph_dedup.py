@@ -20,8 +20,9 @@ MIN_WORDS = 8
 # Share of the pairs at the threshold that the bands must bring together.
 RECALL = 0.999
 ROWS = 2
-# Paragraphs of a cell outside its largest component; more of them are banded again.
+# Paragraphs of a cell outside its largest component; more of them are banded again, by so many values in a band.
 CROWD = 64
+FINER_ROWS = (8, 12, 16)
 
 
 def tuned(threshold: float, recall: float = RECALL, rows: int = ROWS) -> int:
@@ -29,8 +30,8 @@ def tuned(threshold: float, recall: float = RECALL, rows: int = ROWS) -> int:
     return int(np.ceil(np.log(1 - recall) / np.log(1 - threshold**rows)))
 
 
-def _multipliers(n: int) -> np.ndarray:
-    return np.random.default_rng(97).integers(1, 2**62, n, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+def _multipliers(n: int, level: int = 0) -> np.ndarray:
+    return np.random.default_rng(97 + level).integers(1, 2**62, n, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def paragraphs(texts: list[bytes], min_words: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -123,32 +124,45 @@ def _sets(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.Reco
 
 
 def _banded(batches: Iterator[pa.RecordBatch], bands: int, rows: int, level: int) -> Iterator[pa.RecordBatch]:
-    """The finer cells of each member of a cell: bands of values that no level before has used."""
-    factors = _multipliers(bands * rows * (level + 1))[bands * rows * level :]
+    """The finer cells of each set: bands of values that no level before has used."""
+    factors = _multipliers(bands * rows, level)
     for batch in _pieces(batches):
-        held = [np.frombuffer(packed.as_buffer(), np.uint64) for packed in batch.column(3)]
+        held = [np.frombuffer(packed.as_buffer(), np.uint64) for packed in batch.column(2)]
         if not held:
             continue
         starts = np.concatenate([[0], np.cumsum([len(h) for h in held])[:-1]]).astype(np.int64)
-        found, cell = np.concatenate(held), batch.column(0).to_numpy().view(np.uint64)
+        found = np.concatenate(held)
         keys = []
         for band in range(bands):
-            key = shingles.mixed(cell + np.uint64(band))
+            key = np.full(len(held), level << 32 | band, np.uint64)
             for k in range(rows):
                 least = np.minimum.reduceat(shingles.mixed(found * factors[band * rows + k]), starts)
                 key = shingles.mixed(key + least * np.uint64(2 * k + 3))
             keys.append(key.view(np.int64))
         yield pa.record_batch(
-            [pa.array(np.concatenate(keys)), *(pa.concat_arrays([batch.column(c)] * bands) for c in (1, 2))], names=["cell", "name", "n"]
+            [pa.array(np.concatenate(keys)), *(pa.concat_arrays([batch.column(c)] * bands) for c in (0, 1))], names=["cell", "name", "n"]
         )
 
 
-def _rebanded(crowds: DataFrame, fetch: Callable[[DataFrame], DataFrame], bands: int, rows: int, level: int) -> DataFrame:
-    """Crowded cells divided by as many bands again, so a pair stays together with the same recall."""
-    sets = fetch(crowds.select("n", "name").distinct())
-    both = crowds.join(sets, ["n", "name"]).select("cell", "name", "n", "shingles")
-    finer = both.mapInArrow(lambda it: _banded(it, bands, rows, level), "cell long, name long, n int")
-    return finer.distinct().withColumn("place", F.lit(0))
+def _several(banded: DataFrame, name: str) -> DataFrame:
+    """Rows (cell, name, n, place) of cells that hold several sets."""
+    several = banded.groupBy("cell").agg(F.min("name").alias("lo"), F.max("name").alias("hi")).where("lo != hi").select("cell")
+    several = written(several, name)
+    likely = BlockedBloom(several, F.col("cell")).pass_through(banded, F.col("cell"))
+    kept = likely.distinct().join(several, "cell", "left_semi")
+    return kept.select("cell", "name", "n", F.lit(0).alias("place"))
+
+
+def _rebanded(crowds: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int, recall: float, level: int) -> DataFrame:
+    """The members of crowded cells in bands of more values, found with the same recall.
+
+    Members that share several crowded cells meet again once: the finer cells are the bands' own.
+    """
+    rows = FINER_ROWS[level - 1]
+    bands = tuned(percent / 100, recall, rows)
+    sets = fetch(crowds.select("n", "name").distinct()).select("name", "n", "shingles")
+    finer = sets.mapInArrow(lambda it: _banded(it, bands, rows, level), "cell long, name long, n int")
+    return _several(written(finer, "finer_bands"), "finer_several")
 
 
 class ParagraphDedup:
@@ -189,7 +203,8 @@ class ParagraphDedup:
         self.nodes = written(self.places.groupBy("n", "name").agg(F.min(place).alias("first"), F.count("*").alias("times")), "nodes")
         cells = self._cells()
         fetch = lambda nodes: self._wanted_sets(nodes, min_words)
-        found = CellJoin(fetch, percent, lambda crowds, level: _rebanded(crowds, fetch, bands, rows, level), crowd=CROWD)
+        finer = lambda crowds, level: _rebanded(crowds, fetch, percent, recall, level)
+        found = CellJoin(fetch, percent, finer, crowd=CROWD, turns=0, levels=len(FINER_ROWS))
         self.links = found.join(cells)
         self.removals = self._removals(found.labels)
         self.passages = passages.passages(self.input, self.removals, percent)
@@ -197,11 +212,7 @@ class ParagraphDedup:
     def _cells(self) -> DataFrame:
         """Rows (cell, name, n, place) of bands that hold several sets."""
         banded = self.rows.where("paragraph >= 0").select(F.explode("keys").alias("cell"), "name", "n")
-        several = banded.groupBy("cell").agg(F.min("name").alias("lo"), F.max("name").alias("hi")).where("lo != hi").select("cell")
-        several = written(several, "bands")
-        likely = BlockedBloom(several, F.col("cell")).pass_through(banded, F.col("cell"))
-        kept = likely.distinct().join(several, "cell", "left_semi")
-        return written(kept.select("cell", "name", "n", F.lit(0).alias("place")), "cells")
+        return written(_several(banded, "bands"), "cells")
 
     def _wanted_sets(self, nodes: DataFrame, min_words: int) -> DataFrame:
         wanted = nodes.join(self.nodes, ["n", "name"]).select("first.doc", "first.paragraph")
