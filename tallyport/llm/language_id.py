@@ -125,12 +125,15 @@ def _scored(batches: Iterator[pa.RecordBatch], sent, pages: bool) -> Iterator[pa
         )
 
 
-def _normal(logs: list[Column]) -> list[Column]:
-    """Probabilities from log values."""
-    top = F.greatest(*logs) if len(logs) > 1 else logs[0]
-    powers = [F.exp(x - top) for x in logs]
-    total = sum(powers[1:], powers[0])
-    return [p / total for p in powers]
+def _normalised(rows: DataFrame, logs: str, out: str) -> DataFrame:
+    """Adds `out`: probabilities from an array of log values. Columns of arrays keep the plan short for any number of languages."""
+    powers = rows.withColumn("__top", F.array_max(logs)).withColumn("__powers", F.transform(logs, lambda x: F.exp(x - F.col("__top"))))
+    total = powers.withColumn("__total", _total("__powers"))
+    return total.withColumn(out, F.transform("__powers", lambda p: p / F.col("__total"))).drop("__top", "__powers", "__total")
+
+
+def _total(values: str) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
 
 
 def _columns(name: str, n: int) -> list[Column]:
@@ -152,9 +155,9 @@ def fused(evidence: DataFrame, languages: list[str]) -> DataFrame:
         empty = F.lit(None).cast("string")
         return evidence.select("key", "declared", "host", empty.alias("lang"), F.lit(0.0).alias("p"), empty.alias("text_lang"))
     flat = F.array(*[F.lit(1.0 / n)] * n)
-    alone = F.when(F.col("scores").isNull(), flat).otherwise(F.array(*_normal(_columns("scores", n))))
     domain = F.substring_index("host", ".", -2)
-    rows = written(evidence.withColumns({"alone": alone, "domain": domain}), "evidence")
+    scored = _normalised(evidence, "scores", "alone").withColumns({"alone": F.coalesce("alone", flat), "domain": domain})
+    rows = written(scored, "evidence")
     sums = [F.sum(c).alias(f"s{k}") for k, c in enumerate(_columns("alone", n))]
     whole = rows.agg(*sums).first()  # one row
     masses = [whole[k] or 0.0 for k in range(n)]
@@ -170,9 +173,9 @@ def fused(evidence: DataFrame, languages: list[str]) -> DataFrame:
 
     by_host = rows.where("host is not null").groupBy("host", "domain").agg(*sums)
     by_domain = by_host.groupBy("domain").agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(n)])
-    size = sum((F.col(f"s{k}") for k in range(1, n)), F.col("s0"))
-    domain_prior = by_domain.select(
-        F.col("domain").alias("__d"), F.array(*[(F.col(f"s{k}") + KAPPA * overall[k]) / (size + KAPPA) for k in range(n)]).alias("wider")
+    held = by_domain.select(F.col("domain").alias("__d"), F.array(*[F.col(f"s{k}") for k in range(n)]).alias("__s")).withColumn("__size", _total("__s"))
+    domain_prior = held.select(
+        "__d", F.array(*[(F.col("__s")[k] + KAPPA * overall[k]) / (F.col("__size") + KAPPA) for k in range(n)]).alias("wider")
     )
     hosts = by_host.join(domain_prior, F.col("domain") == F.col("__d")).select(
         F.col("host").alias("__host"), F.array(*[F.col(f"s{k}") for k in range(n)]).alias("seen"), "wider"
@@ -183,15 +186,16 @@ def fused(evidence: DataFrame, languages: list[str]) -> DataFrame:
         .join(likelihoods("suffix"), F.col("suffix") == F.col("__suffix"), "left")
     )
     seen, wider = _columns("seen", n), _columns("wider", n)
-    others = sum(seen[1:], seen[0]) - 1
+    others = F.col("__others")
     logs = []
     for k in range(n):
         prior = F.coalesce((F.greatest(seen[k] - F.col("alone")[k], F.lit(0.0)) + KAPPA * wider[k]) / (others + KAPPA), F.lit(overall[k]))
         log = F.log(prior) + F.coalesce(F.col("declared_log")[k], F.lit(0.0)) + F.coalesce(F.col("suffix_log")[k], F.lit(0.0))
         logs.append(log + F.coalesce(F.col("scores")[k], F.lit(0.0)))
-    best = lambda ps: F.greatest(*[F.struct(p.alias("p"), F.lit(name).alias("lang")) for p, name in zip(ps, languages, strict=True)])
-    pick = best if n > 1 else (lambda ps: F.struct(ps[0].alias("p"), F.lit(languages[0]).alias("lang")))
-    final = joined.withColumns({"__best": pick(_normal(logs)), "__text": pick(_columns("alone", n))})
+    summed = joined.withColumn("__others", _total("seen") - 1).withColumn("__logs", F.array(*logs))
+    names = F.array(*[F.lit(name) for name in languages])
+    best = lambda ps: F.array_max(F.zip_with(ps, names, lambda p, lang: F.struct(p.alias("p"), lang.alias("lang"))))
+    final = _normalised(summed, "__logs", "__p").withColumns({"__best": best("__p"), "__text": best("alone")})
     return final.select(
         "key", "declared", "host",
         F.col("__best.lang").alias("lang"), F.col("__best.p").alias("p"),
