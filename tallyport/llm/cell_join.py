@@ -66,7 +66,7 @@ class CellJoin:
 
     `split` gets the rows (cell, name, n, place) of crowded cells and the number of divisions before
     and with this one, and returns the rows of finer cells, such that each pair that may be linked shares one
-    of them. A crowd that is still one after `levels` divisions is compared whole, in blocks.
+    of them. Cells of more than `most_pairs` pairs to compare count as crowded too. A crowd that is still one after `levels` divisions is compared whole, in blocks.
     """
 
     def __init__(
@@ -78,9 +78,10 @@ class CellJoin:
         crowd: int = CROWD,
         turns: int = TURNS,
         levels: int = LEVELS,
+        most_pairs: int | None = None,
     ):
         self.fetch, self.percent, self.split, self.block, self.crowd = fetch, percent, split, block, crowd
-        self.turns, self.levels = turns, levels
+        self.turns, self.levels, self.most_pairs = turns, levels, most_pairs
 
     @staticmethod
     def _compared(pairs: DataFrame, sets: DataFrame, kind: type = np.uint64) -> DataFrame:
@@ -180,6 +181,11 @@ class CellJoin:
         of = cells.groupBy("cell").agg(F.count("*").alias("members"), F.min(order).alias("p")).where("members > 1")
         return of.select("cell", "members", F.struct("p.n", "p.name", "p.place").alias("pivot"))
 
+    @staticmethod
+    def _around(rows: DataFrame) -> DataFrame:
+        """The pairs of the members with the pivot of their cell."""
+        return rows.where(placed() != F.col("pivot")).select(*pair(placed(), F.col("pivot")))
+
     @staticmethod
     def _open(rows: DataFrame) -> DataFrame:
         """Cells that hold several components, with the largest one and the number of members outside it.
@@ -208,7 +214,7 @@ class CellJoin:
             .where("parts > 1")
             .groupBy("members", "same", "mixed")
             .agg(F.min(F.struct("places", "cell", "largest")).alias("c"))
-            .select("c.cell", F.col("c.largest.component").alias("main"), (F.col("members") - F.col("c.largest.k")).alias("apart"))
+            .select("c.cell", "members", F.col("c.largest.component").alias("main"), (F.col("members") - F.col("c.largest.k")).alias("apart"))
         )
 
     def _rings(self, rows: DataFrame, tested: DataFrame) -> DataFrame:
@@ -251,7 +257,7 @@ class CellJoin:
         """
         # every cell against its pivot
         rows = written(cells.join(self._pivots(cells), "cell"), "rows")
-        tested = self._tested(rows.where(placed() != F.col("pivot")).select(*pair(placed(), F.col("pivot"))), None)
+        tested = self._tested(self._around(rows), None)
         # a cell of two is settled
         rows = written(self._rings(rows.where("members > 2"), tested).distinct(), "rings")
         level = 0
@@ -266,6 +272,8 @@ class CellJoin:
             level += 1
             if level <= self.turns + self.levels:
                 crowded = F.col("apart") > self.crowd
+                if self.most_pairs is not None:
+                    crowded |= F.col("apart") * F.col("members") > self.most_pairs
                 likely = written(self._with_partners(rows), "likely")
                 some, crowds = likely.where(~crowded), likely.where(crowded)
                 more = flagged(crowds)
@@ -275,6 +283,8 @@ class CellJoin:
                     pairs = pairs.unionByName(self._pairs(pivots, crowds))
                 elif more:
                     rows = written(self.split(crowds.select("cell", "name", "n", "place"), level - self.turns), "finer")
+                    # finer cells meet their pivots first: what these link is not compared with one another
+                    pairs = pairs.unionByName(self._around(rows.join(self._pivots(rows), "cell")))
             else:
                 likely = written(self._with_partners(rows), "likely")
                 chosen, rows = self._turn(likely, self.block)

@@ -23,6 +23,8 @@ ROWS = 2
 # Paragraphs of a cell outside its largest component; more of them are banded again, by so many values in a band.
 CROWD = 64
 FINER_ROWS = (8, 12, 16)
+# Pairs of a cell that are compared before it counts as crowded too.
+MOST_PAIRS = CROWD * CROWD
 
 
 def tuned(threshold: float, recall: float = RECALL, rows: int = ROWS) -> int:
@@ -204,7 +206,7 @@ class ParagraphDedup:
         cells = self._cells()
         fetch = lambda nodes: self._wanted_sets(nodes, min_words)
         finer = lambda crowds, level: _rebanded(crowds, fetch, percent, recall, level)
-        found = CellJoin(fetch, percent, finer, crowd=CROWD, turns=0, levels=len(FINER_ROWS))
+        found = CellJoin(fetch, percent, finer, crowd=CROWD, turns=0, levels=len(FINER_ROWS), most_pairs=MOST_PAIRS)
         self.links = found.join(cells)
         self.removals = self._removals(found.labels)
         self.passages = passages.passages(self.input, self.removals, percent)
