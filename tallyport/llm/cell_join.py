@@ -19,13 +19,25 @@ BLOCK = 1024
 CROWD, TURNS, LEVELS = 1024, 1, 4
 
 
+def short(found: np.ndarray) -> bytes:
+    """16 bits of each shingle of a set, in order: all low bytes, then all high ones, of which many are alike."""
+    return np.sort(found.astype(np.uint16)).view(np.uint8).reshape(-1, 2).T.tobytes()
+
+
+def members(packed: pa.Buffer, kind: type) -> np.ndarray:
+    """The sorted members of a whole set or a shortened one."""
+    if kind is np.uint64:
+        return np.frombuffer(packed, kind)
+    return np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(2, -1).T).view(np.uint16).reshape(-1)
+
+
 def _overlaps(batches: Iterator[pa.RecordBatch], kind: type = np.uint64) -> Iterator[pa.RecordBatch]:
     """The size of the intersection of each pair; of shortened sets a bound from above."""
     for batch in batches:
         left, right = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
         shared = np.zeros(batch.num_rows, np.int32)
         for k in range(batch.num_rows):
-            x, y = (np.frombuffer(side[k].as_buffer(), kind) for side in (left, right))
+            x, y = (members(side[k].as_buffer(), kind) for side in (left, right))
             if len(x) > len(y):
                 x, y = y, x
             at = np.searchsorted(y, x)
@@ -36,8 +48,8 @@ def _overlaps(batches: Iterator[pa.RecordBatch], kind: type = np.uint64) -> Iter
 def _shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sets with 16 bits of each shingle. Shared shingles agree in them, others by chance."""
     for batch in batches:
-        short = [np.sort(np.frombuffer(s.as_buffer(), np.uint64).astype(np.uint16)).tobytes() for s in batch.column(2)]
-        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(short, pa.binary())], names=["name", "n", "shingles"])
+        packed = [short(np.frombuffer(s.as_buffer(), np.uint64)) for s in batch.column(2)]
+        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], names=["name", "n", "shingles"])
 
 
 def node(name: str = "name", n: str = "n") -> Column:
@@ -67,6 +79,9 @@ class CellJoin:
     `split` gets the rows (cell, name, n, place) of crowded cells and the number of divisions before
     and with this one, and returns the rows of finer cells, such that each pair that may be linked shares one
     of them. Cells of more than `most_pairs` pairs to compare count as crowded too. A crowd that is still one after `levels` divisions is compared whole, in blocks.
+
+    `fetch_short`, if given, does what `fetch` does for shortened sets. All pairs are compared by them first, and `fetch` is asked
+    only for the sets of pairs that they admit.
     """
 
     def __init__(
@@ -79,9 +94,10 @@ class CellJoin:
         turns: int = TURNS,
         levels: int = LEVELS,
         most_pairs: int | None = None,
+        fetch_short: Callable[[DataFrame], DataFrame] | None = None,
     ):
         self.fetch, self.percent, self.split, self.block, self.crowd = fetch, percent, split, block, crowd
-        self.turns, self.levels, self.most_pairs = turns, levels, most_pairs
+        self.turns, self.levels, self.most_pairs, self.fetch_short = turns, levels, most_pairs, fetch_short
 
     @staticmethod
     def _compared(pairs: DataFrame, sets: DataFrame, kind: type = np.uint64) -> DataFrame:
@@ -99,16 +115,25 @@ class CellJoin:
 
         The bound comes from shortened sets, so whole sets are moved for few pairs besides the links.
         """
-        sets = self.fetch(self._ends(pairs))
-        if not bounded:
-            return self._compared(pairs, sets)
-        short = sets.select("name", "n", "shingles").mapInArrow(_shortened, "name long, n int, shingles binary")
-        bounds = written(self._compared(pairs, short, np.uint16), "bounds")
-        likely = self._linked(bounds).select(*PAIR)
-        key = F.xxhash64("n", "name")
-        whole = BlockedBloom(written(self._ends(likely), "ends"), key).pass_through(sets, key)
+        if self.fetch_short is not None:
+            bounds, likely, ends = self._bounds(pairs, self.fetch_short(self._ends(pairs)))
+            whole = self.fetch(ends)
+        else:
+            sets = self.fetch(self._ends(pairs))
+            if not bounded:
+                return self._compared(pairs, sets)
+            short_sets = sets.select("name", "n", "shingles").mapInArrow(_shortened, "name long, n int, shingles binary")
+            bounds, likely, ends = self._bounds(pairs, short_sets)
+            key = F.xxhash64("n", "name")
+            whole = BlockedBloom(ends, key).pass_through(sets, key)
         return bounds.where(~self._similar()).unionByName(self._compared(likely, whole))
 
+    def _bounds(self, pairs: DataFrame, short_sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Pairs with a bound of their overlap, those that may be linked, and the sets of these."""
+        bounds = written(self._compared(pairs, short_sets, np.uint16), "bounds")
+        likely = self._linked(bounds).select(*PAIR).distinct()
+        return bounds, likely, written(self._ends(likely), "ends")
+
     def _similar(self) -> Column:
         union = F.col("xn") + F.col("yn") - F.col("shared")
         return F.lit(100).cast("long") * F.col("shared") >= F.lit(self.percent).cast("long") * union

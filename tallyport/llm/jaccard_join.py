@@ -23,7 +23,7 @@ already, or by a bound (triangle inequality, sizes, or the place of the region's
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyport.llm import shingles
 from tallyport.llm.bloom import BlockedBloom
-from tallyport.llm.cell_join import BLOCK, CROWD, CellJoin, node
+from tallyport.llm.cell_join import BLOCK, CROWD, CellJoin, node, short
 from tallyport.llm.registry import query
 from tallyport.llm.tables import table, written
 
@@ -154,16 +154,17 @@ def _next_shingles(batches: Iterator[pa.RecordBatch], percent: int, level: int,
             yield pa.record_batch([pa.array(np.concatenate(c)) for c in (cells, names, sizes, places)], names=["cell", "name", "n", "place"])
 
 
-def _packed(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+def _packed(batches: Iterator[pa.RecordBatch], words: int, pack: Callable[[np.ndarray], bytes]) -> Iterator[pa.RecordBatch]:
     for batch in _parts(batches):
-        held = list(shingles.sets((t.as_buffer() if t.is_valid else None for t in batch.column(0)), words))
+        held = list(shingles.sets((t.as_buffer() if t.is_valid else None for t in batch.column(1)), words))
         yield pa.record_batch(
             [
+                batch.column(0),
                 pa.array([shingles.fingerprint(s) for s in held], pa.int64()),
                 pa.array([len(s) for s in held], pa.int32()),
-                pa.array([s.tobytes() for s in held], pa.binary()),
+                pa.array([pack(s) for s in held], pa.binary()),
             ],
-            names=["name", "n", "shingles"],
+            names=["id", "name", "n", "shingles"],
         )
 
 
@@ -199,7 +200,9 @@ class JaccardJoin:
         self.nodes = self.documents.where("n > 0").groupBy("n", "name").agg(F.min("id").alias("least"))
         self.sketch = self._sketch(described)
         cells = self._first_cells(self.sketch)
-        found = CellJoin(self._packed_sets, percent, self._finer, block, crowd)
+        found = CellJoin(
+            self._packed_sets, percent, self._finer, block, crowd, fetch_short=lambda nodes: self._packed_sets(nodes, short)
+        )
         self.links = found.join(cells)
         self.labels = found.labels
 
@@ -258,13 +261,18 @@ class JaccardJoin:
         both = rows.join(sets, ["n", "name"]).select("cell", "name", "n", "place", "shingles")
         return both.mapInArrow(lambda it: _next_shingles(it, percent, level, sketch), "cell long, name long, n int, place int").distinct()
 
-    def _packed_sets(self, nodes: DataFrame) -> DataFrame:
-        """The sets of these names, made again from one text of each."""
+    def _packed_sets(self, nodes: DataFrame, pack: Callable[[np.ndarray], bytes] = np.ndarray.tobytes) -> DataFrame:
+        """The sets of these names, made again from one text of each.
+
+        Two filters stand for exact joins, so that no text is moved. A set that passes them in error has a name that nothing
+        asks for, or comes twice.
+        """
         wanted = written(nodes.join(self.nodes, ["n", "name"]).select("n", "name", F.col("least").alias("wanted")), "wanted")
         likely = BlockedBloom(wanted, F.col("wanted")).pass_through(self.input, F.col("id"))
-        texts = likely.join(wanted, F.col("id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
         words = self.words
-        return written(texts.mapInArrow(lambda it: _packed(it, words), "name long, n int, shingles binary"), "sets")
+        sets = likely.mapInArrow(lambda it: _packed(it, words, pack), "id long, name long, n int, shingles binary")
+        named = BlockedBloom(wanted, F.xxhash64("wanted", "n", "name")).pass_through(sets, F.xxhash64("id", "n", "name"))
+        return written(named.select("name", "n", "shingles"), "sets")
 
     def classes(self) -> DataFrame:
         in_class = self.nodes.join(self.labels, ["n", "name"], "left").withColumn("component", F.coalesce("component", node()))

@@ -123,6 +123,27 @@ def test_whole_sets_are_compared_for_likely_pairs_only(spark, monkeypatch):
     assert links == 39
 
 
+def test_first_round_compares_short_sets_too(spark, monkeypatch):
+    # versions of a text with one to 30 changed words in 200: most pairs with a pivot are not linked
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(200)]
+    rows = []
+    for k in range(150):
+        changed = list(words)
+        for at in rng.sample(range(200), rng.randint(1, 30)):
+            changed[at] = f"x{rng.randrange(10**6)}"
+        rows.append((k, " ".join(changed)))
+    made, compared = {np.uint64: 0, np.uint16: 0}, CellJoin._compared
+
+    def counted(pairs, sets, kind=np.uint64):
+        made[kind] += pairs.count()
+        return compared(pairs, sets, kind)
+
+    monkeypatch.setattr(CellJoin, "_compared", staticmethod(counted))
+    links = JaccardJoin(spark.createDataFrame(rows, "doc_id long, text string")).links.count()
+    assert 0 < links <= made[np.uint64] <= links + 5 < made[np.uint16]
+
+
 def test_chance_does_not_part_regions():
     class Sketch:
         value = np.full(SKETCH, 5000)
