@@ -148,7 +148,9 @@ def _banded(batches: Iterator[pa.RecordBatch], bands: int, rows: int, level: int
 
 def _several(banded: DataFrame, name: str) -> DataFrame:
     """Rows (cell, name, n, place) of cells that hold several sets."""
-    several = banded.groupBy("cell").agg(F.min("name").alias("lo"), F.max("name").alias("hi")).where("lo != hi").select("cell")
+    # 32 bits tell the names of a cell apart, as far as its recall goes, and take less room
+    short = F.hash("name")
+    several = banded.groupBy("cell").agg(F.min(short).alias("lo"), F.max(short).alias("hi")).where("lo != hi").select("cell")
     several = written(several, name)
     likely = BlockedBloom(several, F.col("cell")).pass_through(banded, F.col("cell"))
     kept = likely.distinct().join(several, "cell", "left_semi")

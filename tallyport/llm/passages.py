@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyport.llm import shingles
-from tallyport.llm.bloom import BlockedBloom
+from tallyport.llm.bloom import MAX_BLOCKS, BlockedBloom
 from tallyport.llm.tables import written
 
 WINDOW, UNIT = 8, 9
@@ -93,32 +93,34 @@ def _table(batch: pa.RecordBatch, rows: list[list[np.ndarray]], kinds: list, nam
     return pa.record_batch([batch.column(0).take(pa.array(of)), *[pa.array(r).cast(k) for r, k in zip(rest, kinds, strict=True)]], names=names)
 
 
-WORDS = "doc long, lo int, hi int, words binary, places binary"
+PARTS = "doc long, of long, first boolean, first_lo int, first_hi int, begin int, words binary"
 
 
 def _fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes and byte ranges of the wanted words of each text."""
+    """The bytes of the wanted words of each text, and where they begin; `first`: of a first place."""
     for batch in batches:
         for k in range(batch.num_rows):
             text, wanted = batch.column(1)[k], batch.column(2)[k].as_py()
             if not text.is_valid:
                 continue
             raw = text.as_buffer().to_pybytes()
-            begins, hashes = words(raw)
-            space = shingles._SPACE[np.frombuffer(raw + b" ", np.uint8)]
-            ends = np.flatnonzero(space[1:] & ~space[:-1]) + 1
-            places = np.stack((begins, ends), axis=1).astype(np.int32)
+            edges = np.flatnonzero(np.diff(np.concatenate(([True], shingles._SPACE[np.frombuffer(raw, np.uint8)], [True])).view(np.int8)))
+            starts, ends = edges[::2], edges[1::2]
             for at in range(0, len(wanted), 1000):
-                some = wanted[at : at + 1000]
+                some = [w for w in wanted[at : at + 1000] if w["lo"] < len(starts)]
+                begins = [int(starts[w["lo"]]) for w in some]
+                cut = [raw[b : ends[min(w["hi"], len(ends)) - 1]] if w["hi"] > w["lo"] else b"" for b, w in zip(begins, some, strict=True)]
                 yield pa.record_batch(
                     [
-                        batch.column(0).take(pa.array([k] * len(some))),
-                        pa.array([w["lo"] for w in some], pa.int32()),
-                        pa.array([w["hi"] for w in some], pa.int32()),
-                        pa.array([hashes[w["lo"] : w["hi"]].tobytes() for w in some], pa.binary()),
-                        pa.array([places[w["lo"] : w["hi"]].tobytes() for w in some], pa.binary()),
+                        batch.column(0).take(pa.array([k] * len(some), pa.int64())),
+                        pa.array([w["of"] for w in some], pa.int64()),
+                        pa.array([w["first"] for w in some], pa.bool_()),
+                        pa.array([w["first_lo"] for w in some], pa.int32()),
+                        pa.array([w["first_hi"] for w in some], pa.int32()),
+                        pa.array(begins, pa.int32()),
+                        pa.array(cut, pa.binary()),
                     ],
-                    names=["doc", "lo", "hi", "words", "places"],
+                    names=["doc", "of", "first", "first_lo", "first_hi", "begin", "words"],
                 )
 
 
@@ -163,14 +165,20 @@ def repeated(later: np.ndarray, first: np.ndarray, percent: int, least: int = MI
 
 
 def _compared(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The repeated bytes of rows (doc, of, begin, words, first words); equal first words in a row are hashed once."""
+    known, first = None, None
     for batch in batches:
         rows = []
         for k in range(batch.num_rows):
-            later, first = (np.frombuffer(batch.column(c)[k].as_buffer(), np.uint64) for c in (2, 4))
+            raw, other = (batch.column(c)[k].as_buffer().to_pybytes() for c in (3, 4))
+            if other != known:
+                known, first = other, words(other)[1]
+            starts, later = words(raw)
             found = repeated(later, first, percent)
             if found:
-                places = np.frombuffer(batch.column(3)[k].as_buffer(), np.int32).reshape(-1, 2)
-                rows += [(k, int(places[a, 0]), int(places[b - 1, 1])) for a, b in found]
+                begin = batch.column(2)[k].as_py()
+                # a range ends with its last word, before the white space that follows
+                rows += [(k, begin + int(starts[a]), begin + (len(raw) if b == len(starts) else len(raw[: starts[b]].rstrip()))) for a, b in found]
         of = pa.array([r[0] for r in rows], pa.int64())
         yield pa.record_batch(
             [batch.column(0).take(of), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int32()), batch.column(1).take(of)],
@@ -186,12 +194,17 @@ def _candidates(texts: DataFrame, removals: DataFrame) -> DataFrame:
     """Rows (doc, lo, hi, of, first_lo, first_hi): words of a document that may repeat words of an earlier place."""
     rows = written(texts.mapInArrow(_united, UNITS), "units")
     several = written(rows.groupBy("name").agg(F.count("*").alias("k")).where("k > 1").select("name"), "repeated")
-    likely = BlockedBloom(several, F.col("name")).pass_through(rows, F.col("name")).join(several, "name", "left_semi")
-    lines = removals.groupBy(F.col("doc").alias("of")).agg(F.collect_set("paragraph").alias("gone"))
-    held = likely.join(lines, _same("doc", "of"), "left").where(
+    known = BlockedBloom(several, F.col("name"))
+    likely = known.pass_through(rows, F.col("name"))
+    if known.blocks == MAX_BLOCKS:  # a full filter lets much pass in error; else what is alone goes with the counts below
+        likely = likely.join(several, "name", "left_semi")
+    # a document in a struct equals itself without an id too: rows dealt out by it once are joined and made distinct there
+    place = [F.struct("doc").alias("in"), "name", F.struct("at", "n").alias("at"), "line", "last"]
+    lines = removals.groupBy(F.struct("doc").alias("in")).agg(F.collect_set("paragraph").alias("gone"))
+    held = likely.select(*place).join(lines, "in", "left").where(
         F.col("gone").isNull() | ~F.arrays_overlap("gone", F.sequence("line", "last"))
     )
-    places = written(held.select("name", "doc", "at", "n").distinct(), "places")
+    places = written(held.select("name", "in", "at").distinct().select("name", "in.doc", "at.at", "at.n"), "places")
     first = places.groupBy("name").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("k")).where("k > 1")
     first = written(first.select("name", F.col("first.doc").alias("of"), F.col("first.at").alias("first_at")), "firsts")
     # not the first place itself, nor what overlaps it
@@ -226,19 +239,21 @@ def passages(texts: DataFrame, removals: DataFrame, percent: int) -> DataFrame:
     Units that touch a line of `removals` (doc, paragraph) take no part.
     """
     found = _candidates(texts, removals)
-    wanted = found.select("doc", "lo", "hi").unionByName(found.select(F.col("of").alias("doc"), F.col("first_lo").alias("lo"), F.col("first_hi").alias("hi")))
-    wanted = wanted.distinct().groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("wanted"))
-    wanted = written(wanted.select(F.col("doc").alias("of"), "wanted"), "wanted")
-    likely = BlockedBloom(wanted, F.col("of")).pass_through(texts, F.col("doc"))
-    fetched = likely.join(wanted, _same("doc", "of")).select("doc", "text", "wanted").mapInArrow(_fetched, WORDS)
-    fetched = written(fetched, "words")
-    later = fetched.select(F.col("doc").alias("d"), F.col("lo").alias("l"), F.col("hi").alias("h"), "words", "places")
-    first = fetched.select(F.col("doc").alias("fd"), F.col("lo").alias("fl"), F.col("hi").alias("fh"), F.col("words").alias("first_words"))
-    pairs = (
-        found.join(later, _same("doc", "d") & (F.col("lo") == F.col("l")) & (F.col("hi") == F.col("h")))
-        .join(first, _same("of", "fd") & (F.col("first_lo") == F.col("fl")) & (F.col("first_hi") == F.col("fh")))
-        .select("doc", "of", "words", "places", "first_words")
+    part = lambda lo, hi, *of: F.struct(*(F.col(c).alias(n) for c, n in zip((lo, hi), ("lo", "hi"), strict=True)), *of)
+    # a first place is fetched once, however many repeat it; their words meet it by its document and words
+    later = found.select("doc", part("lo", "hi", F.col("of"), F.lit(False).alias("first"), "first_lo", "first_hi").alias("part"))
+    first = found.select(
+        F.col("of").alias("doc"), part("first_lo", "first_hi", F.col("of"), F.lit(True).alias("first"), "first_lo", "first_hi").alias("part")
     )
+    wanted = later.unionByName(first.distinct()).groupBy("doc").agg(F.collect_list("part").alias("wanted"))
+    wanted = written(wanted.select(F.col("doc").alias("in"), "wanted"), "wanted")
+    likely = BlockedBloom(wanted, F.col("in")).pass_through(texts, F.col("doc"))
+    fetched = likely.join(wanted, _same("doc", "in")).select("doc", "text", "wanted").mapInArrow(_fetched, PARTS)
+    fetched = written(fetched, "words")
+    later = fetched.where("not first").drop("first")
+    first = fetched.where("first").select(F.col("doc").alias("fd"), F.col("first_lo").alias("fl"), F.col("first_hi").alias("fh"), F.col("words").alias("first_words"))
+    pairs = later.join(first, _same("of", "fd") & (F.col("first_lo") == F.col("fl")) & (F.col("first_hi") == F.col("fh")))
+    pairs = pairs.select("doc", "of", "begin", "words", "first_words")
     spans = pairs.mapInArrow(lambda it: _compared(it, percent), "doc long, start int, end int, first_doc long")
     return written(spans.distinct(), "passages")
 

@@ -67,3 +67,29 @@ def test_passages_inside_lines(spark):
     assert all(left[i] == t for i, t in rows if i not in planted and i != 16)
     assert all(" ".join(t.replace(planted[i], "", 1).split()) == " ".join(left[i].split()) for i, t in rows if i in planted and i != 14)
     assert left[14].count(base[4]) == 1
+
+
+def test_passages_are_compared_by_their_text(spark, monkeypatch):
+    # 30 documents with one passage: what is moved are the bytes of the words around it
+    rng = random.Random(21)
+    line = lines_of(rng)
+    passage = line(80)
+    rows = [(k, line(200) + " " + passage + " " + line(200)) for k in range(30)]
+    moved, written = [], passages.written
+
+    def counted(df, name):
+        out = written(df, name)
+        if name == "words":
+            sizes = [F.octet_length(c) for c, kind in out.dtypes if kind == "binary"]
+            moved.append(out.select(sum(sizes[1:], sizes[0]).alias("n")).agg(F.sum("n"), F.count("*")).first())
+        return out
+
+    monkeypatch.setattr(passages, "written", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").select(F.col("doc_id").alias("doc"), "text")
+    none = spark.createDataFrame([], "doc long, paragraph int")
+    found = passages.passages(docs, none, 75).collect()
+    starts = {k: text.index(passage) for k, text in rows}
+    assert {(r.doc, r.start) for r in found if r.first_doc == 0} == {(k, starts[k]) for k in range(1, 30)}
+    assert all(starts[r.doc] <= r.start < r.end <= starts[r.doc] + len(passage) for r in found)
+    # a window has some 200 words of 4.9 bytes
+    assert moved[0][1] >= 30 and moved[0][0] < 1800 * moved[0][1]
